@@ -19,6 +19,7 @@ from tickloom.operators import ewm
 from tickloom.operators.series import block_rows_for, block_window, core_rows, with_blocks, with_row_index
 from tickloom.operators.supertrend import supertrend_lines
 from tickloom.schemas import KEY, TS
+from tickloom.session import cut_lineage
 
 OPEN_TO_CLOSE = {"high": "HighPrice", "low": "LowPrice", "close": "ClosePrice", "volume": "Volume"}
 AGGREGATES = {"avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "std": F.stddev_samp}
@@ -246,10 +247,18 @@ def recipe(name: str) -> Callable[[Workbench, int], Column | tuple[str, float]]:
     return found
 
 
-def indicators(bars: DataFrame, wanted: Iterable[tuple[str, int]], keep: Iterable[str] = ()) -> DataFrame:
+def indicators(
+    bars: DataFrame,
+    wanted: Iterable[tuple[str, int]],
+    keep: Iterable[str] = (),
+    block_rows: int | None = None,
+    cut: bool = False,
+) -> DataFrame:
     """Wide frame: Symbol, PriceTimestamp, `keep` columns and one NAME_param column per pair.
 
-    Every bar gives one row; values are NULL until a window has filled.
+    Every bar gives one row; values are NULL until a window has filled. Carried state and
+    SuperTrend read the numbered bars again: `cut` writes them to the checkpoint folder first,
+    which pays when `bars` is itself costly to compute.
     """
     b, values = Workbench(), {}
     for name, param in wanted:
@@ -261,12 +270,15 @@ def indicators(bars: DataFrame, wanted: Iterable[tuple[str, int]], keep: Iterabl
             b.trends[f"{name}_{param}"] = value
     keep = [c for c in keep if c not in (KEY, TS)]
     needed = sorted(b.prices | set(keep))
-    rows = block_rows_for(b.before())
+    rows = block_rows or block_rows_for(b.before())
     carried = {k: v for k, v in b.means.items() if ewm.needs_carry(v[1], rows)}
     short = {k: v for k, v in b.means.items() if k not in carried}
     before = max([b.before(), *[b.lag_rows + ewm.memory_rows(a) for _, a in short.values()]])
 
-    blocked = with_blocks(with_row_index(bars.select(KEY, TS, *needed)), before=before, rows=rows)
+    numbered = with_row_index(bars.select(KEY, TS, *needed))
+    if cut and (carried or b.totals or b.trends):
+        numbered = cut_lineage(numbered)
+    blocked = with_blocks(numbered, before=before, rows=rows)
     w = block_window()
     staged = blocked.withColumns(b.lags).withColumns(b.terms)
     framed = staged.withColumns({

@@ -8,7 +8,7 @@ context. Windows then run per (Symbol, block), and each task sees at most
 `rows + before + after` rows of a block whatever the size of the symbol.
 """
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tickloom.schemas import KEY, TS
@@ -16,26 +16,27 @@ from tickloom.schemas import KEY, TS
 BLOCK_ROWS = 2048
 
 
-def with_row_index(bars: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
+def with_row_index(bars: DataFrame, key: str = KEY, ts: str = TS, slices: Column | None = None) -> DataFrame:
     """Add `rn`, the 0-based position of a row in its symbol, ordered by time.
 
     Days are counted first (partial aggregation, one row per symbol and day), their running
     total gives each day its offset, and rows are numbered only within their day. The widest
     sort is one symbol-day; the per-symbol window sees one row per calendar day.
     Key and time must be non-null and unique together, as the staging merge leaves them.
+    `slices` replaces the day for orderings that are not dates; it must grow with `ts`.
     """
-    dated = bars.withColumn("_day", F.to_date(ts))
-    earlier = Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    sliced = bars.withColumn("_slice", F.to_date(ts) if slices is None else slices)
+    earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        dated.groupBy(key, "_day").agg(F.count(F.lit(1)).alias("_n"))
-        .select(key, "_day", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+        sliced.groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+        .select(key, "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
     )
-    in_day = F.row_number().over(Window.partitionBy(key, "_day").orderBy(ts))
+    in_slice = F.row_number().over(Window.partitionBy(key, "_slice").orderBy(ts))
     return (
-        dated.withColumn("_in_day", in_day)
-        .join(offsets, [key, "_day"])
-        .withColumn("rn", F.col("_offset") + F.col("_in_day") - 1)
-        .drop("_day", "_in_day", "_offset")
+        sliced.withColumn("_in_slice", in_slice)
+        .join(offsets, [key, "_slice"])
+        .withColumn("rn", F.col("_offset") + F.col("_in_slice") - 1)
+        .drop("_slice", "_in_slice", "_offset")
     )
 
 
