@@ -87,12 +87,17 @@ def field_name(name: Column, param: Column) -> Column:
     return F.concat_ws("_", name, param)
 
 
+def _count_true(tests: list[Column]) -> Column:
+    return sum((test.cast("int") for test in tests), F.lit(0))
+
+
 def null_count(columns: list[str]) -> Column:
     """Number of NULLs over the named columns of one row."""
-    total = F.lit(0)
-    for name in columns:
-        total = total + F.col(name).isNull().cast("int")
-    return total
+    return _count_true([F.col(f"`{c}`").isNull() for c in columns])
+
+
+def present_count(columns: list[str]) -> Column:
+    return _count_true([F.col(f"`{c}`").isNotNull() for c in columns])
 
 
 def days_from_text(days: Column, default: int = 7) -> Column:

@@ -2,10 +2,10 @@
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import day_of_week, drop_nan, in_market_hours, to_double
+from tickloom.functions.scalars import day_of_week, drop_nan, in_market_hours, null_count, present_count, to_double
 from tickloom.schemas import BAR_COLUMNS, CALENDAR_FIELDS, KEY, RUN_FIELDS, TS
 
 
@@ -34,14 +34,6 @@ def with_calendar(df: DataFrame) -> DataFrame:
     })
 
 
-def _count(columns: list[str], missing: bool) -> Column:
-    total = F.lit(0)
-    for name in columns:
-        test = F.col(f"`{name}`").isNull() if missing else F.col(f"`{name}`").isNotNull()
-        total = total + test.cast("int")
-    return total
-
-
 def merge_indicators(bars: DataFrame, wide: DataFrame, run_id: str, run_ts: datetime) -> DataFrame:
     """Bars left-joined to the wide indicators; counts of present and missing indicators."""
     joined = bars.select(BAR_COLUMNS).join(wide, [KEY, TS], "left")
@@ -50,5 +42,5 @@ def merge_indicators(bars: DataFrame, wide: DataFrame, run_id: str, run_ts: date
         with_calendar(joined)
         .withColumns({"RunTimestamp": F.lit(run_ts).cast("timestamp_ntz"), "MergeRunId": F.lit(run_id)})
         .withColumns({c: drop_nan(to_double(F.col(f"`{c}`"))) for c in fields})
-        .withColumns({"SourceIndicatorCount": _count(fields, False), "MissingIndicatorCount": _count(fields, True)})
+        .withColumns({"SourceIndicatorCount": present_count(fields), "MissingIndicatorCount": null_count(fields)})
     )

@@ -10,7 +10,7 @@ from tickloom.operators.series import block_window, core_rows, with_blocks, with
 
 # Phrases the pipeline logs write.
 RUN_STARTED = "MASTER ORCHESTRATOR STARTED"
-RUN_ENDED = "Completed: merge_feature.py"
+RUN_ENDED = "Completed: merge_"
 ROWS_INGESTED = "Total rows inserted:"
 SYMBOLS_INGESTED = "Total symbols processed:"
 INGEST_SECONDS = "INGESTION COMPLETED in"

@@ -76,9 +76,15 @@ def stage_dedup(staging: DataFrame) -> DataFrame:
 
 
 def new_only(candidates: DataFrame, raw: DataFrame) -> DataFrame:
-    """Candidates whose (Symbol, minute) is not in raw yet."""
-    known = raw.select(KEY, minute_bucket(F.col(TS)).alias(TS))
-    return candidates.join(known, [KEY, TS], "left_anti")
+    """Candidates whose (Symbol, minute) is not in raw yet.
+
+    Only raw rows within the time range of the candidates can match; the range (two scalar
+    subqueries) keeps the rest of the history out of the join.
+    """
+    span = candidates.agg(F.min(TS).alias("lo"), F.max(TS).alias("hi"))
+    minute = minute_bucket(F.col(TS))
+    known = raw.where((minute >= span.select("lo").scalar()) & (minute <= span.select("hi").scalar()))
+    return candidates.join(known.select(KEY, minute.alias(TS)), [KEY, TS], "left_anti")
 
 
 def raw_dedup(raw: DataFrame) -> DataFrame:
@@ -86,6 +92,12 @@ def raw_dedup(raw: DataFrame) -> DataFrame:
     return newest_per_minute(raw)
 
 
+def duplicate_minutes(raw: DataFrame) -> DataFrame:
+    """(Symbol, minute) held by more than one raw row."""
+    keys = raw.groupBy(KEY, minute_bucket(F.col(TS)).alias("_minute")).agg(F.count(F.lit(1)).alias("Cnt"))
+    return keys.where("Cnt > 1").select(KEY, F.col("_minute").alias(TS), "Cnt")
+
+
 def keep_last_per_minute(batch: DataFrame) -> DataFrame:
     """Within one download, the last tick of each minute stands for it."""
     values = [c for c in batch.columns if c not in (KEY, TS)]

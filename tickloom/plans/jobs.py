@@ -1,23 +1,27 @@
 """The jobs of the pipeline, from vendor files to a registered model.
 
-A `Store` names the tables under one root. Tables whose rows change (staging, raw bars, merged
-features) are snapshots; the others grow by appending. Every job takes `write`; with
-write=False it computes and returns the same frames and leaves the store as it is.
+A `Store` names the tables under one root. Staging, raw bars, indicators, signals and labels
+grow by appending; merged features are upserted and kept as snapshots. Every job takes `write`;
+with write=False it computes and returns the same frames and leaves the store as it is.
 """
 
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.operators import labels, merged, signals, staging, training
 from tickloom.operators.engineered import add_engineered_features
 from tickloom.operators.registry import definition_list, indicator_long
-from tickloom.schemas import SIGNAL_FEATURES
+from tickloom.schemas import BAR_COLUMNS, KEY, RAW_BARS, SIGNAL_FEATURES, STAGING, TS
 from tickloom.session import cut_lineage
 from tickloom.sources import sinks, tables, vendor
 
+TRADE_DATE = "TradeDate"
+
 
 @dataclass(frozen=True)
 class Store:
@@ -27,19 +31,39 @@ class Store:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def exists(self, table: str) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+    def read(self, table: str, schema: T.StructType | None = None) -> DataFrame | None:
+        """The table, or None while nothing was written. With a schema no file is opened to infer it."""
+        try:
+            reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
+            return reader.parquet(self.path(table))
+        except AnalysisException:
+            return None
+
+    def or_empty(self, table: str, schema: T.StructType) -> DataFrame:
+        found = self.read(table, schema)
+        return self.spark.createDataFrame([], schema) if found is None else found
+
+    def raw_bars(self) -> DataFrame:
+        return self.or_empty("raw_bars", RAW_BARS)
+
+    def staging(self) -> DataFrame:
+        """Staged rows. A batch is exported once its id is in the list of exported batches, so
+        marking a batch appends one row and rewrites nothing."""
+        rows = self.or_empty("staging", STAGING)
+        done = self.or_empty("exported_batches", T.StructType([STAGING["BatchID"]])).distinct()
+        marked = rows.drop("Exported").join(done.withColumn("_done", F.lit(1)), "BatchID", "left")
+        return marked.withColumn("Exported", F.coalesce("_done", F.lit(0))).select(STAGING.fieldNames())
 
     def snapshot(self, table: str) -> DataFrame | None:
-        return sinks.read_snapshot(self.spark, self.path(table)) if self.exists(table) else None
+        return None if self.read(f"{table}/versions") is None else sinks.read_snapshot(self.spark, self.path(table))
 
     def commit(self, table: str, df: DataFrame, write: bool) -> DataFrame:
         if not write:
             return df
-        version = sinks.current_version(self.spark, self.path(table)) + 1 if self.exists(table) else 1
-        sinks.commit_snapshot(df, self.path(table), version)
-        return sinks.read_snapshot(self.spark, self.path(table))
+        path = self.path(table)
+        known = self.read(f"{table}/versions") is not None
+        sinks.commit_snapshot(df, path, sinks.current_version(self.spark, path) + 1 if known else 1)
+        return sinks.read_snapshot(self.spark, path)
 
 
 def ingest_job(
@@ -47,36 +71,55 @@ def ingest_job(
     date_range: tuple[datetime, datetime] | None = None, source_zone: str | None = "UTC", write: bool = True,
 ) -> DataFrame:
     """Vendor files to new staging rows, stamped with a batch of their own."""
-    staged = store.snapshot("staging")
-    known = staged if staged is not None else store.spark.createDataFrame([], tables.STAGING)
-    bars = vendor.ingest(vendor.read_vendor(store.spark, vendor_path, source_zone), known, symbols, date_range)
-    batch = sinks.append_staging(bars, "", now, batch_id=sinks.run_id("BATCH", now), write=False)
-    store.commit("staging", known.unionByName(batch), write)
-    return batch
+    bars = vendor.read_vendor(store.spark, vendor_path, source_zone)
+    fresh = vendor.ingest(bars, store.staging(), symbols, date_range)
+    return sinks.append_staging(fresh, store.path("staging"), now, sinks.run_id("BATCH", now), write)
 
 
 def merge_job(store: Store, write: bool = True) -> staging.MergeResult:
-    """Pending staging rows to raw bars; raises when one lies outside market hours."""
-    staged = store.snapshot("staging")
-    raw = store.snapshot("raw_bars")
-    if raw is None:
-        raw = store.spark.createDataFrame([], tables.RAW_BARS)
+    """Pending staging rows to raw bars; raises when one lies outside market hours.
+
+    New bars are appended by trade date. A job that dies before the batches are marked is simply
+    run again: what it appended is known by then and not inserted twice.
+    """
+    staged, raw = store.staging(), store.raw_bars()
     result = staging.merge_staging(staged, raw)
-    summary = cut_lineage(result.summary) if write else result.summary  # before the tables move on
-    store.commit("raw_bars", result.raw, write)
-    store.commit("staging", result.staging, write)
-    return staging.MergeResult(result.inserted, result.raw, result.staging, summary)
+    if not write:
+        return result
+    inserted = cut_lineage(result.inserted)
+    summary = cut_lineage(staging.merge_summary(staged, raw, inserted, raw.select(inserted.columns).unionByName(inserted)))
+    batches = cut_lineage(staging.pending(staged).select("BatchID").distinct())
+    (
+        inserted.withColumn(TRADE_DATE, F.to_date(TS)).repartition(TRADE_DATE, F.pmod(F.hash(KEY), F.lit(32)))
+        .write.mode("append").partitionBy(TRADE_DATE).parquet(store.path("raw_bars"))
+    )
+    batches.write.mode("append").parquet(store.path("exported_batches"))
+    return staging.MergeResult(inserted, store.raw_bars(), store.staging(), summary)
+
+
+def repair_raw_job(store: Store, write: bool = True) -> DataFrame:
+    """Remove duplicate minutes from raw bars, rewriting only the trade dates that have some."""
+    raw = store.raw_bars().withColumn(TRADE_DATE, F.to_date(TS))
+    dates = staging.duplicate_minutes(raw).select(F.to_date(TS).alias(TRADE_DATE)).distinct()
+    repaired = staging.raw_dedup(raw.join(dates, TRADE_DATE, "left_semi")).withColumn(TRADE_DATE, F.to_date(TS))
+    if write:
+        repaired = cut_lineage(repaired)  # read everything before the first partition is replaced
+        (
+            repaired.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(TRADE_DATE).parquet(store.path("raw_bars"))
+        )
+    return repaired
 
 
 def indicator_job(store: Store, definitions: DataFrame, now: datetime, timeframe: str = "1m", write: bool = True) -> DataFrame:
     """All active indicators over all raw bars, appended to the long table."""
-    bars = store.snapshot("raw_bars").select(tables.BAR_COLUMNS)
+    bars = store.raw_bars().select(BAR_COLUMNS)
     return sinks.append_indicators(indicator_long(bars, definitions, timeframe, now), store.path("indicators"), write)
 
 
 def feature_job(store: Store, definitions: DataFrame, now: datetime, write: bool = True) -> DataFrame:
     """Bars and pivoted indicators to merged features, upserted by (Symbol, time)."""
-    bars = store.snapshot("raw_bars").select(tables.BAR_COLUMNS)
+    bars = store.raw_bars().select(BAR_COLUMNS)
     long = tables.read_indicators(store.spark, store.path("indicators"))
     fields = sorted({f"{name}_{int(param)}" for _, name, param in definition_list(definitions)})
     frame = feature_frame(bars, long, fields, sinks.run_id("MERGE", now), now)
@@ -94,9 +137,9 @@ def signal_job(store: Store, now: datetime, rebuild: bool = False, version: int
     source = store.snapshot("merged_features")
     run = sinks.run_id("SIGNAL", now)
     path = store.path("signal_features")
-    if rebuild or not store.exists("signal_features"):
+    stored = store.read("signal_features", SIGNAL_FEATURES)
+    if rebuild or stored is None:
         return sinks.append_signals(signals.signal_frame(source, run, now, version), path, rebuild=True, write=write)
-    stored = store.spark.read.schema(SIGNAL_FEATURES).parquet(path)
     fresh = signals.signal_incremental(source, stored, run, now, version)
     return sinks.append_signals(fresh, path, write=write)
 
@@ -106,12 +149,13 @@ def label_job(
 ) -> DataFrame:
     """Horizon labels: everything with `rebuild`, else rows newer than the stored ones."""
     features = tables.require_columns(store.snapshot("merged_features"), labels.REQUIRED)
-    bars = store.snapshot("raw_bars")
+    bars = store.raw_bars()
     run = sinks.run_id("LABEL", now)
     path = store.path("labelled_features")
-    if rebuild or not store.exists("labelled_features"):
+    stored = store.read("labelled_features")
+    if rebuild or stored is None:
         return sinks.append_labels(labels.label_frame(features, bars, spec, run, now), path, rebuild=True, write=write)
-    fresh = labels.label_incremental(features, bars, store.spark.read.parquet(path), spec, run, now)
+    fresh = labels.label_incremental(features, bars, stored, spec, run, now)
     return sinks.append_labels(fresh, path, write=write)
 
 

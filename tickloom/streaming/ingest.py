@@ -8,12 +8,12 @@ merge, which inserts only minutes that are not known yet. A repeated batch chang
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.operators.staging import merge_staging
-from tickloom.plans.jobs import Store
-from tickloom.schemas import RAW_BARS
+from tickloom.operators.staging import pending
+from tickloom.plans.jobs import Store, merge_job
 from tickloom.sources.sinks import append_staging
 from tickloom.sources.vendor import vendor_bars
 
@@ -37,12 +37,12 @@ def merge_stream(
     """Start a query that merges all files present and then stops (trigger availableNow)."""
 
     def merge_batch(batch: DataFrame, batch_no: int) -> None:
-        raw = store.snapshot("raw_bars")
-        if raw is None:
-            raw = batch.sparkSession.createDataFrame([], RAW_BARS)
         loaded = datetime.now(timezone.utc).replace(tzinfo=None)
-        staged = append_staging(vendor_bars(batch, source_zone), "", loaded, f"STREAM_{batch_no}", write=False)
-        store.commit("raw_bars", merge_staging(staged, raw).raw, write=True)
+        name = f"STREAM_{batch_no}"
+        if not batch.isEmpty() and store.staging().where(F.col("BatchID") == name).isEmpty():
+            append_staging(vendor_bars(batch, source_zone), store.path("staging"), loaded, name)
+        if not pending(store.staging()).isEmpty():
+            merge_job(store)
 
     return (
         vendor_stream(store.spark, vendor_path, files_per_batch).writeStream
