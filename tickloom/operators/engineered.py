@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.rolling import percent_rank_last, roll, zscore_last
+from tickloom.functions.rolling import long_parts, long_roll, percent_rank_last, roll, zscore_last
 from tickloom.functions.scalars import clean_infinities, flag, nz, session_type
 from tickloom.operators.series import block_window, core_rows, with_blocks, with_row_index
 from tickloom.schemas import KEY, TS
@@ -46,7 +46,7 @@ def trend() -> dict[str, Column]:
 
 def regime() -> dict[str, Column]:
     return {
-        "Volatility_regime": _C("ATR_14") / nz(roll(F.avg, _C("ATR_14"), REGIME_ROWS, block_window())),
+        "Volatility_regime": _C("ATR_14") / nz(long_roll("avg", "ATR_14", REGIME_ROWS, block_window())),
         "Trend_regime": flag(_C("EMA_20") > _C("EMA_200")),
         "HourOfDay": F.hour(TS),
         "MinuteOfHour": F.minute(TS),
@@ -105,7 +105,9 @@ def add_engineered_features(merged: DataFrame, groups: list[str] | None = None,
         "_last_close": last,
         "_return": F.coalesce(_C("ClosePrice") / nz(last) - 1, F.lit(0.0)),
     })
+    parts = long_parts("avg", "ATR_14", REGIME_ROWS, w) if "regime" in groups else {}
+    df = df.withColumns(parts)
     for name in GROUPS:
         if name in groups:
             df = df.withColumns(GROUPS[name]())
-    return clean_infinities(core_rows(df).drop("rn", "blk", "core", "_last_close", "_return"))
+    return clean_infinities(core_rows(df).drop("rn", "blk", "core", "_last_close", "_return", *parts))

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.rolling import roll
+from tickloom.functions.rolling import is_long, long_parts, long_roll, roll
 from tickloom.functions.scalars import nz
 from tickloom.operators import ewm
 from tickloom.operators.series import block_rows_for, block_window, core_rows, with_blocks, with_row_index
@@ -257,8 +257,8 @@ def indicators(
     """Wide frame: Symbol, PriceTimestamp, `keep` columns and one NAME_param column per pair.
 
     Every bar gives one row; values are NULL until a window has filled. Carried state and
-    SuperTrend read the numbered bars again: `cut` writes them to the checkpoint folder first,
-    which pays when `bars` is itself costly to compute.
+    SuperTrend read their input twice: `cut` writes it to the checkpoint folder first, which
+    pays on large tables and when `bars` is itself costly to compute.
     """
     b, values = Workbench(), {}
     for name, param in wanted:
@@ -281,12 +281,15 @@ def indicators(
     blocked = with_blocks(numbered, before=before, rows=rows)
     w = block_window()
     staged = blocked.withColumns(b.lags).withColumns(b.terms)
+    long = {k: f for k, f in b.frames.items() if is_long(f[0], f[2])}
     framed = staged.withColumns({
-        **{k: roll(AGGREGATES[agg], F.col(x), n, w) for k, (agg, x, n) in b.frames.items()},
+        **{k: roll(AGGREGATES[agg], F.col(x), n, w) for k, (agg, x, n) in b.frames.items() if k not in long},
+        **{k: part for agg, x, n in long.values() for k, part in long_parts(agg, x, n, w).items()},
         **{k: ewm.frame_mean(F.col(x), alpha) for k, (x, alpha) in short.items()},
         **{k: ewm.local_mean(F.col(x), alpha, rows) for k, (x, alpha) in carried.items()},
         **{k: ewm.local_total(F.col(x)) for k, x in b.totals.items()},
     })
+    framed = framed.withColumns({k: long_roll(agg, x, n, w) for k, (agg, x, n) in long.items()})
     if b.derived:
         framed = framed.withColumns(b.derived)
         framed = framed.withColumns({k: roll(AGGREGATES[agg], F.col(x), n, w) for k, (agg, x, n) in b.derived_frames.items()})
@@ -301,6 +304,8 @@ def indicators(
     if b.trends:
         ranges = {atr_column for atr_column, _ in b.trends.values()}
         out = out.select(KEY, TS, "blk", "rn", *needed, "_close_lag1", *ranges, *[v.alias(k) for k, v in plain.items()])
+        if cut:
+            out = cut_lineage(out)
         for name, (atr_column, multiplier) in b.trends.items():
             out = supertrend_lines(out, name, atr_column, multiplier)
         return out.select(KEY, TS, *keep, *values)

@@ -19,13 +19,14 @@ BLOCK_ROWS = 2048
 def with_row_index(bars: DataFrame, key: str = KEY, ts: str = TS, slices: Column | None = None) -> DataFrame:
     """Add `rn`, the 0-based position of a row in its symbol, ordered by time.
 
-    Days are counted first (partial aggregation, one row per symbol and day), their running
-    total gives each day its offset, and rows are numbered only within their day. The widest
-    sort is one symbol-day; the per-symbol window sees one row per calendar day.
-    Key and time must be non-null and unique together, as the staging merge leaves them.
-    `slices` replaces the day for orderings that are not dates; it must grow with `ts`.
+    Months are counted first (partial aggregation, one row per symbol and month), their running
+    total gives each month its offset, and rows are numbered only within their month. The widest
+    sort is one symbol-month, at most 44,640 minute bars; the per-symbol window sees one row per
+    calendar month. Key and time must be non-null and unique together, as the staging merge
+    leaves them. `slices` replaces the month for orderings that are not dates; it must grow
+    with `ts`.
     """
-    sliced = bars.withColumn("_slice", F.to_date(ts) if slices is None else slices)
+    sliced = bars.withColumn("_slice", F.trunc(F.to_date(ts), "month") if slices is None else slices)
     earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_n"))

@@ -13,14 +13,15 @@ table per symbol to get the state entering each block, follow each block from it
 The lower band is the same rule on negated prices.
 """
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.operators.series import block_window
 from tickloom.schemas import KEY
 
 _EXIT_COLUMNS = ["below", "above", "level", "crossed_below", "crossed_above"]
@@ -79,64 +80,103 @@ def leave_block(value: float, exits: dict[str, Iterable[float]], final_close: fl
     return value, rows - 1 if final_close > value else -1
 
 
-def follow(last: np.ndarray, basic: np.ndarray, value: float) -> np.ndarray:
-    """Band at every row of a block, for the value entering it."""
-    line = np.empty(len(basic))
-    for i, (edge, top) in enumerate(zip(last.tolist(), basic.tolist())):
-        if top < value or edge > value:
-            value = top
-        line[i] = value
-    return line
-
-
-def _sides(rows: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(last close, close, basic band) of the upper and of the mirrored lower side."""
-    last, close = rows["last"].to_numpy(float), rows["close"].to_numpy(float)
-    return [(last, close, rows["upper"].to_numpy(float)), (-last, -close, -rows["lower"].to_numpy(float))]
-
-
-def _describe(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("rn")
-    out = {KEY: [rows[KEY].iloc[0]], "blk": [rows["blk"].iloc[0]], "rows": [len(rows)], "close": [rows["close"].iloc[-1]]}
-    for side, (last, close, basic) in zip(("up", "down"), _sides(rows)):
-        for name, values in block_exits(last, close, basic).items():
-            out[f"{side}_{name}"] = [values]
-    return pd.DataFrame(out)
-
-
-def _enter(blocks: pd.DataFrame) -> pd.DataFrame:
-    """State entering each block of a symbol. Before the first row both bands are wide open."""
-    state = {"up": np.inf, "down": np.inf}
-    trend, states = 1, []
-    for block in blocks.sort_values("blk").to_dict("records"):
-        states.append((block[KEY], block["blk"], state["up"], state["down"], trend))
-        crossed = {}
-        for side, sign in (("up", 1), ("down", -1)):
-            exits = {name: block[f"{side}_{name}"] for name in _EXIT_COLUMNS}
-            state[side], crossed[side] = leave_block(state[side], exits, sign * block["close"], block["rows"])
-            if block["blk"] == 0 and crossed[side] == 0:
-                crossed[side] = -1  # the first bar of a symbol never turns the trend
-        if max(crossed.values()) >= 0:
-            trend = 1 if crossed["up"] >= crossed["down"] else -1
-    return pd.DataFrame(states, columns=[KEY, "blk", "up_in", "down_in", "trend_in"])
-
-
-def _trace(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("rn")
-    up, down = (
-        follow(last, basic, rows[start].iloc[0])
-        for (last, _, basic), start in zip(_sides(rows), ("up_in", "down_in"))
-    )
-    close, lower = rows["close"].to_numpy(float), -down
-    turn = np.where(close > up, 1.0, np.where(close < lower, -1.0, np.nan))
-    if rows["rn"].iloc[0] == 0:
-        turn[0] = 1.0
-    trend = pd.Series(turn).ffill().fillna(rows["trend_in"].iloc[0]).to_numpy()
-    return rows.assign(line=np.where(trend == 1, lower, up))
+def _floats(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
+    """Columns as float arrays, NULL as NaN."""
+    return [np.asarray(batch.column(n).to_numpy(zero_copy_only=False), dtype=float) for n in names]
+
+
+def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of whole blocks in order to one row per block. Holds one block at a time."""
+    parts: list[np.ndarray] = []
+    name: tuple = ()
+
+    def finish() -> dict:
+        last, close, upper, lower = np.concatenate(parts, axis=1)
+        row = {KEY: name[0], "blk": name[1], "rows": len(close), "close": float(close[-1])}
+        for side, exits in (("up", block_exits(last, close, upper)), ("down", block_exits(-last, -close, -lower))):
+            row.update({f"{side}_{c}": exits[c] for c in _EXIT_COLUMNS})
+        return row
+
+    for batch in batches:
+        data = np.stack(_floats(batch, "last", "close", "upper", "lower"))
+        starts = np.flatnonzero(np.asarray(batch.column("at").to_numpy()) == 1)
+        rows, begin = [], 0
+        for start in [*starts, batch.num_rows]:
+            if start > begin:
+                parts.append(data[:, begin:start])
+            if start < batch.num_rows:
+                if parts:
+                    rows.append(finish())
+                parts, name = [], (batch.column(KEY)[int(start)].as_py(), batch.column("blk")[int(start)].as_py())
+            begin = start
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, _block_schema(batch))
+        shape = batch
+    if parts:
+        yield pa.RecordBatch.from_pylist([finish()], _block_schema(shape))
+
+
+def _block_schema(batch: pa.RecordBatch) -> pa.Schema:
+    exits = [(f"{side}_{c}", pa.list_(pa.float64())) for side in ("up", "down") for c in _EXIT_COLUMNS]
+    return pa.schema([(KEY, batch.schema.field(KEY).type), ("blk", pa.int64()), ("rows", pa.int64()), ("close", pa.float64()), *exits])
+
+
+def _enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of each symbol in order to the state entering them. Holds the running state only.
+
+    Before the first row both bands are wide open. The first bar never turns the trend.
+    """
+    state, trend = {}, 1
+    for batch in batches:
+        out = []
+        for block in batch.to_pylist():
+            if block["at"] == 1:
+                state, trend = {"up": np.inf, "down": np.inf}, 1
+            out.append((state["up"], state["down"], trend))
+            crossed = {}
+            for side, sign in (("up", 1), ("down", -1)):
+                exits = {name: block[f"{side}_{name}"] for name in _EXIT_COLUMNS}
+                state[side], crossed[side] = leave_block(state[side], exits, sign * block["close"], block["rows"])
+                if block["blk"] == 0 and crossed[side] == 0:
+                    crossed[side] = -1
+            if max(crossed.values()) >= 0:
+                trend = 1 if crossed["up"] >= crossed["down"] else -1
+        up, down, turn = zip(*out) if out else ((), (), ())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(KEY), batch.column("blk"), pa.array(up, pa.float64()), pa.array(down, pa.float64()), pa.array(turn, pa.int64())],
+            names=[KEY, "blk", "up_in", "down_in", "trend_in"],
+        )
+
+
+def _trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Follow both bands and the trend row by row; every other column passes through untouched."""
+    up = low = trend = None
+    for batch in batches:
+        line = np.empty(batch.num_rows)
+        columns = _floats(batch, "at", "rn", "last", "close", "upper", "lower", "up_in", "down_in", "trend_in")
+        for i, (at, rn, last, close, top, bottom, up_in, down_in, trend_in) in enumerate(zip(*[c.tolist() for c in columns])):
+            if at == 1:
+                up, low, trend = up_in, -down_in, trend_in
+            if top < up or last > up:
+                up = top
+            if bottom > low or last < low:
+                low = bottom
+            if rn == 0:
+                trend = 1
+            elif close > up:
+                trend = 1
+            elif close < low:
+                trend = -1
+            line[i] = low if trend == 1 else up
+        yield batch.append_column("line", pa.array(line))
 
 
 def supertrend_lines(blocked: DataFrame, name: str, atr: str, multiplier: float) -> DataFrame:
-    """Add column `name` to core rows carrying rn, blk, prices, the lagged close and `atr`."""
+    """Add column `name` to core rows carrying rn, blk, prices, the lagged close and `atr`.
+
+    `at`, a row number over the block window, brings the rows of a block together and in order
+    before they stream through Python, and marks where a block (or a symbol) begins.
+    """
     middle = (F.col("HighPrice") + F.col("LowPrice")) / 2
     bands = blocked.withColumns({
         "close": F.col("ClosePrice"), "last": F.col("_close_lag1"),
@@ -148,12 +188,10 @@ def supertrend_lines(blocked: DataFrame, name: str, atr: str, multiplier: float)
         + [T.StructField(f"{side}_{c}", T.ArrayType(T.DoubleType())) for side in ("up", "down") for c in _EXIT_COLUMNS]
     )
     state = [T.StructField("up_in", T.DoubleType()), T.StructField("down_in", T.DoubleType()), T.StructField("trend_in", T.LongType())]
-    states = (
-        bands.select(KEY, "blk", "rn", "close", "last", "upper", "lower")
-        .groupBy(KEY, "blk").applyInPandas(_describe, described)
-        .groupBy(KEY).applyInPandas(_enter, T.StructType(block_key + state))
-    )
-    entered = bands.join(states, [KEY, "blk"])
-    traced = T.StructType(entered.schema.fields + [T.StructField("line", T.DoubleType())])
-    lines = entered.groupBy(KEY, "blk").applyInPandas(_trace, traced)
+    at = F.row_number().over(block_window())
+    blocks = bands.select(KEY, "blk", "rn", "close", "last", "upper", "lower").withColumn("at", at).mapInArrow(_describe, described)
+    in_symbol = F.row_number().over(Window.partitionBy(KEY).orderBy("blk"))
+    states = blocks.withColumn("at", in_symbol).mapInArrow(_enter, T.StructType(block_key + state))
+    entered = bands.join(states, [KEY, "blk"]).withColumn("at", at)
+    lines = entered.mapInArrow(_trace, T.StructType(entered.schema.fields + [T.StructField("line", T.DoubleType())]))
     return lines.select(*blocked.columns, F.col("line").alias(name))

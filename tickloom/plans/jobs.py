@@ -114,7 +114,7 @@ def repair_raw_job(store: Store, write: bool = True) -> DataFrame:
 def indicator_job(store: Store, definitions: DataFrame, now: datetime, timeframe: str = "1m", write: bool = True) -> DataFrame:
     """All active indicators over all raw bars, appended to the long table."""
     bars = store.raw_bars().select(BAR_COLUMNS)
-    return sinks.append_indicators(indicator_long(bars, definitions, timeframe, now), store.path("indicators"), write)
+    return sinks.append_indicators(indicator_long(bars, definitions, timeframe, now, cut=True), store.path("indicators"), write)
 
 
 def feature_job(store: Store, definitions: DataFrame, now: datetime, write: bool = True) -> DataFrame:
