@@ -129,7 +129,7 @@ def log_lines(spark, d) -> DataFrame:
         F.concat(F.lit("Total computed indicator rows: "), number),
         F.concat(F.lit("Insert step completed in "), value, F.lit(" seconds.")),
     ]
-    chosen = F.element_at(F.array(*texts), (F.col("event_id") % len(texts) + 1).cast("int"))
+    chosen = F.coalesce(*[F.when(F.col("event_id") % len(texts) == i, text) for i, text in enumerate(texts)])
     stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
     return table(spark, d, "events").select(
         F.col("event_type").alias("run"), F.col("event_id").alias("line_no"),
