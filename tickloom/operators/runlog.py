@@ -1,10 +1,12 @@
 """Metrics from run logs: many log files, one job.
 
-Lines come as (run, line_no, value): one `run` per log, `line_no` growing in file order.
+Lines come as (run, line_no, value): one `run` per log, `line_no` anything that sorts in file
+order.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.operators.series import block_window, core_rows, with_blocks, with_row_index
 
@@ -32,14 +34,16 @@ SLICE_LINES = 65_536
 
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
-    """Log files as lines. Files may be split: the split's offset orders the parts of a file."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("run"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("id"), "value",
-    )
-    in_split = F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
-    # a line takes at least one byte, so offset + line number within the split grows along the file
-    return lines.select("run", (F.col("block") + in_split).alias("line_no"), "value")
+    """Log files as lines. Large files are read in splits: the split's offset orders the parts of
+    a file, the increasing id the lines within a split."""
+    place = F.struct(F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("id"))
+    return spark.read.text(path).select(F.col("_metadata.file_path").alias("run"), place.alias("line_no"), "value")
+
+
+def _slices(lines: DataFrame) -> Column:
+    """Parts of a log in which lines are numbered: splits of a file, or ranges of line numbers."""
+    split = isinstance(lines.schema["line_no"].dataType, T.StructType)
+    return F.col("line_no.split") if split else F.expr(f"line_no div {SLICE_LINES}")
 
 
 def line_time(value: Column) -> Column:
@@ -114,7 +118,7 @@ def symbol_durations(lines: DataFrame, block_rows: int | None = None) -> DataFra
         "run", "line_no", F.when(symbol != "", symbol).alias("Symbol"),
         F.when(done, last_float(F.col("value"))).alias("seconds"), done.alias("done"),
     ).where(F.col("done") | F.col("Symbol").isNotNull())
-    numbered = with_row_index(markers, "run", "line_no", F.expr(f"line_no div {SLICE_LINES}"))
+    numbered = with_row_index(markers, "run", "line_no", _slices(lines))
     paired = with_blocks(numbered, after=1, rows=block_rows).withColumn(
         "duration", F.lead("seconds").over(block_window("run"))
     )
