@@ -135,6 +135,8 @@ def test_new_rows_only_next_day(spark, store, tmp_path):
     vendor_file(spark, tmp_path / "day2", walk("AAA", 30, 5, start=next_day), walk("NEW", 25, 6, start=next_day))
     jobs.ingest_job(store, str(tmp_path / "day2"), NOW + timedelta(days=1), source_zone=None)
     assert jobs.merge_job(store).inserted.count() == 55
+    new = jobs.indicator_job(store, definitions(spark), NOW + timedelta(days=1), only_new=True, write=False)
+    assert new.where("IndicatorName = 'EMA'").count() == 4 * 55 and new.where("FieldName = 'SMA_200'").count() == 30
     jobs.indicator_job(store, definitions(spark), NOW + timedelta(days=1))  # second values for old bars: the later ones win
     jobs.feature_job(store, definitions(spark), NOW + timedelta(days=1))
     fresh = jobs.signal_job(store, NOW + timedelta(days=1))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import in_market_hours, minute_bucket
-from tickloom.schemas import KEY, PRICES, RAW_BARS, TS
+from tickloom.schemas import KEY, PRICES, RAW_BARS, TRADE_DATE, TS
 
 RAW_COLUMNS = [f.name for f in RAW_BARS.fields]
 
@@ -78,13 +78,16 @@ def stage_dedup(staging: DataFrame) -> DataFrame:
 def new_only(candidates: DataFrame, raw: DataFrame) -> DataFrame:
     """Candidates whose (Symbol, minute) is not in raw yet.
 
-    Only raw rows within the time range of the candidates can match; the range (two scalar
-    subqueries) keeps the rest of the history out of the join.
+    Only raw rows within the time range of the candidates can match. The range is a pair of
+    scalar subqueries on the stored time (and on the trade date, when raw is partitioned by it),
+    so it prunes files and row groups and keeps the rest of the history out of the join.
     """
-    span = candidates.agg(F.min(TS).alias("lo"), F.max(TS).alias("hi"))
-    minute = minute_bucket(F.col(TS))
-    known = raw.where((minute >= span.select("lo").scalar()) & (minute <= span.select("hi").scalar()))
-    return candidates.join(known.select(KEY, minute.alias(TS)), [KEY, TS], "left_anti")
+    span = candidates.agg(F.min(TS).alias("lo"), (F.max(TS) + F.make_dt_interval(mins=F.lit(1))).alias("hi"))
+    lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
+    known = raw.where((F.col(TS) >= lo) & (F.col(TS) < hi))
+    if TRADE_DATE in raw.columns:
+        known = known.where((F.col(TRADE_DATE) >= F.to_date(lo)) & (F.col(TRADE_DATE) <= F.to_date(hi)))
+    return candidates.join(known.select(KEY, minute_bucket(F.col(TS)).alias(TS)), [KEY, TS], "left_anti")
 
 
 def raw_dedup(raw: DataFrame) -> DataFrame:

@@ -132,9 +132,17 @@ def with_missing_flags(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def fit(train: DataFrame, features: Sequence[str], settings: TrainSettings = TrainSettings()) -> PipelineModel:
-    """Impute, assemble, and one boosted ensemble per class, weighted by class balance."""
-    weighted = with_missing_flags(train.join(F.broadcast(class_weights(train).select("Label", "weight")), "Label"), features)
-    weighted = weighted.withColumn("class", (F.col("Label") + 1).cast("double"))
+    """Impute, assemble, and one boosted ensemble per class, weighted by class balance.
+
+    The weights, one per class, become literals; a join on so few keys would be all skew.
+    """
+    weights = class_weights(train).limit(len(LABELS) + 1).collect()
+    if not {w.Label for w in weights} <= set(LABELS):
+        raise ValueError(f"labels other than {LABELS}")
+    weight = F.coalesce(*[F.when(F.col("Label") == w.Label, F.lit(w.weight)) for w in weights])
+    weighted = with_missing_flags(train, features).withColumns({
+        "weight": weight, "class": (F.col("Label") + 1).cast("double"),
+    })
     filled = [f"{c}__filled" for c in features]
     trees = GBTClassifier(
         maxIter=settings.rounds, maxDepth=settings.depth, stepSize=settings.step, seed=settings.seed,

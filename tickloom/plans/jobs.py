@@ -15,13 +15,12 @@ from pyspark.sql import types as T
 
 from tickloom.operators import labels, merged, signals, staging, training
 from tickloom.operators.engineered import add_engineered_features
+from tickloom.operators.incremental import newer_rows
 from tickloom.operators.registry import definition_list, indicator_long
-from tickloom.schemas import BAR_COLUMNS, KEY, RAW_BARS, SIGNAL_FEATURES, STAGING, TS
+from tickloom.schemas import BAR_COLUMNS, INDICATORS, KEY, RAW_BARS, SIGNAL_FEATURES, STAGING, TRADE_DATE, TS
 from tickloom.session import cut_lineage
 from tickloom.sources import sinks, tables, vendor
 
-TRADE_DATE = "TradeDate"
-
 
 @dataclass(frozen=True)
 class Store:
@@ -111,10 +110,20 @@ def repair_raw_job(store: Store, write: bool = True) -> DataFrame:
     return repaired
 
 
-def indicator_job(store: Store, definitions: DataFrame, now: datetime, timeframe: str = "1m", write: bool = True) -> DataFrame:
-    """All active indicators over all raw bars, appended to the long table."""
+def indicator_job(
+    store: Store, definitions: DataFrame, now: datetime, timeframe: str = "1m", only_new: bool = False, write: bool = True
+) -> DataFrame:
+    """All active indicators over all raw bars, appended to the long table.
+
+    Means and totals need the whole history, so it is always read; with `only_new` the table
+    grows only by bars later than those it holds, instead of by a second value for every bar.
+    """
     bars = store.raw_bars().select(BAR_COLUMNS)
-    return sinks.append_indicators(indicator_long(bars, definitions, timeframe, now, cut=True), store.path("indicators"), write)
+    long = indicator_long(bars, definitions, timeframe, now, cut=True)
+    stored = store.read("indicators", INDICATORS)
+    if only_new and stored is not None:
+        long = newer_rows(long, stored)
+    return sinks.append_indicators(long, store.path("indicators"), write)
 
 
 def feature_job(store: Store, definitions: DataFrame, now: datetime, write: bool = True) -> DataFrame:

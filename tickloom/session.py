@@ -13,6 +13,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **setting
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.sql.maxMetadataStringLength", "2000")  # show pushed filters in full
+        # recording a Python call site per column operation doubles the time to build wide plans
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in settings.items():
         builder = builder.config(name.replace("__", "."), value)
