@@ -54,7 +54,7 @@ def feature_sets(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
 def wide(spark, d) -> DataFrame:
     """Bars with every active indicator; they are already side by side, so no pivot is needed."""
     bars = event_bars(spark, d)
-    return indicators(bars, ACTIVE, keep=BAR_COLUMNS)
+    return indicators(bars, ACTIVE, keep=BAR_COLUMNS, cut=True)
 
 
 def with_flags(df: DataFrame) -> DataFrame:
@@ -172,13 +172,13 @@ def ind_daily(spark, d):
 
 
 def ind_long_registry(spark, d):
-    return rounded(indicator_long(event_bars(spark, d), definitions(spark)).drop("addDateTime"))
+    return rounded(indicator_long(event_bars(spark, d), definitions(spark), cut=True).drop("addDateTime"))
 
 
 def ind_pivot_merge(spark, d):
     """Long table and back: pivot, join to bars, calendar flags, counts."""
     bars = event_bars(spark, d)
-    long = indicator_long(bars, definitions(spark), added=RUN_TS)
+    long = indicator_long(bars, definitions(spark), added=RUN_TS, cut=True)
     wide_again = merged.pivot_last(long, INDICATOR_FIELDS)
     return rounded(merged.merge_indicators(bars, wide_again, "MERGE_20240131_000000", RUN_TS))
 
@@ -194,7 +194,7 @@ def _features(group: str, columns: list[str]):
 def feat_all(spark, d):
     """The merged feature frame from long indicators, every engineered column."""
     bars = event_bars(spark, d)
-    long = indicator_long(bars, definitions(spark), added=RUN_TS)
+    long = indicator_long(bars, definitions(spark), added=RUN_TS, cut=True)
     return rounded(feature_frame(bars, long, INDICATOR_FIELDS, "MERGE_20240131_000000", RUN_TS))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.rolling import long_parts, long_roll, percent_rank_last, roll, zscore_last
 from tickloom.functions.scalars import clean_infinities, flag, nz, session_type
 from tickloom.operators.series import block_window, core_rows, with_blocks, with_row_index
-from tickloom.schemas import KEY, TS
+from tickloom.schemas import TS
 
 # Frame lengths in bars.
 RETURN_LAG = 1

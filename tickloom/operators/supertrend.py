@@ -33,11 +33,13 @@ def block_exits(last: np.ndarray, close: np.ndarray, basic: np.ndarray) -> dict[
     Entering values < below or > above leave at that row; `level` is the band at the block end
     from then on and crossed_* the last row (or -1) where the close stood above the band.
     """
+    last, close, basic = last.tolist(), close.tolist(), basic.tolist()
     exits: list[tuple[float, float, int, int]] = []  # below, above, path, row crossed on leaving
     paths: list[list[float]] = []  # level, last crossing row, path it merged into
     live: list[int] = []
     low, high, open_ = -np.inf, np.inf, True
-    for i in range(len(close)):
+    i = 0
+    while i < len(close) and (open_ or len(live) > 1):
         edge, top = last[i], basic[i]
         jumping = [p for p in live if top < paths[p][0] or edge > paths[p][0]]
         leaves = open_ and (edge > low or top < high)
@@ -49,11 +51,22 @@ def block_exits(last: np.ndarray, close: np.ndarray, basic: np.ndarray) -> dict[
             live = [p for p in live if p not in jumping] + [new]
             if leaves:
                 exits.append((edge if edge > low else -np.inf, top if top < high else np.inf, new, i - 1))
-                low, high = max(low, edge) if edge == edge else low, min(high, top) if top == top else high
+                low, high = edge if edge > low else low, top if top < high else high
                 open_ = low <= high
         for p in live:
             if close[i] > paths[p][0]:
                 paths[p][1] = i
+        i += 1
+    if i < len(close):  # every entering value is on one path by now
+        path = paths[live[0]]
+        level, crossed, _ = path
+        for row in range(i, len(close)):
+            top = basic[row]
+            if top < level or last[row] > level:
+                level = top
+            if close[row] > level:
+                crossed = row
+        path[0], path[1] = level, crossed
 
     table: dict[str, list[float]] = {name: [] for name in _EXIT_COLUMNS}
     for below, above, path, row in exits:

@@ -111,7 +111,8 @@ def repair_raw_job(store: Store, write: bool = True) -> DataFrame:
 
 
 def indicator_job(
-    store: Store, definitions: DataFrame, now: datetime, timeframe: str = "1m", only_new: bool = False, write: bool = True
+    store: Store, definitions: DataFrame, now: datetime, timeframe: str = "1m", only_new: bool = False,
+    cut: bool = False, write: bool = True,
 ) -> DataFrame:
     """All active indicators over all raw bars, appended to the long table.
 
@@ -119,7 +120,7 @@ def indicator_job(
     grows only by bars later than those it holds, instead of by a second value for every bar.
     """
     bars = store.raw_bars().select(BAR_COLUMNS)
-    long = indicator_long(bars, definitions, timeframe, now, cut=True)
+    long = indicator_long(bars, definitions, timeframe, now, cut)
     stored = store.read("indicators", INDICATORS)
     if only_new and stored is not None:
         long = newer_rows(long, stored)
