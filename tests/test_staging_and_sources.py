@@ -4,12 +4,14 @@ from datetime import datetime, timedelta
 
 import pytest
 from helpers import START, bar_rows, collect, frame, walk
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tickloom.operators import incremental, labels, signals, staging
+from tickloom.functions import rolling
+from tickloom.operators import incremental, labels, registry, signals, staging
 from tickloom.operators.engineered import add_engineered_features
 from tickloom.operators.merged import merge_indicators, pivot_last, with_calendar
-from tickloom.schemas import BAR_COLUMNS, INDICATOR_FIELDS, INDICATORS, RAW_BARS, SIGNAL_METRICS, STAGING
+from tickloom.schemas import BAR_COLUMNS, DEFINITIONS, INDICATOR_FIELDS, INDICATORS, RAW_BARS, SIGNAL_METRICS, STAGING
 from tickloom.sources import sinks, tables, vendor
 
 LOADED = datetime(2024, 3, 4, 18, 0)
@@ -75,6 +77,47 @@ def test_symbol_days(spark):
     assert {r.Symbol: r.Days for r in vendor.symbol_days(raw).collect()} == {"A": 30, "B": 7, "C": 7, "D": 5, "E": 7}
 
 
+def test_symbol_file(spark, tmp_path):
+    (tmp_path / "symbols.csv").write_text("Symbol,Days\nAAA,30 d\nBBB,\n")
+    assert dict(vendor.read_symbols(spark, str(tmp_path)).collect()) == {"AAA": 30, "BBB": 7}
+
+
+def test_definition_parameters(spark):
+    rows = [(1, "OBV", None, 1), (2, "ROC", "", 1), (3, "SMA", "2", 1), (4, "EMA", "2", 0)]
+    definitions = spark.createDataFrame(rows, DEFINITIONS)
+    assert registry.field_names(definitions) == ["OBV_0", "ROC_12", "SMA_2"]
+    long = registry.indicator_long(frame(spark, walk("A", 13, 1)), definitions, added=LOADED)
+    assert {r.FieldName: r["count"] for r in long.groupBy("FieldName").count().collect()} == {"OBV_0": 13, "ROC_12": 1, "SMA_2": 12}
+    assert long.schema.fieldNames() == INDICATORS.fieldNames()
+    with pytest.raises(ValueError, match="needs a parameter"):
+        registry.parameter("SMA", "")
+
+
+def test_rolling_helpers(spark):
+    w = Window.partitionBy("Symbol").orderBy("PriceTimestamp")
+    close = F.col("ClosePrice")
+    df = frame(spark, bar_rows("A", [1, 2, 4, 4, 0, 6])).select(
+        rolling.diff(close, 1, w), rolling.cumulative(close, w), rolling.pct_change(close, 1, w),
+        rolling.percent_rank_last(close, 3, w), rolling.zscore_last(close, 2, w))
+    moved, total, change, rank, score = zip(*df.collect())
+    assert moved == (None, 1, 2, 0, -4, 6) and total == (1, 3, 7, 11, 11, 17)
+    assert change == (None, 1, 1, 0, -1, None)
+    assert rank[:2] == (None, None) and [round(x * 3, 9) for x in rank[2:]] == [3, 2.5, 1, 3]
+    assert score[0] is None and score[1] == pytest.approx(0.5 / 0.5 ** 0.5, rel=1e-6) and score[3] == 0
+
+
+@pytest.mark.parametrize("agg, n", [("sum", 64), ("avg", 67), ("min", 100), ("max", 131)])
+def test_long_frames_equal_plain_ones(spark, agg, n):
+    rows = walk("A", 300, 4)
+    rows[150] = (*rows[150][:5], None, rows[150][6])
+    w = Window.partitionBy("Symbol").orderBy("PriceTimestamp")
+    df = frame(spark, rows)
+    parts = df.withColumns(rolling.long_parts(agg, "ClosePrice", n, w))
+    fn = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max}[agg]
+    out = parts.select(rolling.long_roll(agg, "ClosePrice", n, w).alias("a"), rolling.roll(fn, F.col("ClosePrice"), n, w).alias("b")).toPandas()
+    assert out.a.isna().equals(out.b.isna()) and (out.a - out.b).abs().max() < 1e-9 and out.a.notna().any()
+
+
 def test_backfill_window(spark):
     bars = frame(spark, bar_rows("OLD", range(10), step=720), bar_rows("NEW", range(10), step=720), bar_rows("OUT", range(3)))
     symbols = spark.createDataFrame([("OLD", 3), ("NEW", 3)], "Symbol string, Days int")

@@ -24,8 +24,26 @@ def definition_list(definitions: DataFrame) -> list[tuple[int, str, str]]:
     return [(r.IndicatorId, r.IndicatorName, r.DefaultParams) for r in rows]
 
 
-def _field(name: str, param: str) -> str:
-    return f"{name}_{int(param)}"
+# Parameters of indicators whose definition may leave them empty.
+EMPTY_PARAMETER = {"MACD": 0, "OBV": 0, "VWAP": 0, "ROC": 12}
+
+
+def parameter(name: str, text: str | None) -> int:
+    """Parameter of a definition as a number; only some indicators may leave it empty."""
+    if text is None or not text.strip():
+        if name.upper() not in EMPTY_PARAMETER:
+            raise ValueError(f"indicator {name} needs a parameter")
+        return EMPTY_PARAMETER[name.upper()]
+    return int(text)
+
+
+def field_names(definitions: DataFrame) -> list[str]:
+    """Wide column names the active definitions give."""
+    return sorted({_field(name, param) for _, name, param in definition_list(definitions)})
+
+
+def _field(name: str, param: str | None) -> str:
+    return f"{name}_{parameter(name, param)}"
 
 
 def indicator_long(
@@ -41,12 +59,12 @@ def indicator_long(
     shuffled once, not once per definition. An unknown name raises.
     """
     wanted = definition_list(definitions)
-    wide = indicators(bars, dict.fromkeys((name, int(param)) for _, name, param in wanted), cut=cut)
+    wide = indicators(bars, dict.fromkeys((name, parameter(name, param)) for _, name, param in wanted), cut=cut)
     entries = [
         F.struct(
             F.lit(id_).cast("int").alias("IndicatorId"),
             F.lit(name).alias("IndicatorName"),
-            F.lit(str(int(param))).alias("IndicatorParams"),
+            F.lit(str(parameter(name, param))).alias("IndicatorParams"),
             F.col(_field(name, param)).alias("IndicatorValue"),
             F.lit(_field(name, param)).alias("FieldName"),
         )

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tickloom.operators import labels, merged, signals, staging, training
 from tickloom.operators.engineered import add_engineered_features
 from tickloom.operators.incremental import newer_rows
-from tickloom.operators.registry import definition_list, indicator_long
+from tickloom.operators.registry import field_names, indicator_long
 from tickloom.schemas import BAR_COLUMNS, INDICATORS, KEY, RAW_BARS, SIGNAL_FEATURES, STAGING, TRADE_DATE, TS
 from tickloom.session import cut_lineage
 from tickloom.sources import sinks, tables, vendor
@@ -131,8 +131,7 @@ def feature_job(store: Store, definitions: DataFrame, now: datetime, write: bool
     """Bars and pivoted indicators to merged features, upserted by (Symbol, time)."""
     bars = store.raw_bars().select(BAR_COLUMNS)
     long = tables.read_indicators(store.spark, store.path("indicators"))
-    fields = sorted({f"{name}_{int(param)}" for _, name, param in definition_list(definitions)})
-    frame = feature_frame(bars, long, fields, sinks.run_id("MERGE", now), now)
+    frame = feature_frame(bars, long, field_names(definitions), sinks.run_id("MERGE", now), now)
     target, source = store.snapshot("merged_features"), sinks.prepare_merged(frame)
     return store.commit("merged_features", source if target is None else sinks.upsert(target, source), write)
 

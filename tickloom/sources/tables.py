@@ -28,9 +28,11 @@ def read_definitions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DEFINITIONS).parquet(path)
 
 
-def read_indicators(spark: SparkSession, path: str) -> DataFrame:
-    """Long indicators. IndicatorName is the partition column of the stored table."""
-    return spark.read.schema(INDICATORS).parquet(path)
+def read_indicators(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """Long indicators. IndicatorName is the partition column of the stored table, so a filter on
+    it reads only those indicators."""
+    df = spark.read.schema(INDICATORS).parquet(path)
+    return df.select(columns) if columns else df
 
 
 def read_merged(spark: SparkSession, path: str) -> DataFrame:

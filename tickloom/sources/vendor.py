@@ -46,6 +46,12 @@ def vendor_bars(download: DataFrame, source_zone: str | None = "UTC") -> DataFra
     return keep_last_per_minute(df).select(BAR_COLUMNS)
 
 
+def read_symbols(spark: SparkSession, path: str) -> DataFrame:
+    """Symbol list from headed CSV (Symbol, Days), cleaned."""
+    listed = spark.read.option("header", True).schema("Symbol string, Days string").csv(path)
+    return symbol_days(listed)
+
+
 def symbol_days(symbols: DataFrame) -> DataFrame:
     """Symbol list with its back-fill days cleaned: '30 d' -> 30, no digits -> 7."""
     return symbols.withColumn("Days", days_from_text(F.col("Days"), DEFAULT_DAYS))
