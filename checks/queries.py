@@ -93,7 +93,7 @@ def symbol_text(spark, d) -> DataFrame:
 
 
 def exported_before_asof(spark, d) -> DataFrame:
-    return event_staging(spark, d).where(F.col(TS) < F.lit(ASOF).cast("timestamp_ntz"))
+    return event_staging(spark, d).where(F.col(TS) < S.naive(ASOF))
 
 
 def labelled(spark, d) -> DataFrame:
@@ -204,7 +204,7 @@ def sig_features(spark, d):
 
 def _signals_before_asof(spark, d) -> DataFrame:
     bars = event_bars(spark, d)
-    return bars.where(F.col(TS) < F.lit(ASOF).cast("timestamp_ntz")).select(KEY, F.col(TS).alias("FeatureTimestamp"))
+    return bars.where(F.col(TS) < S.naive(ASOF)).select(KEY, F.col(TS).alias("FeatureTimestamp"))
 
 
 def sig_incremental(spark, d):
@@ -242,7 +242,7 @@ def label_minute(spark, d):
 
 def label_incremental(spark, d):
     bars = event_bars(spark, d)
-    stored = labelled(spark, d).where(F.col(TS) < F.lit(ASOF).cast("timestamp_ntz"))
+    stored = labelled(spark, d).where(F.col(TS) < S.naive(ASOF))
     frame = labels.label_incremental(bars, bars, stored, SPEC, "LABEL_20240131_000000", RUN_TS)
     return rounded(frame.select(KEY, TS, "Close_t", "FutureClose_tN", "Return_t_to_tN", "Label", "IsTrainableRow"))
 
@@ -294,7 +294,7 @@ def stage_recent(spark, d):
 def upsert_features(spark, d):
     """Stored rows of the first half, new rows from the last days of it on with other values."""
     bars = event_bars(spark, d)
-    start = F.lit(ASOF).cast("timestamp_ntz")
+    start = S.naive(ASOF)
     target = bars.where(F.col(TS) < start)
     source = bars.where(F.col(TS) >= start - F.make_dt_interval(days=F.lit(3))).withColumn("ClosePrice", F.col("ClosePrice") + 1)
     return rounded(sinks.upsert(target, source))
@@ -380,7 +380,7 @@ def dq_inserted_by_run(spark, d):
 
 
 def dq_rows_between(spark, d):
-    start = F.lit(ASOF).cast("timestamp_ntz")
+    start = S.naive(ASOF)
     return quality.rows_between(event_staging(spark, d), start, start + F.make_dt_interval(days=F.lit(2)), "LoadTimestamp")
 
 

@@ -191,3 +191,13 @@ def test_importance_finds_the_feature_that_decides(spark):
     model = training.fit(df, ["good", "noise"], training.TrainSettings(rounds=1, depth=1))
     ranked = training.permutation_importance(model, df, ["good", "noise"], repeats=3).collect()
     assert ranked[0].Feature == "good" and ranked[0].Importance > 0.3 and abs(ranked[1].Importance) < 0.05
+
+
+def test_naive_times_ignore_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    moment = datetime(2024, 3, 10, 2, 30, 1, 5)
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        assert one(spark, S.naive(moment)) == moment
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -1,5 +1,7 @@
 """Scalar column helpers. All of them stay inside generated JVM code."""
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +41,12 @@ def to_timestamp(x: Column) -> Column:
     return x.try_cast("timestamp_ntz")
 
 
+def naive(moment: datetime) -> Column:
+    """A wall-clock time as a column. Spelled as text: a datetime literal would be an instant and
+    shift with the session zone."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def flag(condition: Column) -> Column:
     """0/1 integer; an unknown condition counts as 0."""
     return F.coalesce(condition, F.lit(False)).cast("int")

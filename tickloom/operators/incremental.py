@@ -5,6 +5,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.functions.scalars import naive
 from tickloom.schemas import KEY, TS
 
 # Fixed value: a time before any bar.
@@ -20,7 +21,7 @@ def symbol_cutoffs(stored: DataFrame, ts: str = TS, where: Column | str | None =
 def global_cutoff(stored: DataFrame, ts: str = TS, where: Column | str | None = None) -> DataFrame:
     """One row; an empty table gives the beginning of time."""
     rows = stored.where(where) if where is not None else stored
-    return rows.agg(F.coalesce(F.max(ts), F.lit(BEGINNING).cast("timestamp_ntz")).alias("LastTs"))
+    return rows.agg(F.coalesce(F.max(ts), naive(BEGINNING)).alias("LastTs"))
 
 
 def with_cutoff(

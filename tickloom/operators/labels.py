@@ -6,7 +6,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import minutes
+from tickloom.functions.scalars import minutes, naive
 from tickloom.operators.incremental import newer_rows
 from tickloom.schemas import KEY, TS
 
@@ -59,7 +59,7 @@ def label_frame(features: DataFrame, bars: DataFrame, spec: LabelSpec, run_id: s
             "IsOutlier": F.lit(0),
             "RegimeTag": F.lit(None).cast("string"),
             "MarketSession": F.lit(None).cast("string"),
-            "LoadTimestamp": F.lit(run_ts).cast("timestamp_ntz"),
+            "LoadTimestamp": naive(run_ts),
             "SourceRunID": F.lit(run_id),
             "RunId": F.lit(run_id),
         })

@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import day_of_week, drop_nan, in_market_hours, null_count, present_count, to_double
+from tickloom.functions.scalars import day_of_week, drop_nan, in_market_hours, naive, null_count, present_count, to_double
 from tickloom.schemas import BAR_COLUMNS, CALENDAR_FIELDS, KEY, RUN_FIELDS, TS
 
 
@@ -40,7 +40,7 @@ def merge_indicators(bars: DataFrame, wide: DataFrame, run_id: str, run_ts: date
     fields = indicator_columns(joined)
     return (
         with_calendar(joined)
-        .withColumns({"RunTimestamp": F.lit(run_ts).cast("timestamp_ntz"), "MergeRunId": F.lit(run_id)})
+        .withColumns({"RunTimestamp": naive(run_ts), "MergeRunId": F.lit(run_id)})
         .withColumns({c: drop_nan(to_double(F.col(f"`{c}`"))) for c in fields})
         .withColumns({"SourceIndicatorCount": present_count(fields), "MissingIndicatorCount": null_count(fields)})
     )

@@ -11,13 +11,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import minute_bucket, run_day_prefix
+from tickloom.functions.scalars import minute_bucket, naive, run_day_prefix
 from tickloom.schemas import BAR_COLUMNS, KEY, PRICES, TS
 
-def _ntz(t: datetime) -> Column:
-    return F.lit(t).cast("timestamp_ntz")
-
-
 def _rows() -> Column:
     return F.count(F.lit(1))
 
@@ -63,13 +59,13 @@ def newest_first(report: DataFrame) -> DataFrame:
 
 def inserted_since(df: DataFrame, asof: datetime, stamp: str = "RunDateTime") -> DataFrame:
     """Rows stamped on or after the start of the day of `asof`."""
-    day = F.to_date(_ntz(asof)).cast("timestamp_ntz")
+    day = F.to_date(naive(asof)).cast("timestamp_ntz")
     return df.where(F.col(stamp) >= day).agg(_rows().alias("RowsInsertedToday"))
 
 
 def inserted_by_run(df: DataFrame, asof: datetime, prefix: str = "SIGNAL_", run: str = "FeatureRunId") -> DataFrame:
     """Rows whose run id starts with the prefix and the day of `asof`."""
-    return df.where(F.col(run).startswith(run_day_prefix(prefix, _ntz(asof)))).agg(_rows().alias("RowsInsertedTodayByRunId"))
+    return df.where(F.col(run).startswith(run_day_prefix(prefix, naive(asof)))).agg(_rows().alias("RowsInsertedTodayByRunId"))
 
 
 def rows_between(df: DataFrame, start: Column, end: Column, stamp: str = "addDateTime") -> DataFrame:
@@ -107,7 +103,7 @@ def orphan_count(indicators: DataFrame, bars: DataFrame) -> DataFrame:
 
 def table_counts(tables: Mapping[str, tuple[DataFrame, str]], asof: datetime) -> DataFrame:
     """Per table: rows, rows before the day of `asof`, and the difference. One pass per table."""
-    day = F.to_date(_ntz(asof)).cast("timestamp_ntz")
+    day = F.to_date(naive(asof)).cast("timestamp_ntz")
     parts = [
         df.agg(_rows().alias("TotalRows"), F.count_if(F.col(ts) < day).alias("RowsBeforeToday"))
         .select(F.lit(name).alias("TableName"), "*", (F.col("TotalRows") - F.col("RowsBeforeToday")).alias("Increment"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.rolling import pct_change, roll
-from tickloom.functions.scalars import null_count, nz
+from tickloom.functions.scalars import naive, null_count, nz
 from tickloom.operators.incremental import newer_rows, newer_with_context, symbol_cutoffs, with_cutoff
 from tickloom.operators.series import block_window, core_rows, with_blocks, with_row_index
 from tickloom.schemas import (
@@ -40,7 +40,7 @@ def signal_frame(merged: DataFrame, run_id: str, run_ts: datetime, version: int
     return df.withColumns({
         "FeatureTimestamp": F.col(TS),
         "FeatureRunId": F.lit(run_id),
-        "RunDateTime": F.lit(run_ts).cast("timestamp_ntz"),
+        "RunDateTime": naive(run_ts),
         "SignalVersion": F.lit(version).cast("int"),
         "MissingFeatureCount": null_count([c for c in COUNTED if c in df.columns]),
         **{c: F.col(c).cast("int") for c in CALENDAR_FIELDS},

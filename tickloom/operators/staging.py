@@ -6,7 +6,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import in_market_hours, minute_bucket
+from tickloom.functions.scalars import in_market_hours, minute_bucket, naive
 from tickloom.schemas import KEY, PRICES, RAW_BARS, TRADE_DATE, TS
 
 RAW_COLUMNS = [f.name for f in RAW_BARS.fields]
@@ -151,5 +151,5 @@ def merge_summary(staging: DataFrame, raw: DataFrame, inserted: DataFrame, snaps
 
 def recently_loaded(raw: DataFrame, asof, window_minutes: int = 10) -> DataFrame:
     """Rows per symbol loaded within the last minutes before `asof`."""
-    start = F.lit(asof).cast("timestamp_ntz") - F.make_dt_interval(mins=F.lit(window_minutes))
+    start = naive(asof) - F.make_dt_interval(mins=F.lit(window_minutes))
     return raw.where(F.col("LoadTimestamp") >= start).groupBy(KEY).agg(F.count(F.lit(1)).alias("LoadedRows"))

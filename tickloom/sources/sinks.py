@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.functions.scalars import clip, finite, float_columns, numeric_columns, to_double, to_timestamp
+from tickloom.functions.scalars import clip, finite, float_columns, naive, numeric_columns, to_double, to_timestamp
 from tickloom.schemas import BAR_COLUMNS, INDICATORS, KEY, MODEL_REGISTRY, SIGNAL_FEATURES, TS
 
 FLOAT_LIMIT = 1e308
@@ -31,7 +31,7 @@ def append_staging(
     """Stamp batch, load time and Exported = 0, then append."""
     stamped = bars.select(BAR_COLUMNS).withColumns({
         "BatchID": F.lit(batch_id or str(uuid4())),
-        "LoadTimestamp": F.lit(loaded).cast("timestamp_ntz"),
+        "LoadTimestamp": naive(loaded),
         "Exported": F.lit(0),
     })
     return _append(stamped, path, write)

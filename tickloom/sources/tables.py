@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.functions.scalars import naive
 from tickloom.operators.incremental import newer_rows
 from tickloom.operators.labels import REQUIRED, LabelSpec
 from tickloom.schemas import BAR_COLUMNS, DEFINITIONS, INDICATORS, KEY, MERGED_SOURCE_COLUMNS, RAW_BARS, STAGING, TS
@@ -65,7 +66,7 @@ def read_labelled(spark: SparkSession, path: str, spec: LabelSpec) -> DataFrame:
 def in_date_range(bars: DataFrame, start: datetime, end: datetime) -> DataFrame:
     """start <= time < end."""
     ts = F.col(TS)
-    return bars.where((ts >= F.lit(start).cast("timestamp_ntz")) & (ts < F.lit(end).cast("timestamp_ntz")))
+    return bars.where((ts >= naive(start)) & (ts < naive(end)))
 
 
 def newest_rows(df: DataFrame, symbol: str, n: int = 2000, ts: str = TS) -> DataFrame:

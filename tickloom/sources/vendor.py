@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import clean_headers, days_from_text, exchange_time, to_double, to_timestamp
+from tickloom.functions.scalars import clean_headers, days_from_text, exchange_time, naive, to_double, to_timestamp
 from tickloom.operators.incremental import symbol_cutoffs
 from tickloom.operators.staging import keep_last_per_minute
 from tickloom.schemas import BAR_COLUMNS, KEY, TS
@@ -62,7 +62,7 @@ def backfill_window(bars: DataFrame, symbols: DataFrame, exported: DataFrame, as
 
     Days are counted back from `asof`, by default the newest bar of the download.
     """
-    latest = bars.agg(F.max(TS)).scalar() if asof is None else F.lit(asof).cast("timestamp_ntz")
+    latest = bars.agg(F.max(TS)).scalar() if asof is None else naive(asof)
     wanted = symbols.join(exported, KEY, "left").select(
         KEY, F.when(F.col("LastTs").isNull(), F.col("Days")).otherwise(KNOWN_SYMBOL_DAYS).alias("_days")
     )
@@ -77,7 +77,7 @@ def ingest(
     """Bars to stage. With a date range exactly that range; otherwise the back-fill window of
     each symbol, less what was exported before."""
     if date_range is not None:
-        start, end = (F.lit(t).cast("timestamp_ntz") for t in date_range)
+        start, end = (naive(t) for t in date_range)
         return bars.where((F.col(TS) >= start) & (F.col(TS) < end))
     exported = symbol_cutoffs(staging, where="Exported = 1")
     if symbols is not None:
