@@ -32,7 +32,7 @@ from tickloom.llm.common import id_text, sliced, spread
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 ARROW = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 #: Fixed value: the code points with the White_Space property, as the pattern's \s has them.
-SPACE = "\t-\r \x85\xa0  -     　"
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORDS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 BLOCK_BYTES = 1 << 20
 

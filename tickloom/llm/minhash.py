@@ -208,3 +208,9 @@ def near_duplicates(docs: DataFrame, *, words: int = 4, percent: int = 80, chunk
     joined = sketches.select("doc_id", "n_shingles", "set_id").join(named, "set_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
+    """docs without those that are near duplicates of a document of smaller doc_id in their component."""
+    gone = near_duplicates(docs, words=words, percent=percent).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")

@@ -7,14 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, minhash, neighbours, packing, quality, sharding, tokenids, toxicity
+from tickloom.llm import bpe, linededup, minhash, neighbours, packing, quality, sharding, suffixes, tokenids, toxicity
 from tickloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": lambda s, d: minhash.near_duplicates(table(s, d, "documents")),
     "op2_token_ids": lambda s, d: tokenids.round_trip(table(s, d, "documents")),
+    "op3_repeats": lambda s, d: suffixes.digest(table(s, d, "documents")),
     "op4_sharding": lambda s, d: sharding.place(table(s, d, "documents")),
     "op5_toxicity": lambda s, d: toxicity.classify(table(s, d, "documents"), table(s, d, "labels")),
+    "op6_line_dedup": lambda s, d: linededup.report(table(s, d, "documents")),
     "op7_neighbours": lambda s, d: neighbours.search(table(s, d, "embeddings"), F.col("vec_id") % 50 == 0),
     "op8_byte_bpe": lambda s, d: bpe.encode_documents(table(s, d, "documents")),
     "op9_quality": lambda s, d: quality.judge(table(s, d, "documents")),
