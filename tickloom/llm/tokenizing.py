@@ -1,20 +1,35 @@
 """Ids of whole texts by the `tokenizers` library, every distinct word encoded once per worker.
 
 The word tokenizer drops white space and none of its normalizers, patterns or merges reach across
-it, so a text's ids are those of its words (split at ASCII white space) one after the other.
+it, so a text's ids are those of its words (split at ASCII white space) one after the other. Its
+pattern also parts letters from the stop behind them and its ids do not depend on ASCII case, so
+"word, " and "Word. " share what is encoded.
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
+from itertools import chain
 
 import numpy as np
 
+from tickloom.llm.common import spread
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Distinct words that a worker remembers; beyond it starts anew. Only speed depends on it.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
+
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_LETTER = np.zeros(256, bool)
+_LETTER[97:123] = True
+_STOP = np.zeros(256, bool)
+_STOP[list(b".,!?;:")] = True
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, *range(9, 14)]] = True
 
 
 class _Seen(dict):
@@ -28,6 +43,15 @@ class _Seen(dict):
         return n
 
 
+def parted(buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts in lower case (A-Z), with a blank between a letter and a stop that white space follows."""
+    buf = _LOWER[buf]
+    if len(buf) < 3:
+        return buf, at
+    stops = np.flatnonzero(_STOP[buf[1:-1]] & _LETTER[buf[:-2]] & _SPACE[buf[2:]]) + 1
+    return np.insert(buf, stops, 32), at + np.searchsorted(stops, at)
+
+
 class WordEncoder:
     def __init__(self, model: str):
         from tokenizers import Tokenizer
@@ -40,25 +64,27 @@ class WordEncoder:
         self.seen, self.flat, self.start, self.length, self.used = _Seen(), np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), 0
 
     def _learn(self) -> None:
-        words, self.seen.new = self.seen.new, []
-        ids = [x.ids for x in self.tokenizer.encode_batch([w.decode("utf-8") for w in words], add_special_tokens=False)]
+        words, self.seen.new = [w.decode() for w in self.seen.new], []
+        plain = [w.isascii() and w.isalpha() for w in words]  # lower case already: a single match of the pattern
+        rest = iter(self.tokenizer.encode_batch_fast([w for w, p in zip(words, plain, strict=True) if not p], add_special_tokens=False))
+        model = self.tokenizer.model
+        ids = [[x.id for x in model.tokenize(w)] if p else next(rest).ids for w, p in zip(words, plain, strict=True)]
         known, lengths = len(self.seen) - len(words), np.fromiter(map(len, ids), np.int64, len(ids))
         while len(self.start) < len(self.seen):
             self.start, self.length = np.concatenate([self.start, np.zeros_like(self.start)]), np.concatenate([self.length, np.zeros_like(self.length)])
         total = int(lengths.sum())
         while len(self.flat) < self.used + total:
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + total] = np.fromiter((i for x in ids for i in x), np.uint32, total)
+        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
         ends = self.used + np.cumsum(lengths)
         self.start[known : len(self.seen)], self.length[known : len(self.seen)] = ends - lengths, lengths
         self.used += total
 
     def encode(self, buf: np.ndarray, at: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with end_id behind it, and the texts' offsets in them."""
-        from tickloom.llm.common import spread
-
         if len(self.seen) > REMEMBERED:
             self.forget()
+        buf, at = parted(buf, at)
         data, words, counts = buf.tobytes(), [], []
         for i in range(len(at) - 1):
             own = data[at[i] : at[i + 1]].split()
