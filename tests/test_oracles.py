@@ -15,7 +15,7 @@ def con(data):
 
 def test_catalogue():
     assert set(ORACLES) == set(QUERIES) - {"train_fit", "train_importance"}
-    assert set(entry_points.queries()) == set(QUERIES) and set(entry_points.oracle_sql()) == set(ORACLES)
+    assert set(entry_points.queries()) >= set(QUERIES) and set(entry_points.oracle_sql()) >= set(ORACLES)
 
 
 def test_entry(spark):
