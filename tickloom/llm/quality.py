@@ -15,6 +15,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, fields, replace
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -146,11 +147,15 @@ RULES: dict[str, Callable[[Texts], np.ndarray]] = {f.__name__: f for f in (symbo
 
 
 def order_rules(docs: DataFrame, rules: dict[str, Callable] = RULES, sample_rows: int = 2000) -> list[str]:
-    """Names of rules by rejections per second of work, measured on `sample_rows` documents at most."""
+    """Names of rules by rejections per second of work, measured on about `sample_rows` documents.
+
+    Every partition measures the same small number of its first rows and reads no further.
+    """
+    each = max(1, sample_rows // max(1, docs.rdd.getNumPartitions()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = {n: [0.0, 0] for n in rules}
-        for _, buf, at in sliced(batches):
+        for _, buf, at in sliced(b.slice(0, each) for b in islice(batches, 1)):
             texts = Texts.measure(buf, at)
             for n, rule in rules.items():
                 began = time.perf_counter()
@@ -158,7 +163,7 @@ def order_rules(docs: DataFrame, rules: dict[str, Callable] = RULES, sample_rows
                 seen[n][0] += time.perf_counter() - began
         yield pa.RecordBatch.from_pydict({"rule": list(seen), "seconds": [x[0] for x in seen.values()], "rejected": [x[1] for x in seen.values()]})
 
-    rows = id_text(docs).limit(sample_rows).mapInArrow(run, "rule string, seconds double, rejected long").groupBy("rule").sum("seconds", "rejected").collect()
+    rows = id_text(docs).mapInArrow(run, "rule string, seconds double, rejected long").groupBy("rule").sum("seconds", "rejected").collect()
     return [r[0] for r in sorted(rows, key=lambda r: (-r[2] / (r[1] + 1e-9), r[0]))] or list(rules)
 
 

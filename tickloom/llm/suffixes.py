@@ -186,6 +186,10 @@ def _marks(contexts: DataFrame, length: int, anchor: int) -> DataFrame:
     out = pa.schema([("tid", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
 
     def mark(t: pa.Table) -> pa.RecordBatch:
+        order = np.lexsort([np.array(t.column(c)) for c in ("spot", "tid", "hash")])
+        same = np.stack([np.diff(np.array(t.column(c))[order]) for c in ("hash", "tid", "spot")])
+        if (again := ~same.any(0)).any():  # repeated rows: a place counts once
+            t = t.take(pa.array(np.sort(order[np.concatenate([[True], ~again])])))
         run = np.array(t.column("hash"))
         ids = t.column("first_id").combine_chunks()
         # a null doc_id is before all others
