@@ -2,9 +2,10 @@
 
 Features are the distinct words, neighbouring pairs and pairs with one word between of a text, in
 lower case, hashed into two tables. Only a bounded sample of labelled rows is fitted (`sample_rows`,
-lowest hashes of doc_id first): it is dealt to a few tasks, each runs FTRL-proximal with rates per
-coordinate and L1, and the weights are averaged. L1 leaves few weights, so a bounded, sparse table
-goes to the tasks that score every whole text.
+lowest hashes of doc_id first): dealt to `shards` tasks, each runs FTRL-proximal with rates per
+coordinate and L1, and the weights are averaged. L1 grows with the number of epochs, so that pairs seen
+once are not learnt by heart; it leaves few weights, and a bounded, sparse table goes to the tasks that
+score every whole text.
 
 Labels are used only in fitting and only from rows whose crc32(doc_id) mod 4 is not the held-out
 remainder. Null, empty or wordless texts get the score of the bias alone. Without any usable label
@@ -80,7 +81,7 @@ def held_out(doc_id: Column, remainder: int = 2) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == remainder, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, remainder: int = 2, sample_rows: int = 20_000, shards: int = 4, epochs: int = 4, alpha: float = 0.1, beta: float = 1.0, l1: float = 1.0, l2: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+def fit(docs: DataFrame, labels: DataFrame, *, remainder: int = 2, sample_rows: int = 20_000, shards: int = 1, epochs: int = 6, alpha: float = 1.0, beta: float = 1.0, l1: float = 4.0, l2: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
     """Coordinates and their weights (the bias is the last coordinate)."""
     size = 2 ** (BITS + 1)
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
