@@ -281,7 +281,7 @@ lines AS (
     WHEN 2 THEN 'Completed indicator ' || ind || ' with ' || n || ' rows in ' || v || ' seconds.'
     WHEN 3 THEN 'Total rows inserted:     ' || n WHEN 4 THEN 'Inserted ' || n || ' new rows into tblRawPrices.'
     WHEN 5 THEN '=== MERGE COMPLETED in ' || v || ' seconds ===' WHEN 6 THEN 'Merged dataset: 1,' || lpad(n, 3, '0') || ' rows, 56 columns.'
-    WHEN 7 THEN '=== MASTER ORCHESTRATOR STARTED ===' WHEN 8 THEN 'Completed: merge_features'
+    WHEN 7 THEN '=== MASTER ORCHESTRATOR STARTED ===' WHEN 8 THEN 'Completed: merge_feature.py'
     WHEN 9 THEN 'Loaded 31,' || lpad(n, 3, '0') || ' price rows.' WHEN 10 THEN 'Total rows in RawPrices after merge: ' || n
     WHEN 11 THEN 'Total computed indicator rows: ' || n ELSE 'Insert step completed in ' || v || ' seconds.' END AS value
   FROM texts)"""
@@ -381,14 +381,14 @@ SELECT Symbol, PriceTimestamp AS FeatureTimestamp, {r6(['Return_20', 'Volatility
     "label_incremental": f"""WITH {bars()}, {LABELLED}, cutoff AS (SELECT Symbol, max(PriceTimestamp) AS LastTs FROM bars WHERE PriceTimestamp < {AT} GROUP BY Symbol)
 SELECT {KEYS}, Close_t, FutureClose_tN, round(Return_t_to_tN, 6) AS Return_t_to_tN, {LABEL} AS Label, {TRAINABLE} AS IsTrainableRow FROM labelled LEFT JOIN cutoff USING (Symbol) WHERE LastTs IS NULL OR PriceTimestamp > LastTs""",
     "label_scan": f"WITH {bars()}, {LABELLED} SELECT {LABEL} AS Label, count(*) AS n FROM labelled GROUP BY 1",
-    "stage_gate": f"WITH {STAGING} SELECT count(*) AS PendingRows, count(*) FILTER (NOT ({OPEN_HOURS})) AS InvalidRows, count(*) FILTER (NOT ({OPEN_HOURS})) = 0 AS MayMerge FROM staging WHERE {PENDING}",
+    "stage_gate": f"WITH {STAGING} SELECT count(*) AS PendingRows, count(*) FILTER (NOT ({OPEN_HOURS})) AS InvalidRows, CAST(0 AS BIGINT) AS RejectedRows, count(*) FILTER (NOT ({OPEN_HOURS})) = 0 AS MayMerge FROM staging WHERE {PENDING}",
     "stage_pending": f"WITH {STAGING} SELECT Symbol, count(*) AS PendingRows FROM staging WHERE {PENDING} GROUP BY Symbol",
     "stage_dedup": f"WITH {STAGING}, {newest('fresh', 'staging', f'{PENDING} AND {OPEN_HOURS}')} SELECT * FROM fresh",
     "stage_insert_new": f"WITH {STAGING}, {RAW}, {newest('fresh', 'staging', f'{PENDING} AND {OPEN_HOURS}')} SELECT f.* FROM fresh f ANTI JOIN raw r USING (Symbol, PriceTimestamp)",
     "stage_merge_summary": f"""WITH {MARKET}, sizes AS (
   SELECT Symbol, count(*) AS p, 0 AS r, 0 AS i FROM market WHERE {PENDING} GROUP BY Symbol UNION ALL
   SELECT Symbol, 0, count(*), 0 FROM raw GROUP BY Symbol UNION ALL SELECT Symbol, 0, 0, count(*) FROM inserted GROUP BY Symbol)
-SELECT Symbol, CAST(sum(p) AS BIGINT) AS PendingRows, CAST(sum(r) AS BIGINT) AS RowsBefore, CAST(sum(i) AS BIGINT) AS InsertedRows, CAST(sum(r) + sum(i) AS BIGINT) AS RowsAfter FROM sizes GROUP BY Symbol""",
+SELECT Symbol, CAST(sum(p) AS BIGINT) AS PendingRows, CAST(0 AS BIGINT) AS RejectedRows, CAST(sum(r) AS BIGINT) AS RowsBefore, CAST(sum(i) AS BIGINT) AS InsertedRows, CAST(sum(r) + sum(i) AS BIGINT) AS RowsAfter FROM sizes GROUP BY Symbol""",
     "stage_merge_snapshot": f"WITH {MARKET} SELECT * FROM raw UNION ALL SELECT * FROM inserted",
     "stage_exported": f"WITH {MARKET} SELECT BatchID, 1 AS Exported, count(*) AS n FROM market GROUP BY BatchID",
     "stage_recent": f"WITH {STAGING} SELECT Symbol, count(*) AS LoadedRows FROM staging WHERE LoadTimestamp >= {AT} - INTERVAL 1440 MINUTE GROUP BY Symbol",
@@ -397,6 +397,15 @@ SELECT Symbol, CAST(sum(p) AS BIGINT) AS PendingRows, CAST(sum(r) AS BIGINT) AS
 source AS (SELECT * REPLACE (ClosePrice + 1 AS ClosePrice) FROM bars WHERE PriceTimestamp >= {AT} - INTERVAL 3 DAY)
 SELECT {KEYS}, OpenPrice, HighPrice, LowPrice, round(ClosePrice, 6) AS ClosePrice, Volume FROM (SELECT t.* FROM target t ANTI JOIN source s USING (Symbol, PriceTimestamp) UNION ALL SELECT * FROM source)""",
     "ingest_filter": f"WITH {STAGING}, {VENDOR}, {cutoffs()} SELECT v.* FROM vendor v LEFT JOIN cutoff c USING (Symbol) WHERE LastTs IS NULL OR PriceTimestamp > LastTs",
+    "ingest_offsets": """SELECT event_id, timezone('America/New_York', timezone('UTC', CASE event_id % 4
+  WHEN 1 THEN date_trunc('second', ts) + INTERVAL 180 DAY + INTERVAL 5 HOUR WHEN 2 THEN date_trunc('second', ts) + INTERVAL 180 DAY
+  ELSE date_trunc('second', ts) END)) AS exchange_ts FROM events""",
+    "stage_rejects": f"""WITH {MARKET}, faulty AS (SELECT * REPLACE (CASE WHEN Volume % 11 <> 3 THEN PriceTimestamp END AS PriceTimestamp,
+  CASE WHEN Volume % 11 <> 5 THEN Symbol END AS Symbol, CASE WHEN Volume % 11 <> 7 THEN ClosePrice END AS ClosePrice) FROM market WHERE {PENDING}),
+good AS (SELECT Symbol, count(DISTINCT {MINUTE}) AS n FROM faulty WHERE Symbol IS NOT NULL AND PriceTimestamp IS NOT NULL AND ClosePrice IS NOT NULL GROUP BY Symbol)
+SELECT f.Symbol, count(*) AS PendingRows, count(*) FILTER (f.Symbol IS NULL OR PriceTimestamp IS NULL OR ClosePrice IS NULL) AS RejectedRows,
+  CAST(0 AS BIGINT) AS RowsBefore, coalesce(any_value(g.n), 0) AS InsertedRows, coalesce(any_value(g.n), 0) AS RowsAfter
+FROM faulty f LEFT JOIN good g ON g.Symbol IS NOT DISTINCT FROM f.Symbol GROUP BY f.Symbol""",
     "ingest_backfill": f"""WITH {STAGING}, {VENDOR}, {cutoffs('length(Symbol) > 5')},
 symbols AS (SELECT DISTINCT event_type AS Symbol, CASE WHEN length(event_type) % 2 = 0 THEN length(event_type) ELSE 7 END AS Days FROM events)
 SELECT v.* FROM vendor v JOIN symbols s USING (Symbol) LEFT JOIN cutoff c USING (Symbol)
@@ -438,6 +447,16 @@ SELECT NULL, count(*), CAST(sum(DaysProcessed) AS BIGINT), CAST(sum(RowsInserted
         check("duplicates_raw_bars", "count(*) = 0", "CAST(count(*) AS VARCHAR) || ' duplicate keys'", DUPES),
         "SELECT 'orphans_indicators', true, '0 orphans'",
     ]),
+    "dq_report_missing": f"WITH {bars()} " + " UNION ALL ".join([
+        "SELECT 'table_exists_raw_bars' AS \"check\", true AS ok, 'present' AS details",
+        "SELECT 'table_exists_indicators', false, 'missing'",
+        "SELECT 'orphans_indicators', false, 'could not run: a table is missing'",
+        "SELECT 'columns_raw_bars', true, 'all present'",
+        check("nulls_raw_bars", f"({NULLS}) = 0", f"CAST({NULLS} AS VARCHAR) || ' NULLs'", "bars"),
+        check("ranges_raw_bars", f"({BAD}) = 0", f"CAST({BAD} AS VARCHAR) || ' values out of range'", "bars"),
+        check("row_count_raw_bars", "count(*) >= 1000", "CAST(count(*) AS VARCHAR) || ' rows'", "bars"),
+        check("duplicates_raw_bars", "count(*) = 0", "CAST(count(*) AS VARCHAR) || ' duplicate keys'", DUPES),
+    ]),
     "sanitise_numeric": """WITH t AS (SELECT event_id, value, ts, event_id % 6 AS k, CASE event_id % 6 WHEN 0 THEN value END AS x FROM events)
 SELECT event_id, x AS without_infinity, x AS clean,
   CASE k WHEN 2 THEN 100.0::DOUBLE WHEN 3 THEN -100.0::DOUBLE ELSE CASE WHEN x > 100 THEN 100 ELSE x END END AS clipped,

@@ -123,7 +123,7 @@ def log_lines(spark, d) -> DataFrame:
         F.concat(F.lit("=== MERGE COMPLETED in "), value, F.lit(" seconds ===")),
         F.concat(F.lit("Merged dataset: 1,"), F.lpad(number, 3, "0"), F.lit(" rows, 56 columns.")),
         F.lit("=== MASTER ORCHESTRATOR STARTED ==="),
-        F.lit("Completed: merge_features"),
+        F.lit("Completed: merge_feature.py"),
         F.concat(F.lit("Loaded 31,"), F.lpad(number, 3, "0"), F.lit(" price rows.")),
         F.concat(F.lit("Total rows in RawPrices after merge: "), number),
         F.concat(F.lit("Total computed indicator rows: "), number),
@@ -300,6 +300,28 @@ def upsert_features(spark, d):
     return rounded(sinks.upsert(target, source))
 
 
+def ingest_offsets(spark, d):
+    """Vendor times with offsets, with Z and without zone, winter and summer, as exchange time."""
+    utc = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
+    summer = F.date_format((F.col("ts") + F.make_dt_interval(days=F.lit(180))).cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
+    kind = F.col("event_id") % 4
+    text = F.when(kind == 0, F.concat(utc, F.lit("+00:00"))).when(kind == 1, F.concat(summer, F.lit("-05:00"))).when(kind == 2, F.concat(summer, F.lit("Z"))).otherwise(utc)
+    return table(spark, d, "events").select("event_id", S.exchange_time_of_text(text).alias("exchange_ts"))
+
+
+def _with_faults(spark, d) -> DataFrame:
+    """Staging in which some rows lack time, symbol or a price."""
+    k = F.col("Volume") % 11
+    return market_staging(spark, d).withColumns({
+        TS: F.when(k != 3, F.col(TS)), KEY: F.when(k != 5, F.col(KEY)), "ClosePrice": F.when(k != 7, F.col("ClosePrice")),
+    })
+
+
+def stage_rejects(spark, d):
+    staged = _with_faults(spark, d)
+    return staging.merge_summary(staged, staged.limit(0), staging.stage_dedup(staged), staging.stage_dedup(staged))
+
+
 def ingest_filter(spark, d):
     bars = vendor.vendor_bars(_vendor_named(spark, d))
     return vendor.ingest(bars, exported_before_asof(spark, d))
@@ -417,6 +439,11 @@ def dq_table_counts(spark, d):
     }, ASOF)
 
 
+def dq_report_missing(spark, d):
+    """Raw bars are there, the indicator table is not."""
+    return quality.quality_report(event_bars(spark, d), None)
+
+
 def dq_report(spark, d):
     bars = event_bars(spark, d)
     long = indicator_long(bars, definitions(spark).where("IndicatorId = 1"))
@@ -451,7 +478,7 @@ def calendar_fields(spark, d):
 
 
 def preview_top_n(spark, d):
-    return tables.newest_rows(event_bars(spark, d), "click", 2000)
+    return tables.first_rows(event_bars(spark, d), "click", 2000)
 
 
 def fs_active(spark, d):
@@ -578,6 +605,8 @@ QUERIES = {
     "raw_dedup": raw_dedup,
     "upsert_features": upsert_features,
     "ingest_filter": ingest_filter,
+    "ingest_offsets": ingest_offsets,
+    "stage_rejects": stage_rejects,
     "ingest_backfill": ingest_backfill,
     "ingest_range": ingest_range,
     "ingest_summary": ingest_summary,
@@ -600,6 +629,7 @@ QUERIES = {
     "dq_orphans": dq_orphans,
     "dq_table_counts": dq_table_counts,
     "dq_report": dq_report,
+    "dq_report_missing": dq_report_missing,
     "sanitise_numeric": sanitise_numeric,
     "calendar_fields": calendar_fields,
     "preview_top_n": preview_top_n,

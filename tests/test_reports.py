@@ -64,7 +64,9 @@ def test_quality(spark):
     assert report["duplicates_raw_bars"] == (False, "1 duplicate keys") and report["orphans_indicators"][0]
     assert not report["ranges_raw_bars"][0] and report["columns_raw_bars"] == (True, "all present")
     lacking = {r.check: r.details for r in quality.quality_report(bars.drop("BatchID"), None, required=["Symbol", "Nope"]).collect()}
-    assert lacking["columns_raw_bars"] == "Nope" and "orphans_indicators" not in lacking
+    assert lacking["columns_raw_bars"] == "Nope" and lacking["table_exists_indicators"] == "missing"
+    lost = {r.check: r.ok for r in quality.quality_report(None, bars.where("Symbol = 'B'")).collect()}
+    assert lost.pop("table_exists_indicators") and len(lost) == 7 and not any(lost.values())
     clean = {r.check: r.ok for r in quality.quality_report(frame(spark), frame(spark)).collect()}
     assert clean["nulls_raw_bars"] and not clean["row_count_raw_bars"]
 
@@ -99,7 +101,7 @@ LOG = """\
 2024-01-08 19:36:22 [INFO] === MASTER RUN COMPLETED in 6.00 seconds ===
 2024-01-08 19:36:30 [INFO] Merged dataset: 32,149 rows, 48 columns.
 2024-01-08 19:36:31 [INFO] Loading rows, Insert step completed in 9.00 seconds. tblMergedFeatures
-2024-01-08 19:37:05 [INFO] Completed: merge_features
+2024-01-08 19:37:05 [INFO] Completed: merge_feature.py
 """
 
 
@@ -157,6 +159,21 @@ def test_split(spark, order):
     assert out.position.tolist() == list(range(21)) and out.is_train.sum() == 16 and out.is_train[:16].all()
 
 
+def test_classes_that_are_only_predicted(spark):
+    """They count in the report (with recall 0) and have a row in the matrix."""
+    scored = spark.createDataFrame([(-1, -1), (-1, 0), (1, 1), (1, 1)], "Label int, Prediction int")
+    report = {r["class"]: r for r in training.classification_report(scored).collect()}
+    assert report["0"].support == 0 and report["macro avg"].recall == pytest.approx(0.5)
+    matrix = {r.Label: (r["pred_-1"], r.pred_0, r.pred_1) for r in training.confusion_matrix(scored).collect()}
+    assert matrix == {-1: (1, 1, 0), 0: (0, 0, 0), 1: (0, 0, 2)}
+
+
+def test_feature_without_values(spark):
+    rows = spark.createDataFrame([("A", i % 3 - 1, float(i % 3), None) for i in range(60)], "Symbol string, Label int, x double, y double")
+    model = training.fit(rows, ["x", "y"], training.TrainSettings(rounds=2, depth=2))
+    assert training.predict(model, rows, ["x", "y"]).where("Label = Prediction").count() == 60
+
+
 def test_report_and_json(spark):
     pairs = [(1, 1), (1, 1), (1, -1), (-1, -1), (0, 1), (0, 0)]
     scored = spark.createDataFrame(pairs, "Label int, Prediction int")

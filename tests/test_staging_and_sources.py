@@ -246,7 +246,7 @@ def test_scans(spark, tmp_path):
     frame(spark, walk("A", 5, 1)).withColumns({"BatchID": F.lit("B"), "LoadTimestamp": F.lit(LOADED).cast("timestamp_ntz")}).write.parquet(path)
     assert tables.read_raw_bars(spark, path).columns == BAR_COLUMNS
     assert tables.read_closes(spark, path).columns == ["Symbol", "PriceTimestamp", "ClosePrice"]
-    assert tables.newest_rows(tables.read_raw_bars(spark, path), "A", 2).count() == 2
+    assert tables.first_rows(tables.read_raw_bars(spark, path), "A", 2).count() == 2
     assert tables.empty_like(tables.read_raw_bars(spark, path)).count() == 0
     with pytest.raises(ValueError, match="Close_t"):
         tables.require_columns(tables.read_closes(spark, path), ["Close_t"])

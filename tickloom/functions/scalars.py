@@ -57,6 +57,19 @@ def exchange_time(ts: Column, source_zone: str = "UTC", zone: str = "America/New
     return F.convert_timezone(F.lit(source_zone), F.lit(zone), ts)
 
 
+def exchange_time_of_text(text: Column, source_zone: str | None = "UTC", zone: str = "America/New_York") -> Column:
+    """Text to naive exchange wall clock; what cannot be read becomes NULL.
+
+    A time that carries a zone (Z or an offset) is an instant and converted from that zone. Other times are
+    in `source_zone`, or exchange time already when that is None.
+    """
+    plain = to_timestamp(text)
+    aware = text.rlike(r"\d:\d\d.*(Z|[+-]\d{1,2}(:?\d{2})?)\s*$")
+    since_epoch = F.make_dt_interval(secs=(F.unix_micros(text.try_cast("timestamp")) / 1_000_000).cast("decimal(18,6)"))
+    in_utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since_epoch  # does not depend on the session zone
+    return F.when(aware, exchange_time(in_utc, "UTC", zone)).otherwise(exchange_time(plain, source_zone, zone) if source_zone else plain)
+
+
 def minute_bucket(ts: Column) -> Column:
     """Start of the minute. Interval arithmetic keeps naive time free of the session zone."""
     return ts - F.make_dt_interval(secs=F.date_part(F.lit("SECOND"), ts))

@@ -122,15 +122,19 @@ def quality_report(
     """(check, ok, details) for existence, columns, NULLs, duplicates, ranges, row count, orphans.
 
     NULLs, ranges and the row count come from one pass over raw. A table that is None counts as
-    missing, and the checks that need it are left out.
+    missing: it and each check that needs it fail.
     """
-    parts = []
-    for name, df in (("raw_bars", raw), ("indicators", indicators)):
-        if df is None:
-            continue
-        exists = df.limit(0).agg(_rows().alias("_n")).select(
-            F.inline(F.array(_check(f"table_exists_{name}", F.lit(True), F.lit("present")))))
-        parts.append(exists)
+    known = next((df for df in (raw, indicators) if df is not None), None)
+    if known is None:
+        raise ValueError("no table to check")
+    lost = [] if raw is not None else [f"{check}_raw_bars" for check in ("columns", "nulls", "ranges", "row_count", "duplicates")]
+    if raw is None or indicators is None:
+        lost.append("orphans_indicators")
+    rows = [
+        _check(f"table_exists_{name}", F.lit(df is not None), F.lit("missing" if df is None else "present"))
+        for name, df in (("raw_bars", raw), ("indicators", indicators))
+    ] + [_check(check, F.lit(False), F.lit("could not run: a table is missing")) for check in lost]
+    parts = [known.limit(0).agg(_rows().alias("_n")).select(F.inline(F.array(*rows)))]
     if raw is not None:
         missing = [c for c in required if c not in raw.columns]
         present = [c for c in required if c in raw.columns]
@@ -154,6 +158,4 @@ def quality_report(
             orphans = orphan_count(indicators, raw)
             parts.append(orphans.select(F.inline(F.array(_check(
                 "orphans_indicators", F.col("Orphans") == 0, F.concat(F.col("Orphans").cast("string"), F.lit(" orphans")))))))
-    if not parts:
-        raise ValueError("no table to check")
     return reduce(DataFrame.unionByName, parts)

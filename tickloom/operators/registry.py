@@ -8,19 +8,14 @@ from pyspark.sql import functions as F
 from tickloom.operators.indicators import indicators
 from tickloom.schemas import KEY, TS
 
-MAX_DEFINITIONS = 10_000
-
 
 def active_definitions(definitions: DataFrame) -> DataFrame:
     return definitions.where("IsActive = 1").select("IndicatorId", "IndicatorName", "DefaultParams")
 
 
 def definition_list(definitions: DataFrame) -> list[tuple[int, str, str]]:
-    """Active definitions on the driver: they name the columns of the plan. A settings table,
-    so more than MAX_DEFINITIONS rows means the wrong table was passed."""
-    rows = active_definitions(definitions).orderBy("IndicatorId").limit(MAX_DEFINITIONS + 1).collect()
-    if len(rows) > MAX_DEFINITIONS:
-        raise ValueError(f"more than {MAX_DEFINITIONS} active definitions")
+    """Active definitions on the driver: each names a column of the plan, which bounds their number."""
+    rows = active_definitions(definitions).distinct().orderBy("IndicatorId").collect()
     return [(r.IndicatorId, r.IndicatorName, r.DefaultParams) for r in rows]
 
 

@@ -24,6 +24,16 @@ def pending(staging: DataFrame) -> DataFrame:
     return staging.where("Exported = 0")
 
 
+def unreadable() -> Column:
+    """Rows that can be no bar: without symbol, time or one of the prices."""
+    return reduce(Column.__or__, [F.col(c).isNull() for c in (KEY, TS, *PRICES)])
+
+
+def rejected(staging: DataFrame) -> DataFrame:
+    """Pending rows that a merge sets aside."""
+    return pending(staging).where(unreadable())
+
+
 def pending_per_symbol(staging: DataFrame) -> DataFrame:
     return pending(staging).groupBy(KEY).agg(F.count(F.lit(1)).alias("PendingRows"))
 
@@ -33,10 +43,11 @@ def outside_market_hours(staging: DataFrame) -> DataFrame:
 
 
 def gate(staging: DataFrame) -> DataFrame:
-    """One row: pending rows, pending rows outside market hours, and whether a merge may run."""
+    """One row: pending rows, those outside market hours, those that cannot be read, and whether a merge may run."""
     bad = F.count_if(~in_market_hours(F.col(TS)))
     return pending(staging).agg(
-        F.count(F.lit(1)).alias("PendingRows"), bad.alias("InvalidRows"), (bad == 0).alias("MayMerge"),
+        F.count(F.lit(1)).alias("PendingRows"), bad.alias("InvalidRows"), F.count_if(unreadable()).alias("RejectedRows"),
+        (bad == 0).alias("MayMerge"),
     )
 
 
@@ -71,8 +82,8 @@ def newest_per_minute(rows: DataFrame) -> DataFrame:
 
 
 def stage_dedup(staging: DataFrame) -> DataFrame:
-    """Pending rows within market hours, one per (Symbol, minute)."""
-    return newest_per_minute(pending(staging).where(in_market_hours(F.col(TS))))
+    """Readable pending rows within market hours, one per (Symbol, minute)."""
+    return newest_per_minute(pending(staging).where(in_market_hours(F.col(TS)) & ~unreadable()))
 
 
 def new_only(candidates: DataFrame, raw: DataFrame) -> DataFrame:
@@ -138,11 +149,11 @@ def merge_staging(staging: DataFrame, raw: DataFrame, check_hours: bool = True)
 
 
 def merge_summary(staging: DataFrame, raw: DataFrame, inserted: DataFrame, snapshot: DataFrame) -> DataFrame:
-    """Per symbol: pending rows, raw rows before and after, inserted rows.
+    """Per symbol: pending rows, those set aside, raw rows before and after, inserted rows.
 
     One grouped pass over the tables put on top of each other.
     """
-    tables = {"PendingRows": pending(staging), "RowsBefore": raw, "InsertedRows": inserted, "RowsAfter": snapshot}
+    tables = {"PendingRows": pending(staging), "RejectedRows": rejected(staging), "RowsBefore": raw, "InsertedRows": inserted, "RowsAfter": snapshot}
     parts = [df.select(KEY, F.lit(name).alias("part")) for name, df in tables.items()]
     return reduce(DataFrame.unionByName, parts).groupBy(KEY).agg(
         *[F.count_if(F.col("part") == name).alias(name) for name in tables]

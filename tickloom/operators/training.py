@@ -24,7 +24,6 @@ NOT_FEATURES = [
     "FutureClose_tN", "Return_t_to_tN",
 ]
 LABELS = [-1, 0, 1]
-MAX_FEATURES = 10_000
 
 
 # --- selection ------------------------------------------------------------------------------
@@ -43,11 +42,10 @@ def active_features(sets: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def feature_list(sets: DataFrame, members: DataFrame) -> list[str]:
-    rows = active_features(sets, members).orderBy("Ordinal").limit(MAX_FEATURES + 1).collect()
+    """Names in order, on the driver: each is a column of the plan, which bounds their number."""
+    rows = active_features(sets, members).groupBy("FeatureName").agg(F.min("Ordinal").alias("Ordinal")).orderBy("Ordinal").collect()
     if not rows:
         raise ValueError("the active feature set has no features")
-    if len(rows) > MAX_FEATURES:
-        raise ValueError(f"more than {MAX_FEATURES} features in the active set")
     return [r.FeatureName for r in rows]
 
 
@@ -134,22 +132,29 @@ def with_missing_flags(df: DataFrame, features: Sequence[str]) -> DataFrame:
 def fit(train: DataFrame, features: Sequence[str], settings: TrainSettings = TrainSettings()) -> PipelineModel:
     """Impute, assemble, and one boosted ensemble per class, weighted by class balance.
 
+    A feature without any value in training is known by its missing flag alone.
+
     The weights, one per class, become literals; a join on so few keys would be all skew.
     """
-    weights = class_weights(train).limit(len(LABELS) + 1).collect()
-    if not {w.Label for w in weights} <= set(LABELS):
+    counts = train.agg(
+        *[F.count_if(F.col("Label") == v).alias(f"n{i}") for i, v in enumerate(LABELS)], F.count(F.lit(1)).alias("rows"),
+        *[F.count(F.col(c)).alias(f"has{i}") for i, c in enumerate(features)],
+    ).first()
+    sizes = {v: counts[f"n{i}"] for i, v in enumerate(LABELS) if counts[f"n{i}"]}
+    if sum(sizes.values()) != counts["rows"]:
         raise ValueError(f"labels other than {LABELS}")
-    weight = F.coalesce(*[F.when(F.col("Label") == w.Label, F.lit(w.weight)) for w in weights])
+    weight = F.coalesce(*[F.when(F.col("Label") == v, F.lit(counts["rows"] / (len(sizes) * n))) for v, n in sizes.items()])
+    with_values = [c for i, c in enumerate(features) if counts[f"has{i}"]]
     weighted = with_missing_flags(train, features).withColumns({
         "weight": weight, "class": (F.col("Label") + 1).cast("double"),
     })
-    filled = [f"{c}__filled" for c in features]
+    filled = [f"{c}__filled" for c in with_values]
     trees = GBTClassifier(
         maxIter=settings.rounds, maxDepth=settings.depth, stepSize=settings.step, seed=settings.seed,
         checkpointInterval=settings.checkpoint_every,
     )
     stages = [
-        Imputer(inputCols=list(features), outputCols=filled, strategy="median"),
+        *([Imputer(inputCols=with_values, outputCols=filled, strategy="median")] if with_values else []),
         VectorAssembler(inputCols=[*filled, *map(_flag, features)], outputCol="features"),
         OneVsRest(classifier=trees, featuresCol="features", labelCol="class", weightCol="weight"),
     ]
@@ -169,9 +174,11 @@ def accuracy() -> Column:
 
 
 def confusion_matrix(scored: DataFrame, labels: Sequence[int] = LABELS) -> DataFrame:
-    """One row per true label, one column per predicted label."""
+    """One row per true label, one column per predicted label: a row also for labels only predicted."""
+    pairs = scored.select(F.col("Label"), F.col("Prediction"), F.lit(1).alias("n")).union(
+        scored.groupBy("Prediction").agg(F.lit(0).alias("n")).select("Prediction", "Prediction", "n"))
     return (
-        scored.groupBy("Label").pivot("Prediction", list(labels)).agg(F.count(F.lit(1))).na.fill(0)
+        pairs.groupBy("Label").pivot("Prediction", list(labels)).agg(F.sum("n")).na.fill(0)
         .withColumnsRenamed({str(v): f"pred_{v}" for v in labels})
     )
 
@@ -199,10 +206,10 @@ def classification_report(scored: DataFrame, labels: Sequence[int] = LABELS) ->
             share(F.col(f"hit{i}"), F.col(f"guess{i}")).alias("precision"),
             share(F.col(f"hit{i}"), F.col(f"support{i}")).alias("recall"),
             share(2 * F.col(f"hit{i}"), F.col(f"guess{i}") + F.col(f"support{i}")).alias("f1"),
-            F.col(f"support{i}").alias("support"),
+            F.col(f"support{i}").alias("support"), F.col(f"guess{i}").alias("guess"),
         )
         for i, v in enumerate(labels)
-    ]))).where("support > 0 OR precision > 0")
+    ]))).where("support > 0 OR guess > 0").drop("guess")
     scores = ["precision", "recall", "f1"]
     averages = per_class.agg(
         *[F.avg(c).alias(f"macro_{c}") for c in scores],

@@ -35,7 +35,9 @@ class Store:
         try:
             reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
             return reader.parquet(self.path(table))
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":  # anything else is a fault, not a table yet to come
+                raise
             return None
 
     def or_empty(self, table: str, schema: T.StructType) -> DataFrame:
@@ -78,7 +80,7 @@ def ingest_job(
 def merge_job(store: Store, write: bool = True) -> staging.MergeResult:
     """Pending staging rows to raw bars; raises when one lies outside market hours.
 
-    New bars are appended by trade date. A job that dies before the batches are marked is simply
+    Rows that cannot be read go to the table `rejected`. New bars are appended by trade date. A job that dies before the batches are marked is simply
     run again: what it appended is known by then and not inserted twice.
     """
     staged, raw = store.staging(), store.raw_bars()
@@ -87,11 +89,13 @@ def merge_job(store: Store, write: bool = True) -> staging.MergeResult:
         return result
     inserted = cut_lineage(result.inserted)
     summary = cut_lineage(staging.merge_summary(staged, raw, inserted, raw.select(inserted.columns).unionByName(inserted)))
+    aside = cut_lineage(staging.rejected(staged))
     batches = cut_lineage(staging.pending(staged).select("BatchID").distinct())
     (
         inserted.withColumn(TRADE_DATE, F.to_date(TS)).repartition(TRADE_DATE, F.pmod(F.hash(KEY), F.lit(32)))
         .write.mode("append").partitionBy(TRADE_DATE).parquet(store.path("raw_bars"))
     )
+    aside.write.mode("append").parquet(store.path("rejected"))
     batches.write.mode("append").parquet(store.path("exported_batches"))
     return staging.MergeResult(inserted, store.raw_bars(), store.staging(), summary)
 
@@ -161,7 +165,7 @@ def label_job(
     bars = store.raw_bars()
     run = sinks.run_id("LABEL", now)
     path = store.path("labelled_features")
-    stored = store.read("labelled_features")
+    stored = tables.labelled(store.spark, path) if store.read("labelled_features") is not None else None
     if rebuild or stored is None:
         return sinks.append_labels(labels.label_frame(features, bars, spec, run, now), path, rebuild=True, write=write)
     fresh = labels.label_incremental(features, bars, stored, spec, run, now)

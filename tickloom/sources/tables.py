@@ -60,7 +60,12 @@ def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
 
 def read_labelled(spark: SparkSession, path: str, spec: LabelSpec) -> DataFrame:
     """Rows of one horizon, label type and pair of versions; the filter reaches the scan."""
-    return spark.read.parquet(path).where(spec.matches())
+    return labelled(spark, path).where(spec.matches())
+
+
+def labelled(spark: SparkSession, path: str) -> DataFrame:
+    """Labelled features of all runs; runs with other feature columns add theirs."""
+    return spark.read.option("mergeSchema", True).parquet(path)
 
 
 def in_date_range(bars: DataFrame, start: datetime, end: datetime) -> DataFrame:
@@ -69,7 +74,7 @@ def in_date_range(bars: DataFrame, start: datetime, end: datetime) -> DataFrame:
     return bars.where((ts >= naive(start)) & (ts < naive(end)))
 
 
-def newest_rows(df: DataFrame, symbol: str, n: int = 2000, ts: str = TS) -> DataFrame:
+def first_rows(df: DataFrame, symbol: str, n: int = 2000, ts: str = TS) -> DataFrame:
     """The first n rows of one symbol in time order: a preview."""
     return df.where(F.col(KEY) == symbol).orderBy(ts).limit(n)
 

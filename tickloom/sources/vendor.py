@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import clean_headers, days_from_text, exchange_time, naive, to_double, to_timestamp
+from tickloom.functions.scalars import clean_headers, days_from_text, exchange_time_of_text, naive, to_double
 from tickloom.operators.incremental import symbol_cutoffs
 from tickloom.operators.staging import keep_last_per_minute
 from tickloom.schemas import BAR_COLUMNS, KEY, TS
@@ -33,13 +33,14 @@ def read_vendor(spark: SparkSession, path: str, source_zone: str | None = "UTC")
 def vendor_bars(download: DataFrame, source_zone: str | None = "UTC") -> DataFrame:
     """Clean headers, types, exchange time, and one row per minute (the last one).
 
-    `source_zone` is the zone of naive vendor times; None keeps them as exchange time.
+    `source_zone` is the zone of naive vendor times; None keeps them as exchange time. Times that
+    carry a zone are converted from it. Rows without a readable time, symbol or price are kept; the
+    staging merge counts and sets them aside.
     """
     df = clean_headers(download)
     df = df.withColumnsRenamed({k: v for k, v in VENDOR_HEADERS.items() if k in df.columns}).select(BAR_COLUMNS)
-    ts = to_timestamp(F.col(TS))
     df = df.withColumns({
-        TS: exchange_time(ts, source_zone) if source_zone else ts,
+        TS: exchange_time_of_text(F.col(TS).cast("string"), source_zone),
         **{c: to_double(F.col(c)) for c in BAR_COLUMNS[2:-1]},
         "Volume": to_double(F.col("Volume")).cast("bigint"),
     })

@@ -5,6 +5,7 @@ Batch ingestion keeps a high-water mark per symbol. Here the file source keeps t
 merge, which inserts only minutes that are not known yet. A repeated batch changes nothing.
 """
 
+import hashlib
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,11 +35,16 @@ def vendor_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -
 def merge_stream(
     store: Store, vendor_path: str, checkpoint: str, source_zone: str | None = "UTC", files_per_batch: int = 1000
 ) -> StreamingQuery:
-    """Start a query that merges all files present and then stops (trigger availableNow)."""
+    """Start a query that merges all files present and then stops (trigger availableNow).
+
+    Batches are named after the checkpoint, so streams that share a store do not take each other's
+    batches for repeated ones.
+    """
+    source = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
     def merge_batch(batch: DataFrame, batch_no: int) -> None:
         loaded = datetime.now(timezone.utc).replace(tzinfo=None)
-        name = f"STREAM_{batch_no}"
+        name = f"STREAM_{source}_{batch_no}"
         if not batch.isEmpty() and store.staging().where(F.col("BatchID") == name).isEmpty():
             append_staging(vendor_bars(batch, source_zone), store.path("staging"), loaded, name)
         if not pending(store.staging()).isEmpty():
