@@ -36,6 +36,8 @@ ARROW = pa.schema([(n, pa.int64()) for n in ("doc_id", "n_bytes", "n_removed", "
 _VALUES = np.random.default_rng(99).integers(1, 2**63, 256, dtype=np.uint64)
 _PLACE = np.uint64((1 << 24) - 1)
 PIECE = 1 << 21
+#: Stands for a null doc_id: before all others.
+FIRST = -(2**63)
 
 
 def anchors(buf: np.ndarray, at: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, ...]:
@@ -191,9 +193,7 @@ def _marks(contexts: DataFrame, length: int, anchor: int) -> DataFrame:
         if (again := ~same.any(0)).any():  # repeated rows: a place counts once
             t = t.take(pa.array(np.sort(order[np.concatenate([[True], ~again])])))
         run = np.array(t.column("hash"))
-        ids = t.column("first_id").combine_chunks()
-        # a null doc_id is before all others
-        first_id = np.where(np.array(ids.is_null()), np.iinfo(np.int64).min, np.array(ids.fill_null(0)))
+        first_id = np.array(t.column("first_id"))
         tid, spot = np.array(t.column("tid")), np.array(t.column("spot"))
         context = t.column("context").combine_chunks()
         offsets = np.frombuffer(context.buffers()[1], np.int32)[context.offset : context.offset + len(context) + 1].astype(np.int64)
@@ -249,10 +249,12 @@ def spans(docs: DataFrame, length: int = 100, anchor: int = 32) -> DataFrame:
     """All columns of docs, with `first_id` (least doc_id of an equal text) and `marks` (null without any)."""
     if not 0 < length - anchor < 128 or length > 200:
         raise ValueError("length - anchor must be 1..127 and length at most 200")
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST).cast("long"))
     keyed = docs.withColumn("tid", F.xxhash64(F.col("text").cast("string")))
-    firsts = keyed.where("text is not null").groupBy("tid").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id").cast("long").alias("id"))).alias("f")).select("tid", F.col("f.id").alias("first_id"))
+    firsts = keyed.where("text is not null").groupBy("tid").agg(F.min(own).alias("first_id"))
     lists = _repeated(_anchor_rows(keyed, length, anchor)).groupBy("tid").agg(F.collect_list(F.struct("hash", "spot")).alias("spots"))
-    of_texts = lists.join(firsts, "tid").join(keyed, "tid").where(F.col("doc_id").cast("long").eqNullSafe(F.col("first_id")))
+    # all joins are by tid alone, so that the texts are shuffled once for both uses
+    of_texts = lists.join(firsts, "tid").join(keyed, "tid").where(own <= F.col("first_id"))
     marks = _marks(_contexts(of_texts.select("tid", "first_id", "spots", "text"), length), length, anchor)
     marked = marks.groupBy("tid").agg(F.collect_list(F.struct("start", "end")).alias("marks"))
     return keyed.join(firsts, "tid", "left").join(marked, "tid", "left").drop("tid")
@@ -272,7 +274,8 @@ def removed(marks: pa.Array, rows: int, at: np.ndarray, copies: np.ndarray, leng
 
 def _copies(rows: pa.RecordBatch) -> np.ndarray:
     """Rows whose text also stands in a row of smaller doc_id."""
-    return np.array([a is not None and (b is None or b < a) and t for a, b, t in zip(rows.column("doc_id").to_pylist(), rows.column("first_id").to_pylist(), rows.column("text").is_valid().to_pylist(), strict=True)], bool)
+    own, first = (np.array(rows.column(c).cast(pa.int64()).fill_null(FIRST)) for c in ("doc_id", "first_id"))
+    return (own > first) & np.array(rows.column("text").is_valid())
 
 
 def _lists(rows: pa.RecordBatch) -> pa.Array:
