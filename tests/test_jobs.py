@@ -93,8 +93,8 @@ def test_feature_job_twice_keeps_one_row_per_bar(store):
 
 def test_signal_table(store):
     signals = store.read("signal_features")
-    assert signals.columns == SIGNAL_COLUMNS and signals.count() == 580
-    assert [f.dataType for f in signals.schema] == [f.dataType for f in SIGNAL_FEATURES]
+    assert signals.columns == [*SIGNAL_COLUMNS, "TradeDate"] and signals.count() == 580
+    assert [f.dataType for f in signals.schema][:-1] == [f.dataType for f in SIGNAL_FEATURES]
     assert jobs.signal_job(store, NOW, write=False).count() == 0
 
 
@@ -140,12 +140,50 @@ def test_new_rows_only_next_day(spark, store, tmp_path):
     jobs.indicator_job(store, definitions(spark), NOW + timedelta(days=1))  # second values for old bars: the later ones win
     jobs.feature_job(store, definitions(spark), NOW + timedelta(days=1))
     fresh = jobs.signal_job(store, NOW + timedelta(days=1))
-    assert fresh.count() == 55 and fresh.where("Symbol = 'AAA' AND Return_20 IS NULL").count() == 0
+    assert fresh.count() == 56 and fresh.where("to_date(FeatureTimestamp) = '2024-03-04'").select("Symbol", F.col("Target").isNull()).collect() == [("AAA", False)] and fresh.where("Symbol = 'AAA' AND Return_20 IS NULL").count() == 0
     assert fresh.where("Symbol = 'NEW' AND Return_20 IS NULL").count() == 20
     assert store.read("signal_features").count() == 635
     assert jobs.label_job(store, NOW + timedelta(days=1)).count() == 55
 
 
+def test_labels_are_finished_when_their_bars_arrive(spark, tmp_path):
+    """Two runs in one session give the labels and targets of a single one."""
+    s, bars = jobs.Store(spark, str(tmp_path / "tables")), walk("AAA", 30, 1)
+    for n, part in enumerate((bars[:20], bars[20:])):
+        now = NOW + timedelta(minutes=n)
+        vendor_file(spark, tmp_path / f"v{n}", part)
+        jobs.ingest_job(s, str(tmp_path / f"v{n}"), now, source_zone=None)
+        jobs.merge_job(s)
+        jobs.indicator_job(s, definitions(spark), now)
+        jobs.feature_job(s, definitions(spark), now)
+        jobs.signal_job(s, now)
+        jobs.label_job(s, now)
+    labelled = s.read("labelled_features")
+    assert labelled.count() == 30 and labelled.where("IsTrainableRow = 1").count() == 30 - SPEC.horizon
+    targets = s.read("signal_features")
+    assert targets.count() == 30 and targets.where("Target IS NULL").count() == 1
+    assert jobs.label_job(s, NOW).count() == 0
+
+
+def test_two_streams_into_one_store(spark, tmp_path):
+    s = jobs.Store(spark, str(tmp_path / "both"))
+    for name, symbol in (("x", "AAA"), ("y", "BBB")):
+        vendor_file(spark, tmp_path / name, walk(symbol, 10, 1))
+        query = merge_stream(s, str(tmp_path / name), str(tmp_path / f"mark-{name}"), source_zone=None)
+        assert query.awaitTermination(240) and query.exception() is None
+    assert {(r.Symbol, r["count"]) for r in s.raw_bars().groupBy("Symbol").count().collect()} == {("AAA", 10), ("BBB", 10)}
+
+
+def test_unreadable_rows_are_set_aside(spark, tmp_path):
+    s = jobs.Store(spark, str(tmp_path / "aside"))
+    rows = [("AAA", "2024-03-04 09:31:00", "1", "1", "1", "1", "1", "5"), ("AAA", "noon", "1", "1", "1", "1", "1", "5"), ("AAA", "2024-03-04 09:32:00", "1", "1", "1", "x", "1", "5")]
+    spark.createDataFrame(rows, "Symbol string, Datetime string, Open string, High string, Low string, Close string, Adj string, Volume string").write.option("header", True).csv(str(tmp_path / "v"))
+    jobs.ingest_job(s, str(tmp_path / "v"), NOW, source_zone=None)
+    merged = jobs.merge_job(s)
+    assert merged.inserted.count() == 1 and s.read("rejected").count() == 2
+    assert merged.summary.select("PendingRows", "RejectedRows", "InsertedRows").collect() == [(3, 2, 1)]
+
+
 def test_gate(spark, tmp_path):
     s = jobs.Store(spark, str(tmp_path / "gate"))
     vendor_file(spark, tmp_path / "v", walk("AAA", 5, 1, start=datetime(2024, 3, 4, 8, 57)))

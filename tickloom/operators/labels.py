@@ -70,6 +70,15 @@ def label_incremental(
     features: DataFrame, bars: DataFrame, existing: DataFrame, spec: LabelSpec, run_id: str, run_ts: datetime,
     per_symbol: bool = True,
 ) -> DataFrame:
-    """Labels for feature rows newer than those stored for the same horizon, type and versions."""
+    """Labels for feature rows newer than those stored for the same horizon, type and versions, and
+    again for stored rows that lacked their future bar when they were written and have it now."""
     fresh = newer_rows(features, existing, per_symbol=per_symbol, where=spec.matches())
-    return label_frame(fresh, bars, spec, run_id, run_ts)
+    again = features.join(reopened(existing, bars, spec), [KEY, TS], "left_semi")
+    return label_frame(fresh.unionByName(again), bars, spec, run_id, run_ts)
+
+
+def reopened(existing: DataFrame, bars: DataFrame, spec: LabelSpec) -> DataFrame:
+    """(Symbol, time) of stored rows that cannot be trained on although their future bar is there by now."""
+    open_ = existing.where(spec.matches() & (F.col("IsTrainableRow") == 0) & F.col("FutureClose_tN").isNull()).select(KEY, TS)
+    later = bars.where(F.col("ClosePrice").isNotNull()).select(KEY, (F.col(TS) - minutes(spec.horizon)).alias(TS))
+    return open_.join(later, [KEY, TS], "left_semi")

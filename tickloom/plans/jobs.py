@@ -146,21 +146,29 @@ def feature_frame(bars: DataFrame, long: DataFrame, fields: list[str], run_id: s
 
 
 def signal_job(store: Store, now: datetime, rebuild: bool = False, version: int = 1, write: bool = True) -> DataFrame:
-    """Signal features: everything with `rebuild`, else rows newer than the stored ones."""
+    """Signal features: everything with `rebuild`, else rows newer than the stored ones, and each symbol's
+    last stored bar again once its next bar gives it a Target. Only trade dates with such rows are rewritten."""
     source = store.snapshot("merged_features")
     run = sinks.run_id("SIGNAL", now)
     path = store.path("signal_features")
     stored = store.read("signal_features", SIGNAL_FEATURES)
     if rebuild or stored is None:
         return sinks.append_signals(signals.signal_frame(source, run, now, version), path, rebuild=True, write=write)
+    stored = stored.select(SIGNAL_FEATURES.fieldNames())
     fresh = signals.signal_incremental(source, stored, run, now, version)
-    return sinks.append_signals(fresh, path, write=write)
+    again = signals.reopen_last_bars(source, stored, run, now, version).where("Target IS NOT NULL")
+    fresh = sinks.coerce(fresh.unionByName(again), SIGNAL_FEATURES)
+    if write:
+        fresh = cut_lineage(fresh)
+        sinks.replace_rows(fresh, stored, path, [KEY, "FeatureTimestamp", "SignalVersion"], "FeatureTimestamp")
+    return fresh
 
 
 def label_job(
     store: Store, now: datetime, spec: labels.LabelSpec = labels.LabelSpec(), rebuild: bool = False, write: bool = True
 ) -> DataFrame:
-    """Horizon labels: everything with `rebuild`, else rows newer than the stored ones."""
+    """Horizon labels: everything with `rebuild`, else rows newer than the stored ones, and stored rows
+    again that lacked their future bar. Only trade dates with such rows are rewritten."""
     features = tables.require_columns(store.snapshot("merged_features"), labels.REQUIRED)
     bars = store.raw_bars()
     run = sinks.run_id("LABEL", now)
@@ -168,8 +176,11 @@ def label_job(
     stored = tables.labelled(store.spark, path) if store.read("labelled_features") is not None else None
     if rebuild or stored is None:
         return sinks.append_labels(labels.label_frame(features, bars, spec, run, now), path, rebuild=True, write=write)
-    fresh = labels.label_incremental(features, bars, stored, spec, run, now)
-    return sinks.append_labels(fresh, path, write=write)
+    fresh = sinks.sanitise(labels.label_incremental(features, bars, stored, spec, run, now))
+    if write:
+        fresh = cut_lineage(fresh)
+        sinks.replace_rows(fresh, stored, path, [KEY, TS, "HorizonMinutes", "LabelType", "LabelVersion", "FeatureVersion"], TS)
+    return fresh
 
 
 @dataclass(frozen=True)

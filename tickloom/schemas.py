@@ -4,7 +4,7 @@ from pyspark.sql import types as T
 
 KEY = "Symbol"
 TS = "PriceTimestamp"
-TRADE_DATE = "TradeDate"  # partition column of stored raw bars
+TRADE_DATE = "TradeDate"  # partition column of stored raw bars, signals and labels
 PRICES = ["OpenPrice", "HighPrice", "LowPrice", "ClosePrice"]
 BAR_COLUMNS = [KEY, TS, *PRICES, "Volume"]
 

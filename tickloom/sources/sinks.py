@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions.scalars import clip, finite, float_columns, naive, numeric_columns, to_double, to_timestamp
-from tickloom.schemas import BAR_COLUMNS, INDICATORS, KEY, MODEL_REGISTRY, SIGNAL_FEATURES, TS
+from tickloom.schemas import BAR_COLUMNS, INDICATORS, KEY, MODEL_REGISTRY, SIGNAL_FEATURES, TRADE_DATE, TS
+from tickloom.session import cut_lineage
 
 FLOAT_LIMIT = 1e308
 
@@ -57,9 +58,23 @@ def coerce(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select([one(f) for f in schema.fields])
 
 
+def replace_rows(fresh: DataFrame, stored: DataFrame, path: str, keys: list[str], moment: str) -> None:
+    """Put fresh rows in place of stored rows of the same keys, rewriting only their trade dates.
+
+    A job that dies before the dates are swapped leaves them as they were; run again it does the same.
+    """
+    dated = fresh.withColumn(TRADE_DATE, F.to_date(moment))
+    stored = stored.drop(TRADE_DATE).withColumn(TRADE_DATE, F.to_date(moment)) if TRADE_DATE not in stored.columns else stored
+    dates = dated.select(TRADE_DATE).distinct()
+    kept = stored.join(dates, TRADE_DATE, "left_semi").join(dated.select(*keys), keys, "left_anti")
+    content = cut_lineage(kept.unionByName(dated, allowMissingColumns=True))  # read before the dates are replaced
+    content.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(TRADE_DATE).parquet(path)
+
+
 def append_signals(frame: DataFrame, path: str, rebuild: bool = False, write: bool = True) -> DataFrame:
-    """Append signal rows, or replace all of them with `rebuild`."""
-    return _append(coerce(frame, SIGNAL_FEATURES), path, write, mode="overwrite" if rebuild else "append")
+    """Append signal rows by trade date, or replace all of them with `rebuild`."""
+    dated = coerce(frame, SIGNAL_FEATURES).withColumn(TRADE_DATE, F.to_date("FeatureTimestamp"))
+    return _append(dated, path, write, [TRADE_DATE], "overwrite" if rebuild else "append").drop(TRADE_DATE)
 
 
 def sanitise(df: DataFrame, limit: float = FLOAT_LIMIT) -> DataFrame:
@@ -68,7 +83,9 @@ def sanitise(df: DataFrame, limit: float = FLOAT_LIMIT) -> DataFrame:
 
 
 def append_labels(frame: DataFrame, path: str, rebuild: bool = False, write: bool = True) -> DataFrame:
-    return _append(sanitise(frame), path, write, mode="overwrite" if rebuild else "append")
+    """Append labelled rows by trade date, or replace all of them with `rebuild`."""
+    dated = sanitise(frame).withColumn(TRADE_DATE, F.to_date(TS))
+    return _append(dated, path, write, [TRADE_DATE], "overwrite" if rebuild else "append").drop(TRADE_DATE)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: tuple[str, ...] = (KEY, TS)) -> DataFrame:
