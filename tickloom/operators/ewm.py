@@ -5,8 +5,9 @@ values; what earlier blocks contribute is one number per block, found by aggrega
 
     y[t] = q^pos * sum(w x q^-pos) + q^(pos+1) * y[end of previous block],   q = 1-a
 
-The block ends obey the same recurrence with q^rows, whose weight drops below 1e-17 after a
-known number of blocks, so a handful of lags over the (tiny) block table closes it exactly.
+The block ends obey the same recurrence with q^rows, whose weight is zero in double precision after
+a known number of blocks, so lags over the (tiny) block table close it exactly. Means that forget
+within a block are folded over a frame instead.
 Inputs must be non-null, as bars are.
 """
 
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 from tickloom.operators.series import block_window
 from tickloom.schemas import KEY
 
-NEGLIGIBLE = 40.0  # exp(-40) < 1e-17, below double resolution
+NEGLIGIBLE = 40.0  # exp(-40) < 1e-17: fast means leave out terms of less weight
+VANISHING = 746.0  # exp(-746) is zero as a double: slow means leave out nothing else
 SAFE_EXPONENT = 600.0  # exp(600) still fits a double with room for the sum
 
 
@@ -65,7 +67,7 @@ def carried_mean(end: Column, alpha: float, rows: int, blocks) -> Column:
     """Mean at the end of the previous block, from the block table."""
     rate = decay(alpha) * rows
     total = F.lit(0.0)
-    for back in range(1, math.ceil(NEGLIGIBLE / rate) + 2):
+    for back in range(1, math.ceil(VANISHING / rate) + 2):
         total = total + F.lag(end, back, 0.0).over(blocks) * math.exp(-rate * (back - 1))
     return total
 
