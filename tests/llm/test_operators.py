@@ -59,6 +59,14 @@ def test_index_meets_pairs_within_the_distance():
         assert set(x) & set(y)
 
 
+def test_shared_sizes():
+    rnd = np.random.default_rng(2)
+    base = rnd.integers(0, 1000, 300, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([rnd.choice(base, 200), rnd.integers(0, 2**60, 9, dtype=np.uint64)])) for _ in range(40)]
+    got = minhash.shared_sizes(sets)
+    assert all(got[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(40) for j in range(40) if i != j)
+
+
 def test_components(spark):
     rnd = random.Random(1)
     edges = [(rnd.randrange(60), rnd.randrange(60)) for _ in range(40)] + [(100 + i, 101 + i) for i in range(30)]

@@ -8,9 +8,9 @@
    each other in all chunks with probability 3.4e-7 under 14 chunks of 6.)
 3. Each member of a bucket is first checked against the bucket's least node only: a link needs the full
    sets. Components of these links settle nearly all buckets.
-4. Buckets that still hold several components are compared inside in tiles, signatures first; only
-   pairs from different components with near signatures go to the check of full sets. So groups of
-   copies never become all their pairs, and no link between different texts is given up.
+4. Buckets that still hold several components are compared inside, in tiles, by full sets: a tile counts
+   all its intersections at once and sends at most one row per member. So groups of copies never
+   become pairs, and no link between different texts is given up.
 
 Null texts, texts without words and rows with null doc_id link with nothing. Rows with equal doc_id
 count as one document for linking. Repeated rows get equal results. An empty table gives no rows.
@@ -34,7 +34,9 @@ from tickloom.llm.components import components
 CHUNKS, WIDTH = 14, 6
 #: Signatures of pairs at the threshold lie within 5 standard deviations of this screen.
 SIGMAS = 5.0
-TILE = 2048
+TILE = 1024
+#: Shingles in more sets of a tile than this are counted by matrix products.
+RARE = 6
 _RANDOM = np.random.default_rng(4242)
 _MUL = _RANDOM.integers(1, 2**63, 512, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RANDOM.integers(0, 2**63, 512, dtype=np.uint64)
@@ -138,30 +140,61 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int, per_ta
     return leads.union(rest).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first()).mapInArrow(run, "u long, v long")
 
 
-def _inside(keys: DataFrame, buckets: DataFrame, nodes: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """Pairs of different components with near signatures, inside buckets that hold several components."""
+def shared_sizes(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets with each other (a tile's worth of them)."""
+    m = len(sets)
+    values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(m), [len(x) for x in sets])
+    shared = np.zeros((m, m), np.float32)
+    order = np.argsort(column, kind="stable")
+    begin = np.cumsum(count) - count
+    for size in range(2, RARE + 1):  # values in a few sets: their pairs
+        own = row[order[begin[count == size][:, None] + np.arange(size)[None, :]]]
+        for i in range(size):
+            for j in range(i):
+                np.add.at(shared, (own[:, j], own[:, i]), 1)
+    often = np.flatnonzero(count > RARE)
+    place = np.full(len(values), -1)
+    for i in range(0, len(often), 4096):  # the rest: products of 0/1 matrices
+        part = often[i : i + 4096]
+        place[part] = np.arange(len(part))
+        own = place[column] >= 0
+        table = np.zeros((m, len(part)), np.float32)
+        table[row[own], place[column[own]]] = 1
+        place[part] = -1
+        shared += table @ table.T
+    return np.maximum(shared, shared.T)
+
+
+def _inside(keys: DataFrame, buckets: DataFrame, texts: DataFrame, labels: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (u, v) between different components inside buckets that hold several, from full sets.
+
+    A large bucket is compared tile by tile. A task sends no pairs: only, for each member that is linked
+    to another component, one row that ties it to the least node it is connected with there.
+    """
     member = keys.join(buckets.select("key", "n"), "key").join(labels, "node", "left").select("key", "n", "node", F.coalesce("component", "node").alias("component"))
     mixed = member.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
     tiles = F.ceil(F.col("n") / TILE).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
     spread = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
     placed = member.join(mixed, "key").withColumn("tiles", tiles).withColumn("own", own).select("key", "node", "component", "own", spread.alias("other"))
-    placed = placed.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component").join(nodes.select("node", "signature"), "node")
-    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    placed = placed.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component").join(texts, "node")
 
-    def compare(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(rows)
-        node, component, own = (np.array(t.column(c)) for c in ("node", "component", "own"))
-        signs = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint16).reshape(len(node), -1)
-        one_tile = t.column("i")[0].as_py() == t.column("j")[0].as_py()
-        for x in range(len(node)):
-            rest = np.arange(x + 1, len(node))
-            rest = rest[(component[rest] != component[x]) & (one_tile | (own[rest] != own[x]))]
-            if len(rest):
-                near = rest[(signs[rest] != signs[x]).sum(1) <= most]
-                if len(near):
-                    a, b = np.minimum(node[near], node[x]), np.maximum(node[near], node[x])
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=out)
+        node, component = (np.array(t.column(c)) for c in ("node", "component"))
+        sets = [x for rows_ in t.to_batches() for part, buf, at in sliced([rows_]) for x in shingle_sets(buf, at, words)]
+        size = np.array([len(x) for x in sets])
+        shared = shared_sizes(sets)
+        linked = (shared > 0) & (100 * shared >= percent * (size[:, None] + size[None, :] - shared)) & (component[:, None] != component[None, :])
+        least = node.copy()
+        while linked.any():
+            new = np.minimum(least, np.where(linked, least[None, :], np.iinfo(np.int64).max).min(1))
+            if (new == least).all():
+                break
+            least = new
+        tied = least != node
+        return pa.RecordBatch.from_arrays([pa.array(node[tied]), pa.array(least[tied])], ["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, last = [], None
@@ -171,15 +204,15 @@ def _inside(keys: DataFrame, buckets: DataFrame, nodes: DataFrame, labels: DataF
             for k in range(1, len(names) + 1):
                 if k == len(names) or names[k] != names[begin]:
                     if names[begin] != last and held:
-                        yield from compare(held)
+                        yield compare(held)
                         held = []
                     last = names[begin]
                     held.append(batch.slice(begin, k - begin))
                     begin = k
         if held:
-            yield from compare(held)
+            yield compare(held)
 
-    return placed.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long").distinct()
+    return placed.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, words: int = 4, percent: int = 80, chunks: int = CHUNKS, width: int = WIDTH) -> DataFrame:
@@ -201,8 +234,7 @@ def near_duplicates(docs: DataFrame, *, words: int = 4, percent: int = 80, chunk
     texts = saved(id_text(docs).withColumnRenamed("doc_id", "node").join(wanted, "node", "left_semi"), "texts")
     links = saved(confirm(stars, texts, words, percent), "links")
     labels = components(links)
-    rest = _inside(members.select("key", "node"), buckets.where("n > 2"), nodes, labels, most).join(stars, ["a", "b"], "left_anti")
-    more = saved(confirm(saved(rest, "pairs"), texts, words, percent), "links")
+    more = saved(_inside(members.select("key", "node"), buckets.where("n > 2"), texts, labels, words, percent), "links")
     final = components(links.union(more)) if more.count() else labels
     named = sets.select("set_id", "node").join(final, "node", "left").select("set_id", F.coalesce("component", "node").alias("component_id"))
     joined = sketches.select("doc_id", "n_shingles", "set_id").join(named, "set_id", "left")
