@@ -100,6 +100,25 @@ def _filed(nodes: DataFrame, chunks: int, width: int) -> DataFrame:
     return nodes.select("node", "signature").mapInArrow(run, "key long, node long")
 
 
+def _sharing(keys: DataFrame) -> DataFrame:
+    """(key, node) of keys that several nodes have. Buckets stream by; none is held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, matched = None, False
+        for batch in batches:
+            rows = np.stack([np.array(batch.column("key")), np.array(batch.column("node"))])
+            rows = rows if held is None else np.concatenate([held, rows], axis=1)
+            rows = rows[:, np.concatenate([[True], (rows[:, 1:] != rows[:, :-1]).any(0)])]
+            again = rows[0, 1:] == rows[0, :-1]
+            keep = np.concatenate([[matched], again]) | np.concatenate([again, [False]])
+            held, matched = rows[:, -1:], bool(keep[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(x[:-1][keep[:-1]]) for x in rows], ["key", "node"])
+        if held is not None and matched:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], ["key", "node"])
+
+    return keys.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "key long, node long")
+
+
 def screen(pairs: DataFrame, signatures: DataFrame, most: int) -> DataFrame:
     """Pairs (a, b) whose signatures differ in `most` values at most."""
 
@@ -224,14 +243,15 @@ def near_duplicates(docs: DataFrame, *, words: int = 4, percent: int = 80, chunk
     linked = sketches.where("doc_id is not null and set_id is not null")
     sets = saved(linked.groupBy("set_id").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature")), "sets")
     nodes = sets.select("node", "signature")
-    keys = _filed(nodes, chunks, width)
-    groups = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("hub"), F.bit_xor(F.xxhash64("node")).alias("members")).where("n > 1")
+    keys = saved(_sharing(_filed(nodes, chunks, width)), "keys")
+    groups = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("hub"), F.bit_xor(F.xxhash64("node")).alias("members"))
     # buckets with the same members need one look
     buckets = saved(groups.groupBy("members", "n", "hub").agg(F.min("key").alias("key")), "buckets")
     members = saved(keys.join(buckets.select("key", "n", "hub"), "key"), "members")
     stars = screen(members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), nodes, most)
     wanted = members.select("node").distinct()
-    texts = saved(id_text(docs).withColumnRenamed("doc_id", "node").join(wanted, "node", "left_semi"), "texts")
+    # both sides grow with the data: never a broadcast
+    texts = saved(id_text(docs).withColumnRenamed("doc_id", "node").hint("merge").join(wanted.hint("merge"), "node", "left_semi"), "texts")
     links = saved(confirm(stars, texts, words, percent), "links")
     labels = components(links)
     more = saved(_inside(members.select("key", "node"), buckets.where("n > 2"), texts, labels, words, percent), "links")
