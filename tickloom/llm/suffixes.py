@@ -203,12 +203,12 @@ def _marks(contexts: DataFrame, length: int, anchor: int) -> DataFrame:
         rank[np.lexsort((place, first_id))] = np.arange(len(run))
         b = Bucket(run, spot >> 8 & 255, sizes, data, length, anchor)
         edges = np.flatnonzero(np.concatenate([[True], np.diff(run) != 0, [True]]))
-        tids, starts, ends = [], [], []
+        # all marks of an occurrence hold its anchor, so together they are one run of bytes
+        most_before, most_after = np.full(len(run), -1), np.full(len(run), -1)
 
         def put(members: np.ndarray, before, after) -> None:
-            tids.append(tid[members])
-            starts.append(place[members] - before)
-            ends.append(place[members] + after)
+            most_before[members] = np.maximum(most_before[members], before)
+            most_after[members] = np.maximum(most_after[members], after)
 
         def later(members: np.ndarray, lead: int) -> np.ndarray:
             """Members that come after the earliest: rows of one doc_id but other texts don't count as later."""
@@ -224,7 +224,8 @@ def _marks(contexts: DataFrame, length: int, anchor: int) -> DataFrame:
             if j - i > 2:
                 for before_, after_, members in maximal_repeats(b, int(i), int(j) - 1, length):
                     put(members[later(members, members[rank[members].argmin()])], before_, after_)
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), pa.int64()) for c in (tids, starts, ends)], schema=out)
+        hit = most_after >= 0
+        return pa.RecordBatch.from_arrays([pa.array(x[hit], pa.int64()) for x in (tid, place - most_before, place + most_after)], schema=out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
