@@ -1,9 +1,10 @@
 """Operator 8: byte-level BPE through a global shuffle of distinct words.
 
 1. Every text is cut into pre-tokens. A task keeps the distinct words of each group of documents
-   (`group_docs` neighbouring doc_ids), and texts themselves move as compressed blocks per group.
+   (`group_docs` neighbouring doc_ids) as sorted lists, dealt by hash of the word; texts themselves
+   move as compressed blocks per group. Positions stay in the texts: their place is the order of words.
 2. One shuffle brings equal words of all groups together, where each distinct word is encoded once;
-   a hot word has a row per group, not per occurrence.
+   a hot word comes once per group, not per occurrence.
 3. Ids go back to the groups, where documents stream past their group's words and are reassembled by
    position. Decoding takes the bytes of every id from the token-byte table, whose size is that of
    the vocabulary.
@@ -19,7 +20,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -57,45 +60,77 @@ def token_bytes(table: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.nda
     return np.frombuffer(b"".join(sorted(table, key=table.get)), np.uint8), np.cumsum(lengths) - lengths, lengths
 
 
-def distinct_words(docs: DataFrame, group_docs: int, most: int = 400_000) -> DataFrame:
-    """(grp, word) of all documents, mostly once: a task forgets what it has sent when it holds `most` words."""
+def pack_words(words: list[bytes]) -> bytes:
+    """A compressed list of words; sorted ones share their beginnings."""
+    lengths = np.fromiter(map(len, words), "<u4", len(words))
+    return zstandard.ZstdCompressor(level=3).compress(len(words).to_bytes(8, "little") + lengths.tobytes() + b"".join(words))
+
+
+def unpack_words(data: bytes) -> list[bytes]:
+    data = zstandard.ZstdDecompressor().decompress(data)
+    n = int.from_bytes(data[:8], "little")
+    ends = (8 + 4 * n + np.cumsum(np.frombuffer(data, "<u4", n, 8), dtype=np.int64)).tolist()
+    return [data[i:j] for i, j in zip([8 + 4 * n, *ends[:-1]], ends, strict=True)] if n else []
+
+
+def distinct_words(docs: DataFrame, group_docs: int, buckets: int, most: int = 400_000) -> DataFrame:
+    """(grp, bucket, words): the distinct words of each group, in sorted lists by hash of the word.
+
+    A task sends what it holds when that exceeds `most` words, so a word may come twice from a group.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int | None, set[str]] = {}
+        held: dict[int, set[str]] = {}
 
         def out():
             for g, words in held.items():
-                yield pa.RecordBatch.from_arrays([pa.array([g] * len(words), pa.int64()), pa.array([w.encode() for w in words], pa.binary())], ["grp", "word"])
+                lists: list[list[bytes]] = [[] for _ in range(buckets)]
+                for word in map(str.encode, words):
+                    lists[zlib.crc32(word) % buckets].append(word)
+                rows = [(i, pack_words(sorted(x))) for i, x in enumerate(lists) if x]
+                yield pa.RecordBatch.from_arrays([pa.array([g] * len(rows), pa.int64()), pa.array([x[0] for x in rows], pa.int32()), pa.array([x[1] for x in rows], pa.binary())], ["grp", "bucket", "words"])
 
         for batch in batches:
             for g, text in zip(batch.column("grp").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                held.setdefault(g, set()).update(WORDS.findall(text or ""))
+                if text:
+                    held.setdefault(g, set()).update(WORDS.findall(text))
             if sum(map(len, held.values())) > most:
                 yield from out()
                 held = {}
         yield from out()
 
-    return _grouped(docs, group_docs).select("grp", "text").mapInArrow(run, "grp long, word binary")
+    return _grouped(docs, group_docs).select("grp", "text").mapInArrow(run, "grp long, bucket int, words binary")
 
 
 def _grouped(docs: DataFrame, group_docs: int) -> DataFrame:
     return id_text(docs).withColumn("grp", F.floor(F.coalesce("doc_id", F.lit(-(2**62))) / group_docs))
 
 
-def encode_words(words: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """(grp, word, ids): equal words stand together, so each is encoded once."""
+def encode_words(words: DataFrame, ranks: str, pattern: str, most: int = 1_000_000) -> DataFrame:
+    """(grp, words, ids): lists of a bucket stand together, and a word is encoded the first time it comes.
+
+    ids holds, compressed, the number of ids of each word and then all ids. A worker that has seen
+    `most` distinct words of a bucket starts anew, which costs time only.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, last, ids = _coder(ranks, pattern)[0], None, b""
+        coder, seen, bucket, squeeze = _coder(ranks, pattern)[0], {}, None, zstandard.ZstdCompressor(level=3)
         for batch in batches:
             out = []
-            for word in batch.column("word").to_pylist():
-                if word != last:
-                    last, ids = word, np.array(coder.encode_ordinary(word.decode()), "<u4").tobytes()
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([batch.column("grp"), batch.column("word"), pa.array(out, pa.binary())], ["grp", "word", "ids"])
-
-    return words.repartition("word").sortWithinPartitions("word").mapInArrow(run, "grp long, word binary, ids binary")
+            for b, data in zip(batch.column("bucket").to_pylist(), batch.column("words").to_pylist(), strict=True):
+                if b != bucket or len(seen) > most:
+                    bucket, seen = b, {}
+                ids = []
+                for word in unpack_words(data):
+                    own = seen.get(word)
+                    if own is None:
+                        own = seen[word] = coder.encode_ordinary(word.decode())
+                    ids.append(own)
+                flat = np.fromiter(chain.from_iterable(ids), "<u4")
+                out.append(squeeze.compress(np.fromiter(map(len, ids), "<u4", len(ids)).tobytes() + flat.tobytes()))
+            yield pa.RecordBatch.from_arrays([batch.column("grp"), batch.column("words"), pa.array(out, pa.binary())], ["grp", "words", "ids"])
+
+    return words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "grp long, words binary, ids binary")
 
 
 def _blocks(docs: DataFrame, group_docs: int) -> DataFrame:
@@ -116,7 +151,7 @@ def _blocks(docs: DataFrame, group_docs: int) -> DataFrame:
     return _grouped(docs, group_docs).mapInArrow(run, "grp long, doc_ids array<long>, ends array<long>, data binary")
 
 
-def encode_documents(docs: DataFrame, *, ranks_path: str | None = None, pattern: str | None = None, group_docs: int = 4096) -> DataFrame:
+def encode_documents(docs: DataFrame, *, ranks_path: str | None = None, pattern: str | None = None, group_docs: int = 4096, buckets: int = 256) -> DataFrame:
     """Digests of all documents' ids and of their decoded bytes."""
     if ranks_path is None or pattern is None:
         import public_tokenizers
@@ -124,9 +159,9 @@ def encode_documents(docs: DataFrame, *, ranks_path: str | None = None, pattern:
         ranks_path, pattern = ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern or public_tokenizers.PATTERN
     with open(ranks_path, encoding="ascii") as f:
         ranks = f.read()
-    words = encode_words(distinct_words(docs, group_docs), ranks, pattern)
+    words = encode_words(distinct_words(docs, group_docs, buckets), ranks, pattern)
     none, numbers = F.lit(None).cast("binary"), F.lit(None).cast("array<long>")
-    mixed = words.select("grp", F.lit(0).alias("kind"), "word", "ids", numbers.alias("doc_ids"), numbers.alias("ends"), none.alias("data")).union(
+    mixed = words.select("grp", F.lit(0).alias("kind"), "words", "ids", numbers.alias("doc_ids"), numbers.alias("ends"), none.alias("data")).union(
         _blocks(docs, group_docs).select("grp", F.lit(1), none, none, "doc_ids", "ends", "data"),
     )
     return assemble(mixed.repartition("grp").sortWithinPartitions("grp", "kind"), ranks, pattern)
@@ -137,21 +172,23 @@ def assemble(mixed: DataFrame, ranks: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data_, starts_, lengths_ = token_bytes(_coder(ranks, pattern)[1])
-        group, index, parts, known, loose = object(), {}, [], None, zstandard.ZstdDecompressor()
+        group, index, parts, counts, known, loose = object(), {}, [], [], None, zstandard.ZstdDecompressor()
         for batch in batches:
             rows: list[tuple] = []
             for i, (g, kind) in enumerate(zip(batch.column("grp").to_pylist(), batch.column("kind").to_pylist(), strict=True)):
                 if g != group:
-                    group, index, parts, known = g, {}, [], None
+                    group, index, parts, counts, known = g, {}, [], [], None
                 if kind == 0:
-                    word = batch.column("word")[i].as_py().decode()
-                    if word not in index:
-                        index[word] = len(parts)
-                        parts.append(batch.column("ids")[i].as_py())
+                    words = unpack_words(batch.column("words")[i].as_py())
+                    data = np.frombuffer(loose.decompress(batch.column("ids")[i].as_py()), "<u4")
+                    begin = sum(map(len, counts))
+                    index.update((w.decode(), begin + k) for k, w in enumerate(words))
+                    counts.append(data[: len(words)].astype(np.int64))
+                    parts.append(data[len(words) :])
                     continue
                 if known is None:
-                    lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-                    known = np.frombuffer(b"".join(parts), "<u4"), np.cumsum(lengths) - lengths, lengths
+                    lengths = np.concatenate([*counts, np.zeros(0, np.int64)])
+                    known = np.concatenate([*parts, np.zeros(0, "<u4")]), np.cumsum(lengths) - lengths, lengths
                 data, begin = loose.decompress(batch.column("data")[i].as_py()), 0
                 for doc, end in zip(batch.column("doc_ids")[i].as_py(), batch.column("ends")[i].as_py(), strict=True):
                     words = WORDS.findall(data[begin:end].decode())
