@@ -106,6 +106,15 @@ def _grouped(docs: DataFrame, group_docs: int) -> DataFrame:
     return id_text(docs).withColumn("grp", F.floor(F.coalesce("doc_id", F.lit(-(2**62))) / group_docs))
 
 
+def planes(numbers: np.ndarray) -> bytes:
+    """Numbers below 2**32 as four runs of bytes: upper bytes, mostly zero, compress to nothing."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def encode_words(words: DataFrame, ranks: str, pattern: str, most: int = 1_000_000) -> DataFrame:
     """(grp, words, ids): lists of a bucket stand together, and a word is encoded the first time it comes.
 
@@ -114,7 +123,7 @@ def encode_words(words: DataFrame, ranks: str, pattern: str, most: int = 1_000_0
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, seen, bucket, squeeze = _coder(ranks, pattern)[0], {}, None, zstandard.ZstdCompressor(level=3)
+        coder, seen, bucket, squeeze = _coder(ranks, pattern)[0], {}, None, zstandard.ZstdCompressor(level=9)
         for batch in batches:
             out = []
             for b, data in zip(batch.column("bucket").to_pylist(), batch.column("words").to_pylist(), strict=True):
@@ -127,7 +136,7 @@ def encode_words(words: DataFrame, ranks: str, pattern: str, most: int = 1_000_0
                         own = seen[word] = coder.encode_ordinary(word.decode())
                     ids.append(own)
                 flat = np.fromiter(chain.from_iterable(ids), "<u4")
-                out.append(squeeze.compress(np.fromiter(map(len, ids), "<u4", len(ids)).tobytes() + flat.tobytes()))
+                out.append(squeeze.compress(planes(np.concatenate([np.fromiter(map(len, ids), "<u4", len(ids)), flat]))))
             yield pa.RecordBatch.from_arrays([batch.column("grp"), batch.column("words"), pa.array(out, pa.binary())], ["grp", "words", "ids"])
 
     return words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "grp long, words binary, ids binary")
@@ -138,7 +147,7 @@ def _blocks(docs: DataFrame, group_docs: int) -> DataFrame:
     out = pa.schema([("grp", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("data", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3)
+        squeeze = zstandard.ZstdCompressor(level=9)
         for rows, buf, at in sliced(batches, most=BLOCK_BYTES):
             grp = np.array(rows.column("grp"))
             order = np.argsort(grp, kind="stable")
@@ -180,7 +189,7 @@ def assemble(mixed: DataFrame, ranks: str, pattern: str) -> DataFrame:
                     group, index, parts, counts, known = g, {}, [], [], None
                 if kind == 0:
                     words = unpack_words(batch.column("words")[i].as_py())
-                    data = np.frombuffer(loose.decompress(batch.column("ids")[i].as_py()), "<u4")
+                    data = from_planes(loose.decompress(batch.column("ids")[i].as_py()))
                     begin = sum(map(len, counts))
                     index.update((w.decode(), begin + k) for k, w in enumerate(words))
                     counts.append(data[: len(words)].astype(np.int64))
