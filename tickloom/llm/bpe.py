@@ -63,7 +63,7 @@ def token_bytes(table: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.nda
 def pack_words(words: list[bytes]) -> bytes:
     """A compressed list of words; sorted ones share their beginnings."""
     lengths = np.fromiter(map(len, words), "<u4", len(words))
-    return zstandard.ZstdCompressor(level=3).compress(len(words).to_bytes(8, "little") + lengths.tobytes() + b"".join(words))
+    return zstandard.ZstdCompressor(level=9).compress(len(words).to_bytes(8, "little") + lengths.tobytes() + b"".join(words))
 
 
 def unpack_words(data: bytes) -> list[bytes]:
