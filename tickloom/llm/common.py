@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task turns into arrays at once (a longer text is a slice of its own).
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
