@@ -38,7 +38,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of 4096 tokens."""
+    """Pieces of all documents in sequences of 4096 tokens, with their ids."""
     return packing.pack(docs)
 
 

@@ -297,6 +297,18 @@ def test_packing(docs, rows, words):
     assert len(sequences) <= total / 256 + total / 3000 + docs.rdd.getNumPartitions() + 1
 
 
+def test_packed_sequences_hold_ids(docs, rows, words, monkeypatch):
+    """The ids of the pieces, put together by sequence and by document, are those of the texts."""
+    monkeypatch.setattr(packing, "BATCH_IDS", 700)
+    got, copies = packing.pack(docs, seq_len=256, group_tokens=3000).collect(), Counter(i for i, _ in rows)
+    assert all(len(r.ids) == r.length and brute.crc(r.ids) == r.ids_crc32 for r in got)
+    pieces = brute.by_id(got)
+    for i, text in set(rows):
+        ids = [*words(text), 2]
+        assert all(r.ids == ids[r.start : r.start + r.length] for r in pieces[i])
+        assert sum(len(r.ids) for r in pieces[i]) == copies[i] * len(ids)
+
+
 def test_balance():
     lengths = np.random.default_rng(1).integers(1, 900, 500)
     cost, used = Counter(), Counter()

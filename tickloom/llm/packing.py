@@ -4,7 +4,8 @@ A task tokenizes its documents and packs groups of about `group_tokens` ids. A g
 sequences as its ids need. Its documents, longest first and cut at the sequence length, go to the
 sequence of lowest estimated attention cost that has room left; what does not fit there is cut and
 goes on to the next. So a group pads fewer than `seq_len` ids in all. Groups never leave their task:
-no shuffle, no driver, and a hot source or a group of copies is like any other rows.
+no shuffle, no driver, and a hot source or a group of copies is like any other rows. Every piece comes
+with its ids; its checksum is taken from that column.
 
 Null and empty texts have only the end id. Repeated rows are packed once each. An empty table gives
 no rows. Other columns are ignored. Ties go by arrival in the task.
@@ -21,11 +22,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tickloom.llm.common import batch_of, id_text, sliced
+from tickloom.llm.common import batch_of, id_text, sliced, spread
 from tickloom.llm.tokenizing import model_text, word_encoder
 
-SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-ARROW = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
+PIECES = "doc_id long, start long, length long, ids array<int>, doc_tokens long, sequence_id long, offset long"
+ARROW = pa.schema([(n, pa.list_(pa.int32()) if n == "ids" else pa.int64()) for n in ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")])
+SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>"
+#: Ids in one batch of pieces (or one piece).
+BATCH_IDS = 1 << 20
 
 
 def balance(lengths: np.ndarray, seq_len: int, linear: float, quadratic: float) -> list[tuple[int, int, int, int, int]]:
@@ -55,8 +59,8 @@ def balance(lengths: np.ndarray, seq_len: int, linear: float, quadratic: float)
     return pieces
 
 
-def pack(docs: DataFrame, *, tokenizer: str | None = None, seq_len: int = 4096, end_id: int = 2, linear: float = 1.0, quadratic: float = 1 / 2048, group_tokens: int = 1 << 22) -> DataFrame:
-    """Pieces of all documents with their place in the sequences.
+def pieces(docs: DataFrame, *, tokenizer: str | None = None, seq_len: int = 4096, end_id: int = 2, linear: float = 1.0, quadratic: float = 1 / 2048, group_tokens: int = 1 << 22) -> DataFrame:
+    """Pieces of all documents: their ids, and their place in the sequences.
 
     linear, quadratic: estimated cost of n ids that attend to one another is linear*n + quadratic*n*n.
     sequence_id is unique (partition in the upper bits), not gapless.
@@ -74,13 +78,14 @@ def pack(docs: DataFrame, *, tokenizer: str | None = None, seq_len: int = 4096,
             lengths = np.concatenate([np.diff(x[2]) for x in held])
             names = pa.concat_arrays([x[0] for x in held])
             begin = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-            pieces = np.array(balance(lengths, seq_len, linear, quadratic), np.int64).reshape(-1, 5)
-            d, s, n, k, o = pieces.T
-            data = memoryview(ids.astype("<u4").tobytes())
-            a = (begin[d] + s) * 4
-            crc = [zlib.crc32(data[x:y]) for x, y in zip(a.tolist(), (a + 4 * n).tolist(), strict=True)]
-            yield batch_of(ARROW, names.take(pa.array(d)), s, n, crc, lengths[d], k + sequence, o)
-            sequence += int(k.max()) + 1
+            placed = np.array(balance(lengths, seq_len, linear, quadratic), np.int64).reshape(-1, 5)
+            sums = np.cumsum(placed[:, 2])
+            for own in np.split(placed, np.flatnonzero(np.diff(sums // BATCH_IDS)) + 1):
+                d, s, n, k, o = own.T
+                flat = ids[spread(begin[d] + s, n)].astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(flat))
+                yield batch_of(ARROW, names.take(pa.array(d)), s, n, lists, lengths[d], k + sequence, o)
+            sequence += int(placed[:, 3].max()) + 1
 
         for rows, buf, at in sliced(batches):
             held.append((rows.column("doc_id"), *encoder.encode(buf, at, end_id)))
@@ -91,4 +96,24 @@ def pack(docs: DataFrame, *, tokenizer: str | None = None, seq_len: int = 4096,
         if held:
             yield from out()
 
-    return id_text(docs).mapInArrow(run, SCHEMA)
+    return id_text(docs).mapInArrow(run, PIECES)
+
+
+def with_crc(packed: DataFrame) -> DataFrame:
+    """Pieces with the checksum of their ids (as little-endian 32-bit numbers), the ids last."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("ids")
+            at = np.array(ids.offsets, np.int64) * 4
+            data = memoryview(np.array(ids.values).astype("<u4").tobytes())
+            crc = pa.array([zlib.crc32(data[x:y]) for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.int64())
+            columns = {"ids_crc32": crc} | {c: batch.column(c) for c in batch.schema.names}
+            yield pa.RecordBatch.from_pydict({c: columns[c] for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids")})
+
+    return packed.mapInArrow(run, SCHEMA)
+
+
+def pack(docs: DataFrame, **options) -> DataFrame:
+    """`pieces` of all documents (same options) with their ids and the checksum of these."""
+    return with_crc(pieces(docs, **options))
