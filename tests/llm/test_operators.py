@@ -164,6 +164,20 @@ def test_sharding(docs, rows):
         assert sorted(r.slot for r in own) == list(range(len(own)))
 
 
+def test_shard_moves_whole_rows(docs):
+    """Every row comes out with all its columns, in the order of its shard's slots, after one exchange."""
+    moved = sharding.shard(docs, shards=4, parts=2)
+    plan = moved._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(part") == 1 and "Python" not in plan
+    got = moved.withColumn("hash", F.xxhash64(F.coalesce("text", F.lit("")))).collect()
+    assert moved.columns == [*docs.columns, "shard", "slot"]
+    assert Counter(tuple(r)[:-3] for r in got) == Counter(map(tuple, docs.collect()))
+    want = Counter((r.doc_id, r.shard, r.slot) for r in sharding.place(docs, shards=4, parts=2).collect())
+    assert Counter((r.doc_id, r.shard, r.slot) for r in got).keys() == want.keys()
+    keys = {(r.shard, r.slot): r.hash for r in got}
+    assert all(keys[s, k] <= keys[s, k + 1] for s, k in keys if (s, k + 1) in keys)
+
+
 @pytest.mark.parametrize("hot", [0, 3000])
 def test_shards_are_equal(spark, hot):
     """Also with a group of copies over a third of all bytes."""

@@ -4,12 +4,13 @@ Documents are ordered by (xxhash64 of the text, doc_id): equal texts stand toget
 copies too large for one shard can still be cut between its documents. Splitters are found by
 counting: bytes and rows below all probes of a round are counted exactly over all partitions, every
 splitter that is not yet within its tolerance gets 256 finer probes inside its interval, and so on.
-Then one exchange moves each document to its part; parts are fine pieces of shards, so no task
-holds a shard. A shard's slots follow the order of the keys.
+Then one exchange moves each document, whole rows with all columns, to its part, where they are
+sorted; parts are fine pieces of shards, so no task holds a shard. A shard's slots follow the order of
+the keys. `place` writes the sharded documents and takes its measures from what it has written.
 
 Null texts have size 1 and the checksum of no bytes. Null doc_ids count as the smallest long. Rows
 equal in both doc_id and text cannot be told apart by any key and stay in one part. An empty table
-gives no rows. Other columns are ignored by `place`.
+gives no rows. Other columns are kept by `shard` (but for any named shard or slot, which are replaced).
 """
 
 from __future__ import annotations
@@ -98,16 +99,15 @@ def _part(cuts: list[int], a: int, b: int) -> Column:
     return F.when(_below(cuts[m]), _part(cuts, a, m)).otherwise(_part(cuts, m + 1, b))
 
 
-def place(docs: DataFrame, *, shards: int = 16, parts: int = 8, tolerance: float = 0.005) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document.
+def shard(docs: DataFrame, *, shards: int = 16, parts: int = 8, tolerance: float = 0.005) -> DataFrame:
+    """All rows of docs, moved to their shards and sorted, with `shard` and `slot`.
 
     tolerance: largest distance of a shard's border from its ideal place, as a share of a shard.
     parts: pieces of a shard that are sorted apart from one another.
     """
     text = F.coalesce("text", F.lit(""))
     keys = saved(id_text(docs).select(
-        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.xxhash64(text).alias("hi"), F.coalesce("doc_id", F.lit(MIN_LONG).cast("long")).alias("lo"),
+        (F.octet_length(text) + 1).cast("long").alias("size"), F.xxhash64(text).alias("hi"), F.coalesce("doc_id", F.lit(MIN_LONG).cast("long")).alias("lo"),
     ), "shard-keys")
     total = keys.agg(F.sum("size")).first()[0] or 0
     n = shards * parts
@@ -117,8 +117,22 @@ def place(docs: DataFrame, *, shards: int = 16, parts: int = 8, tolerance: float
     starts = [0] + [rows for _, _, rows in found]
     before = F.array(*[F.lit(starts[i] - starts[i - i % parts]).cast("long") for i in range(n)])
     order = Window.partitionBy("part").orderBy("hi", "lo")
-    placed = keys.withColumn("part", _part(cuts, 0, n - 1))
+    names = [f"c{i}" for i in range(len(docs.columns))]  # no clash with columns added here
+    own = {c: F.col(n) for n, c in zip(names, docs.columns, strict=True)}
+    text = F.coalesce(own["text"].cast("string"), F.lit(""))
+    keyed = docs.toDF(*names).select(*names, F.xxhash64(text).alias("hi"), F.coalesce(own["doc_id"].cast("long"), F.lit(MIN_LONG).cast("long")).alias("lo"))
+    placed = keyed.withColumn("part", _part(cuts, 0, n - 1))
     return placed.select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.floor(F.col("part") / parts).cast("int").alias("shard"),
-        (F.row_number().over(order) - 1 + before[F.col("part")]).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+        *[x.alias(c) for c, x in own.items() if c not in ("shard", "slot")], F.floor(F.col("part") / parts).cast("int").alias("shard"),
+        (F.row_number().over(order) - 1 + before[F.col("part")]).cast("long").alias("slot"),
+    )
+
+
+def place(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document, from the rows that `shard` (same options) has moved."""
+    rows = saved(shard(docs, **options), "shards")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return rows.select(
+        F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
     )
