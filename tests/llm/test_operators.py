@@ -274,6 +274,25 @@ def test_byte_bpe(docs, rows):
     assert Counter(map(tuple, bpe.encode_documents(docs, group_docs=16).collect())) == want
 
 
+def test_byte_bpe_gives_ids_and_decodes_given_ones(spark, docs, rows, monkeypatch):
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_50k.tiktoken"), "rb"))}
+    coder = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = Counter((i, tuple(coder.encode_ordinary(text or ""))) for i, text in rows)
+    assert Counter((r.doc_id, tuple(r.ids)) for r in bpe.encode(docs, group_docs=16).collect()) == want
+    monkeypatch.setattr(bpe, "DECODE_IDS", 50)
+    texts = [(i, text) for i, text in rows if text] + [(None, "a b"), (7, "")]
+    stored = spark.createDataFrame([(i, coder.encode_ordinary(t)) for i, t in texts] + [(8, None)], "doc_id long, ids array<int>")
+    assert Counter((r.doc_id, r.bytes and bytes(r.bytes)) for r in bpe.decode(stored).collect()) == Counter([(i, t.encode()) for i, t in texts] + [(8, None)])
+
+
+@pytest.mark.parametrize("doc_id", [None, 5])
+def test_byte_bpe_deals_equal_ids_to_groups(spark, doc_id):
+    df = spark.createDataFrame([(doc_id, f"text {k}") for k in range(200)], "doc_id long, text string")
+    sizes = [r["count"] for r in bpe._grouped(df, 16).groupBy("grp").count().collect()]
+    assert len(sizes) > 8 and max(sizes) < 50
+    assert {r.n_tokens for r in bpe.encode_documents(df, group_docs=16).collect()} and bpe.encode(df, group_docs=16).count() == 200
+
+
 def test_quality(docs, rows):
     texts = dict(rows)
     got = quality.judge(docs).collect()

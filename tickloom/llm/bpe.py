@@ -6,13 +6,15 @@
 2. One shuffle brings equal words of all groups together, where each distinct word is encoded once;
    a hot word comes once per group, not per occurrence.
 3. Ids go back to the groups, where documents stream past their group's words and are reassembled by
-   position. Decoding takes the bytes of every id from the token-byte table, whose size is that of
-   the vocabulary.
+   position (`encode`).
+4. `decode` takes any table of ids and looks the bytes of every id up in the token-byte table, whose
+   size is that of the vocabulary. `encode_documents` takes its digests from the columns of both.
 
 The words are runs of non-space with the blank before them, or runs of spaces; the pattern's matches
 never cross those borders, so a word's ids are those of its matches one after the other. Null and empty
-texts have no ids and decode to nothing. Repeated rows give repeated rows. Null doc_ids form a group.
-An empty table gives no rows. Other columns are ignored.
+texts have no ids and decode to nothing. Repeated rows give repeated rows. Where far more rows than
+`group_docs` have null or near doc_ids, they are dealt to several groups by hash of (doc_id, text); rows
+equal in both stay in one. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,29 +28,35 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import id_text, sliced, spread
 
+ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 ARROW = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 #: Fixed value: the code points with the White_Space property, as the pattern's \s has them.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORDS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 BLOCK_BYTES = 1 << 20
+DECODE_IDS = 1 << 16
 
 _coders: dict[str, object] = {}
 
 
+def _table(ranks: str) -> dict[bytes, int]:
+    return {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line)}
+
+
 def _coder(ranks: str, pattern: str):
     import tiktoken
 
     key = hashlib.md5((pattern + ranks).encode()).hexdigest()
     if key not in _coders:
-        table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line)}
-        _coders[key] = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={}), table
+        _coders[key] = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=_table(ranks), special_tokens={})
     return _coders[key]
 
 
@@ -73,7 +81,7 @@ def unpack_words(data: bytes) -> list[bytes]:
     return [data[i:j] for i, j in zip([8 + 4 * n, *ends[:-1]], ends, strict=True)] if n else []
 
 
-def distinct_words(docs: DataFrame, group_docs: int, buckets: int, most: int = 400_000) -> DataFrame:
+def distinct_words(grouped: DataFrame, buckets: int, most: int = 400_000) -> DataFrame:
     """(grp, bucket, words): the distinct words of each group, in sorted lists by hash of the word.
 
     A task sends what it holds when that exceeds `most` words, so a word may come twice from a group.
@@ -99,11 +107,18 @@ def distinct_words(docs: DataFrame, group_docs: int, buckets: int, most: int = 4
                 held = {}
         yield from out()
 
-    return _grouped(docs, group_docs).select("grp", "text").mapInArrow(run, "grp long, bucket int, words binary")
+    return grouped.select("grp", "text").mapInArrow(run, "grp long, bucket int, words binary")
 
 
 def _grouped(docs: DataFrame, group_docs: int) -> DataFrame:
-    return id_text(docs).withColumn("grp", F.floor(F.coalesce("doc_id", F.lit(-(2**62))) / group_docs))
+    """Texts with their group: neighbouring doc_ids, and hashed parts of those where overfull."""
+    near = F.floor(F.coalesce("doc_id", F.lit(-(2**62))) / group_docs)
+    keyed = id_text(docs).withColumn("grp", near)
+    full = keyed.groupBy("grp").count().where(F.col("count") > 2 * group_docs).collect()  # at most one in 2 * group_docs rows
+    if not full:
+        return keyed
+    pieces = F.create_map(*[F.lit(x).cast("long") for r in full for x in (r["grp"], -(-r["count"] // group_docs))])[F.col("grp")]
+    return keyed.withColumn("grp", F.when(pieces.isNotNull(), F.xxhash64("grp", F.pmod(F.xxhash64("doc_id", "text"), pieces))).otherwise(F.col("grp")))
 
 
 def planes(numbers: np.ndarray) -> bytes:
@@ -123,7 +138,7 @@ def encode_words(words: DataFrame, ranks: str, pattern: str, most: int = 1_000_0
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, seen, bucket, squeeze = _coder(ranks, pattern)[0], {}, None, zstandard.ZstdCompressor(level=9)
+        coder, seen, bucket, squeeze = _coder(ranks, pattern), {}, None, zstandard.ZstdCompressor(level=9)
         for batch in batches:
             out = []
             for b, data in zip(batch.column("bucket").to_pylist(), batch.column("words").to_pylist(), strict=True):
@@ -142,7 +157,7 @@ def encode_words(words: DataFrame, ranks: str, pattern: str, most: int = 1_000_0
     return words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "grp long, words binary, ids binary")
 
 
-def _blocks(docs: DataFrame, group_docs: int) -> DataFrame:
+def _blocks(grouped: DataFrame) -> DataFrame:
     """Texts as compressed blocks of one group each: (grp, doc_ids, ends, data)."""
     out = pa.schema([("grp", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("data", pa.binary())])
 
@@ -157,33 +172,36 @@ def _blocks(docs: DataFrame, group_docs: int) -> DataFrame:
                 ends = np.cumsum(at[own + 1] - at[own])
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(([grp[own[0]]], [[ids[i] for i in own]], [ends.tolist()], [squeeze.compress(data)]), out, strict=True)], schema=out)
 
-    return _grouped(docs, group_docs).mapInArrow(run, "grp long, doc_ids array<long>, ends array<long>, data binary")
+    return grouped.mapInArrow(run, "grp long, doc_ids array<long>, ends array<long>, data binary")
 
 
-def encode_documents(docs: DataFrame, *, ranks_path: str | None = None, pattern: str | None = None, group_docs: int = 4096, buckets: int = 256) -> DataFrame:
-    """Digests of all documents' ids and of their decoded bytes."""
+def _tokenizer(ranks_path: str | None, pattern: str | None) -> tuple[str, str]:
     if ranks_path is None or pattern is None:
         import public_tokenizers
 
         ranks_path, pattern = ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern or public_tokenizers.PATTERN
     with open(ranks_path, encoding="ascii") as f:
-        ranks = f.read()
-    words = encode_words(distinct_words(docs, group_docs, buckets), ranks, pattern)
+        return f.read(), pattern
+
+
+def encode(docs: DataFrame, *, ranks_path: str | None = None, pattern: str | None = None, group_docs: int = 4096, buckets: int = 256) -> DataFrame:
+    """(doc_id, ids) of all documents."""
+    ranks, pattern = _tokenizer(ranks_path, pattern)
+    grouped = _grouped(docs, group_docs)
+    words = encode_words(distinct_words(grouped, buckets), ranks, pattern)
     none, numbers = F.lit(None).cast("binary"), F.lit(None).cast("array<long>")
     mixed = words.select("grp", F.lit(0).alias("kind"), "words", "ids", numbers.alias("doc_ids"), numbers.alias("ends"), none.alias("data")).union(
-        _blocks(docs, group_docs).select("grp", F.lit(1), none, none, "doc_ids", "ends", "data"),
+        _blocks(grouped).select("grp", F.lit(1), none, none, "doc_ids", "ends", "data"),
     )
-    return assemble(mixed.repartition("grp").sortWithinPartitions("grp", "kind"), ranks, pattern)
+    return assemble(mixed.repartition("grp").sortWithinPartitions("grp", "kind"))
 
 
-def assemble(mixed: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """Ids of every document from its group's words, and their decoded bytes, as digests."""
+def assemble(mixed: DataFrame) -> DataFrame:
+    """Ids of every document from its group's words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data_, starts_, lengths_ = token_bytes(_coder(ranks, pattern)[1])
         group, index, parts, counts, known, loose = object(), {}, [], [], None, zstandard.ZstdDecompressor()
         for batch in batches:
-            rows: list[tuple] = []
             for i, (g, kind) in enumerate(zip(batch.column("grp").to_pylist(), batch.column("kind").to_pylist(), strict=True)):
                 if g != group:
                     group, index, parts, counts, known = g, {}, [], [], None
@@ -198,15 +216,57 @@ def assemble(mixed: DataFrame, ranks: str, pattern: str) -> DataFrame:
                 if known is None:
                     lengths = np.concatenate([*counts, np.zeros(0, np.int64)])
                     known = np.concatenate([*parts, np.zeros(0, "<u4")]), np.cumsum(lengths) - lengths, lengths
-                data, begin = loose.decompress(batch.column("data")[i].as_py()), 0
-                for doc, end in zip(batch.column("doc_ids")[i].as_py(), batch.column("ends")[i].as_py(), strict=True):
+                data, begin, own = loose.decompress(batch.column("data")[i].as_py()), 0, []
+                for end in batch.column("ends")[i].as_py():
                     words = WORDS.findall(data[begin:end].decode())
                     at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-                    ids = known[0][spread(known[1][at], known[2][at])]
-                    decoded = data_[spread(starts_[ids], lengths_[ids])]
-                    rows.append((doc, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decoded.tobytes()).hexdigest()))
+                    own.append(known[0][spread(known[1][at], known[2][at])])
                     begin = end
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), ARROW, strict=True)], schema=ARROW)
+                ends = np.cumsum([0, *map(len, own)])
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(own).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_ids")[i].values, ids], schema=ENCODED)  # one block at a time
+
+    return mixed.mapInArrow(run, "doc_id long, ids array<int>")
+
 
-    return mixed.mapInArrow(run, SCHEMA)
+def decode(encoded: DataFrame, *, ranks_path: str | None = None) -> DataFrame:
+    """(doc_id, ids, bytes) of a table with doc_id and ids; null ids give null, unknown ones an error."""
+    ranks, _ = _tokenizer(ranks_path, "")
+    out = pa.schema([*ENCODED, ("bytes", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        data_, starts_, lengths_ = token_bytes(_table(ranks))
+        known = lengths_ > 0
+        for rows in batches:
+            at = np.array(rows.column("ids").offsets, np.int64)
+            i, n = 0, rows.num_rows
+            while i < n:  # at most DECODE_IDS ids at once, or one row
+                j = max(i + 1, int(np.searchsorted(at, at[i] + DECODE_IDS, "right")) - 1)
+                own = rows.slice(i, j - i)
+                ids = np.array(own.column("ids").flatten())  # without what may stand behind a null
+                sizes = np.array(pc.fill_null(pc.list_value_length(own.column("ids")), 0), np.int64)
+                if len(ids) and (ids.min() < 0 or ids.max() >= len(known) or not known[ids].all()):
+                    raise ValueError("ids that the vocabulary does not have")
+                sums = np.concatenate([[0], np.cumsum(lengths_[ids])])
+                ends = sums[np.concatenate([[0], np.cumsum(sizes)])]
+                decoded = data_[spread(starts_[ids], lengths_[ids])].tobytes()
+                valid = own.column("ids").is_valid().to_pylist()
+                cells = [decoded[x:y] if v else None for v, x, y in zip(valid, ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("ids"), pa.array(cells, pa.binary())], schema=out)
+                i = j
+
+    return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids")).mapInArrow(run, "doc_id long, ids array<int>, bytes binary")
+
+
+def encode_documents(docs: DataFrame, *, ranks_path: str | None = None, pattern: str | None = None, group_docs: int = 4096, buckets: int = 256) -> DataFrame:
+    """Digests of all documents' ids (as little-endian 32-bit numbers) and of their decoded bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            ids, at = np.array(rows.column("ids").values).astype("<u4"), np.array(rows.column("ids").offsets).tolist()
+            digests = [hashlib.sha256(ids[x:y].tobytes()).hexdigest() for x, y in zip(at[:-1], at[1:], strict=True)]
+            decoded = [hashlib.sha256(x.as_buffer()).hexdigest() for x in rows.column("bytes")]
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(np.diff(at), pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())], schema=ARROW)
+
+    encoded = encode(docs, ranks_path=ranks_path, pattern=pattern, group_docs=group_docs, buckets=buckets)
+    return decode(encoded, ranks_path=ranks_path).mapInArrow(run, SCHEMA)
