@@ -302,6 +302,18 @@ def test_quality(docs, rows):
         assert not (r.base_failed and r.kept)
 
 
+def test_shouting_in_other_scripts(spark):
+    """One acronym in a text of another script is no shouting; capitals of other scripts are."""
+    def text(words):
+        return " ".join(f"{w}{chr(ord(w[-1]) + k % 5)}{chr(ord(w[-1]) + k // 5 % 7)}{chr(ord(w[-1]) + k // 35)}" for k in range(60) for w in words)
+
+    kept = [text(["река", "дом"]) + " NATO", text(["ποταμ", "σπιθ"]) + " NATO", text(["नदक"]) + " NATO", text(["שלא"]) + " NATO", text(["강가"]) + " NATO", text(["river", "house"]) + " NATO"]
+    loud = [text(["РЕКА", "ДОВ"]), text(["ΑΒΓ", "ΔΓ"]), text(["RIVER", "HOUSE"])]
+    got = quality.judge(spark.createDataFrame(list(enumerate(kept + loud)), "doc_id long, text string")).collect()
+    assert not any(r.base_failed for r in got)
+    assert {r.doc_id for r in got if r.kept} == set(range(len(kept)))
+
+
 def test_cascade_order_changes_nothing(docs):
     rules = dict(list(quality.RULES.items())[::-1])
     def verdict(**options):

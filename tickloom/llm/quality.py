@@ -12,7 +12,9 @@ are ignored by `judge` and kept by `keep`.
 
 from __future__ import annotations
 
+import re
 import time
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, fields, replace
 from itertools import islice
@@ -37,6 +39,7 @@ _SHOUT = np.zeros(256, np.int8)
 _SHOUT[ord("!")] = 1
 _DIGIT = np.zeros(256, np.int8)
 _DIGIT[48:58] = 1
+_NOT_ASCII = re.compile("[^\x00-\x7f]")
 
 
 def _count(kinds: np.ndarray, buf: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -131,8 +134,20 @@ def long_words(t: Texts) -> np.ndarray:
 
 
 def shouting(t: Texts) -> np.ndarray:
-    letters = _count(_LETTER, t.buf, t.at)
-    return (letters > 0) & (10 * _count(_UPPER, t.buf, t.at) > 7 * letters)
+    """Over 70 % capitals among the letters of all scripts; at least half of the letters must have case."""
+    letters, upper = _count(_LETTER, t.buf, t.at), _count(_UPPER, t.buf, t.at)
+    others = np.zeros(len(letters), np.int64)  # letters without case
+    for i in np.flatnonzero(_count(t.buf >= 128, t.buf, t.at)):
+        text = t.buf[t.at[i] : t.at[i + 1]].tobytes().decode(errors="replace")
+        for c, n in Counter(_NOT_ASCII.findall(text)).items():
+            if c.isalpha():
+                if c.isupper() or c.istitle():
+                    upper[i] += n
+                if c.isupper() or c.islower() or c.istitle():
+                    letters[i] += n
+                else:
+                    others[i] += n
+    return (letters > 0) & (letters >= others) & (10 * upper > 7 * letters)
 
 
 def exclamations(t: Texts) -> np.ndarray:
