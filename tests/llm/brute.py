@@ -86,15 +86,18 @@ def quality(text: str | None) -> tuple[int, int, int, int, int, bool]:
     return n, sum(len(w.decode()) for w in words), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(often), n < 50 or 100 * len(often) > 50 * n
 
 
-def dropped_lines(rows: list[tuple[int, str | None]], min_words: int = 10) -> dict[int, tuple[int, list[int]]]:
-    """Every line against all earlier ones by edit distance over words."""
-    def near(a, b):
-        if a == b:
+def dropped_lines(rows: list[tuple[int, str | None]], min_words: int = 10, min_chars: int = 24) -> dict[int, tuple[int, list[int]]]:
+    """Every line against all earlier ones by edit distance over words, or over characters of lines with few words."""
+    def near(x, y):
+        if x == y:
             return True
-        if min(len(a), len(b)) < min_words or abs(len(a) - len(b)) > 1:
+        if (len(x) < min_words) != (len(y) < min_words):
+            return False
+        a, b = (x, y) if len(x) >= min_words else (" ".join(x), " ".join(y))
+        if len(x) < min_words and min(len(a), len(b)) < min_chars or abs(len(a) - len(b)) > 1:
             return False
         if len(a) == len(b):
-            return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+            return sum(c != d for c, d in zip(a, b, strict=True)) == 1
         a, b = sorted((a, b), key=len)
         return any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
 

@@ -222,8 +222,42 @@ def test_line_dedup_of_random_lines(spark, seed):
     """Few words, so that lines repeat words and deletions coincide."""
     rnd = random.Random(seed)
     texts = [(i, "\n".join(" ".join(rnd.choice("abc") for _ in range(rnd.randint(0, 6))) for _ in range(rnd.randint(1, 8)))) for i in range(40)]
-    got = linededup.report(spark.createDataFrame(texts, "doc_id long, text string").repartition(3), min_words=4).collect()
-    assert {r.doc_id: (r.n_lines, r.dropped) for r in got} == brute.dropped_lines(texts, 4)
+    got = linededup.report(spark.createDataFrame(texts, "doc_id long, text string").repartition(3), min_words=4, min_chars=4).collect()
+    assert {r.doc_id: (r.n_lines, r.dropped) for r in got} == brute.dropped_lines(texts, 4, 4)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_short_lines_differ_by_one_character(spark, seed):
+    """Few letters of one to four bytes, so that characters repeat and deletions coincide."""
+    rnd = random.Random(seed)
+    texts = [(i, "\n".join("".join(rnd.choice("aBé日🙂 ") for _ in range(rnd.randint(0, 9))) for _ in range(rnd.randint(1, 9)))) for i in range(60)]
+    got = linededup.report(spark.createDataFrame(texts, "doc_id long, text string").repartition(3), min_words=7, min_chars=5).collect()
+    assert {r.doc_id: (r.n_lines, r.dropped) for r in got} == brute.dropped_lines(texts, 7, 5)
+
+
+SHARED_IDS = [
+    ([(0, "d e f"), (1, "a b c\nd e f"), (1, "g h i\nq w e")], [(0, "d e f"), (1, "a b c"), (1, "g h i\nq w e")]),
+    ([(None, "q q\nx y z"), (None, "a b\nonly here"), (3, "only here\nx y z\nnew")], [(None, "q q\nx y z"), (None, "a b\nonly here"), (3, "new")]),
+    ([(4, "same\nrow"), (4, "same\nrow"), (5, "row\nother")], [(4, "same\nrow"), (4, "same\nrow"), (5, "other")]),
+    ([(None, "same\nrow"), (None, "same\nrow"), (None, None)], [(None, "same\nrow"), (None, "same\nrow"), (None, None)]),
+]
+
+
+@pytest.mark.parametrize("texts, left", SHARED_IDS, ids=["repeated id", "no ids", "equal rows", "equal rows without ids"])
+def test_lines_of_rows_that_share_an_id(spark, texts, left):
+    """Rows with one id are documents of their own; equal rows give equal results."""
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    assert Counter(map(tuple, linededup.drop_lines(df).collect())) == Counter(left)
+    lines = Counter((r.doc_id, r.n_lines - r.n_dropped) for r in linededup.report(df).collect())
+    assert lines == Counter((i, len(t.split("\n")) if t else 0) for i, t in left)
+
+
+def test_no_line_is_lost(spark):
+    """Of every kind of line one is left, whatever ids its rows have."""
+    rnd = random.Random(4)
+    texts = [(rnd.choice([None, 1, 2, 3]), "\n".join(rnd.choice("abcdefghij") * 3 for _ in range(rnd.randint(1, 6)))) for _ in range(40)]
+    kept = linededup.drop_lines(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {x for _, t in texts for x in t.split("\n")} == {x for r in kept for x in r.text.split("\n")}
 
 
 def test_drop_lines(docs, rows):
