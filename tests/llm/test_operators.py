@@ -22,7 +22,6 @@ from tickloom.llm.common import scratch
 @pytest.fixture(scope="module")
 def words():
     t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -99,10 +98,24 @@ def test_random_access(spark, docs, rows, words):
     path = scratch(spark, "ids")
     tokenids.write_ids(docs, path, segment_tokens=300)
     flat = [x for _, t in sorted(rows, key=lambda r: (r[0], r[1] or "")) for x in [*words(t), 1]]
-    segments = tokenids.read_segments(spark, path)
     for position in (0, 7, len(flat) // 2, len(flat) - 1):
-        assert [r.token_id for r in tokenids.token_at(segments, position).collect()] == [flat[position]]
-    assert tokenids.token_at(segments, len(flat)).count() == 0
+        found = tokenids.token_at(spark, path, position)
+        assert [r.token_id for r in found.collect()] == [flat[position]]
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "EqualTo(part," in plan and "EqualTo(tokens_before," in plan and "doc_ids" not in plan
+    assert tokenids.token_at(spark, path, len(flat)).count() == 0
+
+
+def test_special_strings(spark, words):
+    """Special strings become their ids as in the plain library call, or are ordinary text if asked for."""
+    texts = [(0, "<|endoftext|>. x</w> <unk>"), (1, "a <|ENDOFTEXT|> b"), (2, "Plain. Words, here"), (3, "x<|startoftext|>y<|endoftext|><|endoftext|>"), (4, "<|endoftext"), (5, None), (6, "The End.")]
+    df = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.ids for r in packing.pack(df).collect()}
+    assert got == {i: [*words(t), 2] for i, t in texts} and got[0][0] == 49407
+    plain = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    plain.encode_special_tokens = True
+    got = {r.doc_id: r.ids for r in packing.pack(df, special_as_text=True).collect()}
+    assert got == {i: [*plain.encode(t or "", add_special_tokens=False).ids, 2] for i, t in texts} and got[0][0] != 49407
 
 
 @pytest.mark.parametrize("top", [2, 255, 256, 60_000, 2**24])
@@ -373,7 +386,16 @@ def test_packing(docs, rows, words):
             end += r.length
         assert end <= 256
     total = sum(r.length for r in got)
-    assert len(sequences) <= total / 256 + total / 3000 + docs.rdd.getNumPartitions() + 1
+    assert len(sequences) == -(-total // 256)
+
+
+def test_padding_does_not_depend_on_partitions(spark, data):
+    """Tails of 200 tasks are packed together."""
+    docs = spark.read.parquet(f"{data}/documents.parquet").repartition(200)
+    got = packing.pack(docs, tails_together=64).groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"), F.countDistinct("offset").alias("k"), F.count("*").alias("c")).collect()
+    assert all(r.n == r.end <= 4096 and r.k == r.c for r in got)
+    total = sum(r.n for r in got)
+    assert len(got) * 4096 < 1.02 * total + 4 * 4096
 
 
 def test_packed_sequences_hold_ids(docs, rows, words, monkeypatch):

@@ -90,12 +90,12 @@ class Codes:
         return out
 
 
-def write_ids(docs: DataFrame, path: str, *, tokenizer: str | None = None, end_id: int = 1, segment_tokens: int = 1 << 16) -> None:
+def write_ids(docs: DataFrame, path: str, *, tokenizer: str | None = None, end_id: int = 1, segment_tokens: int = 1 << 16, special_as_text: bool = False) -> None:
     """Write the ids of all documents to the Parquet folder `path`."""
     model = model_text(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, before = word_encoder(model), TaskContext.get().partitionId(), 0
+        encoder, part, before = word_encoder(model, special_as_text), TaskContext.get().partitionId(), 0
         names, lengths, held, size = [], [], [], 0
 
         def out():
@@ -130,17 +130,24 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
     return segments.join(base, "part").withColumn("start", F.col("base") + F.col("tokens_before"))
 
 
-def token_at(segments: DataFrame, position: int) -> DataFrame:
-    """The id at a position of the whole file (one row, none beyond the end); reads one segment."""
+def token_at(spark: SparkSession, path: str, position: int) -> DataFrame:
+    """The id at a position of the whole file (one row, none beyond the end).
+
+    The segment is found from the narrow columns first; the scan that reads codes is then filtered by its
+    two literals, so that Parquet skips all other segments.
+    """
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 codes = Codes(row["levels"], row["bitmaps"], row["ranks"])
-                yield pa.RecordBatch.from_pydict({"token_id": pa.array([codes.at(position - row["start"])], pa.int64())})
+                yield pa.RecordBatch.from_pydict({"token_id": pa.array([codes.at(position - start)], pa.int64())})
 
-    found = segments.where((F.col("start") <= position) & (position < F.col("start") + F.col("n_tokens")))
-    return found.select("start", "levels", "bitmaps", "ranks").mapInArrow(run, "token_id long")
+    places = read_segments(spark, path).select("part", "tokens_before", "start", "n_tokens")
+    found = places.where((F.col("start") <= position) & (position < F.col("start") + F.col("n_tokens"))).first()
+    part, before, start = (found.part, found.tokens_before, found.start) if found else (-1, -1, 0)
+    segment = spark.read.parquet(path).where((F.col("part") == part) & (F.col("tokens_before") == before))
+    return segment.select("levels", "bitmaps", "ranks").mapInArrow(run, "token_id long")
 
 
 def read_digest(spark: SparkSession, path: str) -> DataFrame:

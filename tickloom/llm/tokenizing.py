@@ -3,13 +3,15 @@
 The word tokenizer drops white space and none of its normalizers, patterns or merges reach across
 it, so a text's ids are those of its words (split at ASCII white space) one after the other. Its
 pattern also parts letters from the stop behind them and its ids do not depend on ASCII case, so
-"word, " and "Word. " share what is encoded.
+"word, " and "Word. " share what is encoded. A text with one of the tokenizer's special strings is
+encoded whole, as the library does by default: the string becomes its own id.
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
+import re
 from itertools import chain
 
 import numpy as np
@@ -18,8 +20,9 @@ from tickloom.llm.common import spread
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Distinct words that a worker remembers; beyond it starts anew. Only speed depends on it.
-REMEMBERED = 1_000_000
+#: Bytes of distinct words that a worker remembers (and words of 16 bytes on average); beyond it starts
+#: anew. Only speed depends on it.
+REMEMBERED = 6 << 20
 
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -53,17 +56,21 @@ def parted(buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class WordEncoder:
-    def __init__(self, model: str):
+    def __init__(self, model: str, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        own = [] if special_as_text else [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile(b"|".join(map(re.escape, own))) if own else None
         self.forget()
 
     def forget(self) -> None:
         self.seen, self.flat, self.start, self.length, self.used = _Seen(), np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), 0
+        self.bytes = 0
 
     def _learn(self) -> None:
+        self.tokenizer.encode_special_tokens = True  # words in lower case: what looks like a special string here is none
+        self.bytes += sum(map(len, self.seen.new)) + 16 * len(self.seen.new)
         words, self.seen.new = [w.decode() for w in self.seen.new], []
         plain = [w.isascii() and w.isalpha() for w in words]  # lower case already: a single match of the pattern
         rest = iter(self.tokenizer.encode_batch_fast([w for w, p in zip(words, plain, strict=True) if not p], add_special_tokens=False))
@@ -82,7 +89,22 @@ class WordEncoder:
 
     def encode(self, buf: np.ndarray, at: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with end_id behind it, and the texts' offsets in them."""
-        if len(self.seen) > REMEMBERED:
+        data = buf.tobytes()
+        if not self.special or not self.special.search(data):
+            return self._encode(buf, at, end_id)
+        parts, begin = [], 0
+        for i in [*(i for i in range(len(at) - 1) if self.special.search(data, at[i], at[i + 1])), len(at) - 1]:
+            parts.append(self._encode(buf[at[begin] : at[i]], at[begin : i + 1] - at[begin], end_id))
+            if i < len(at) - 1:
+                self.tokenizer.encode_special_tokens = False
+                ids = self.tokenizer.encode(data[at[i] : at[i + 1]].decode(), add_special_tokens=False).ids
+                parts.append((np.array([*ids, end_id], np.uint32), np.array([0, len(ids) + 1])))
+            begin = i + 1
+        lengths = np.concatenate([np.diff(x[1]) for x in parts])
+        return np.concatenate([x[0] for x in parts]), np.concatenate([[0], np.cumsum(lengths)])
+
+    def _encode(self, buf: np.ndarray, at: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        if self.bytes > REMEMBERED:
             self.forget()
         buf, at = parted(buf, at)
         data, words, counts = buf.tobytes(), [], []
@@ -110,12 +132,12 @@ class WordEncoder:
 _encoders: dict[str, WordEncoder] = {}
 
 
-def word_encoder(model: str) -> WordEncoder:
-    """The worker's encoder of a tokenizer file's content."""
-    key = hashlib.md5(model.encode()).hexdigest()
+def word_encoder(model: str, special_as_text: bool = False) -> WordEncoder:
+    """The worker's encoder of a tokenizer file's content. special_as_text: special strings are ordinary text."""
+    key = hashlib.md5(model.encode()).hexdigest() + str(special_as_text)
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = WordEncoder(model)
+        _encoders[key] = WordEncoder(model, special_as_text)
     return _encoders[key]
 
 
