@@ -318,14 +318,14 @@ def test_byte_bpe(docs, rows):
     for i, text in rows:
         ids = coder.encode_ordinary(text or "")
         want[i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()] += 1
-    assert Counter(map(tuple, bpe.encode_documents(docs, group_docs=16).collect())) == want
+    assert Counter(map(tuple, bpe.encode_documents(docs, group_bytes=3000, buckets=7).collect())) == want
 
 
 def test_byte_bpe_gives_ids_and_decodes_given_ones(spark, docs, rows, monkeypatch):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_50k.tiktoken"), "rb"))}
     coder = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     want = Counter((i, tuple(coder.encode_ordinary(text or ""))) for i, text in rows)
-    assert Counter((r.doc_id, tuple(r.ids)) for r in bpe.encode(docs, group_docs=16).collect()) == want
+    assert Counter((r.doc_id, tuple(r.ids)) for r in bpe.encode(docs, group_bytes=3000).collect()) == want
     monkeypatch.setattr(bpe, "DECODE_IDS", 50)
     texts = [(i, text) for i, text in rows if text] + [(None, "a b"), (7, "")]
     stored = spark.createDataFrame([(i, coder.encode_ordinary(t)) for i, t in texts] + [(8, None)], "doc_id long, ids array<int>")
@@ -334,10 +334,17 @@ def test_byte_bpe_gives_ids_and_decodes_given_ones(spark, docs, rows, monkeypatc
 
 @pytest.mark.parametrize("doc_id", [None, 5])
 def test_byte_bpe_deals_equal_ids_to_groups(spark, doc_id):
-    df = spark.createDataFrame([(doc_id, f"text {k}") for k in range(200)], "doc_id long, text string")
-    sizes = [r["count"] for r in bpe._grouped(df, 16).groupBy("grp").count().collect()]
-    assert len(sizes) > 8 and max(sizes) < 50
-    assert {r.n_tokens for r in bpe.encode_documents(df, group_docs=16).collect()} and bpe.encode(df, group_docs=16).count() == 200
+    df = spark.createDataFrame([(doc_id, f"text {k:04}") for k in range(200)], "doc_id long, text string")
+    sizes = [r["count"] for r in bpe._grouped(df, 160).groupBy("grp").count().collect()]
+    assert len(sizes) > 8 and max(sizes) < 50 and sum(sizes) == 200
+    assert {r.n_tokens for r in bpe.encode_documents(df, group_bytes=160).collect()} and bpe.encode(df, group_bytes=160).count() == 200
+
+
+def test_byte_bpe_groups_by_bytes(spark):
+    """Long texts make small groups: no group holds much more than its bytes, one text aside."""
+    df = spark.range(300).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), F.when(F.col("id") % 100 == 7, 5000).otherwise(10).cast("int")).alias("text"))
+    own = bpe._grouped(df, 4000).groupBy("grp").agg(F.sum(F.length("text")).alias("b"), F.max(F.length("text")).alias("one")).collect()
+    assert all(r.b <= 3 * 4000 + r.one for r in own) and len(own) > 5
 
 
 def test_quality(docs, rows):
