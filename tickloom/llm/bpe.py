@@ -200,7 +200,7 @@ def _tokenizer(ranks_path: str | None, pattern: str | None) -> tuple[str, str]:
         return f.read(), pattern
 
 
-def encode(docs: DataFrame, *, ranks_path: str | None = None, pattern: str | None = None, group_bytes: int = 1 << 23, buckets: int | None = None) -> DataFrame:
+def encode(docs: DataFrame, *, ranks_path: str | None = None, pattern: str | None = None, group_bytes: int = 3 << 23, buckets: int | None = None) -> DataFrame:
     """(doc_id, ids) of all documents. buckets: parts that distinct words are dealt to; by default one for each group."""
     return _mixed(docs, ranks_path, pattern, group_bytes, buckets).mapInArrow(assemble, "doc_id long, ids array<int>")
 
@@ -295,7 +295,7 @@ def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(np.diff(at), pa.int64()), pa.array(own, pa.string()), pa.array(decoded, pa.string())], schema=ARROW)
 
 
-def encode_documents(docs: DataFrame, *, ranks_path: str | None = None, pattern: str | None = None, group_bytes: int = 1 << 23, buckets: int | None = None) -> DataFrame:
+def encode_documents(docs: DataFrame, *, ranks_path: str | None = None, pattern: str | None = None, group_bytes: int = 3 << 23, buckets: int | None = None) -> DataFrame:
     """Digests of all documents' ids (as little-endian 32-bit numbers) and of their decoded bytes."""
     ranks, _ = _tokenizer(ranks_path, "")
     mixed = _mixed(docs, ranks_path, pattern, group_bytes, buckets)
