@@ -1,7 +1,7 @@
 """The same queries as DuckDB SQL, written from the definitions and not from the Spark code."""
 
 from checks.queries import (
-    ASOF, COMPRESSION, DEFINITION_ROWS, MEMBER_ROWS, MOMENTUM, NORMALISED, REGIME, RUN_TS, SPEC, TREND, VOLUME,
+    ASOF, COMPRESSION, DEFINITION_ROWS, JUMP_SPANS, MEMBER_ROWS, MOMENTUM, NORMALISED, REGIME, RUN_TS, SPEC, TREND, VOLUME,
 )
 from tickloom.schemas import BAR_COLUMNS, INDICATOR_FIELDS, SIGNAL_METRICS
 
@@ -128,6 +128,30 @@ def weighted(select: str, unit: str = "minute") -> str:
     return f"WITH RECURSIVE {bars(unit)}, {STEP}, {EWM} SELECT d.Symbol, d.PriceTimestamp, {select} FROM dm d JOIN ewm w USING (Symbol, rn)"
 
 
+def replaced(close: str) -> str:
+    """Minute bars with another close."""
+    return bars("minute").replace("bars AS (", "given AS (", 1) + f", bars AS (SELECT * REPLACE ({close} AS ClosePrice) FROM given)"
+
+
+def gapped(means: dict[str, tuple[str, float]], select: str, close: str) -> str:
+    """Means row by row: a missing value repeats the mean, the next one weighs more for every missing row."""
+    first = ", ".join(f"{x} AS {k}, 0 AS {k}_gap" for k, (x, _) in means.items())
+    after = ", ".join(
+        f"CASE WHEN d.{x} IS NULL THEN w.{k} WHEN w.{k} IS NULL THEN d.{x} "
+        f"ELSE (pow({1 - a!r}::DOUBLE, w.{k}_gap + 1) * w.{k} + {a!r}::DOUBLE * d.{x}) / (pow({1 - a!r}::DOUBLE, w.{k}_gap + 1) + {a!r}::DOUBLE) END, "
+        f"CASE WHEN d.{x} IS NULL THEN w.{k}_gap + 1 ELSE 0 END"
+        for k, (x, a) in means.items()
+    )
+    return f"""WITH RECURSIVE {replaced(close)}, {STEP}, ewm AS (
+  SELECT Symbol, rn, {first} FROM dm WHERE rn = 1
+  UNION ALL
+  SELECT d.Symbol, d.rn, {after} FROM ewm w JOIN dm d ON d.Symbol = w.Symbol AND d.rn = w.rn + 1)
+SELECT d.Symbol, d.PriceTimestamp, {select} FROM dm d JOIN ewm w USING (Symbol, rn)"""
+
+
+GAP_MEANS = {f"e{n}": ("ClosePrice", 2 / (n + 1)) for n in (2, 9, 12, 26, 200)} | {"a14": ("tr", 1 / 14)}
+JUMP_MEANS = {f"e{n}": ("ClosePrice", 2 / (n + 1)) for n in JUMP_SPANS}
+
 # Every active indicator beside its bar.
 WIDE = f"""{bars()}, {STEP}, {EWM}, {TREND_FOLD}, {ROLLED},
 wide AS (
@@ -354,6 +378,11 @@ ORACLES = {
     "ind_boll_width_pctb": framed(["BOLL_WIDTH_20", "BOLL_PCTB_20"]),
     "ind_williams": framed(["WILLIAMS_R_14"]),
     "ind_supertrend": f"WITH RECURSIVE {bars('minute')}, {STEP}, {EWM}, {TREND_FOLD} SELECT d.Symbol, d.PriceTimestamp, round(s.SUPERTREND_10, 6) AS SUPERTREND_10 FROM dm d JOIN st s USING (Symbol, rn)",
+    "ind_ema_gaps": gapped(
+        GAP_MEANS, "round(e2, 6) AS EMA_2, round(e9, 6) AS EMA_9, round(e200, 6) AS EMA_200, round(e12 - e26, 6) AS MACD_0, round(a14, 6) AS ATR_14",
+        "CASE WHEN Volume % 7 <> 3 THEN ClosePrice END",
+    ),
+    "ind_ema_jump": gapped(JUMP_MEANS, ", ".join(f"round(ln(e{n}), 6) AS LN_EMA_{n}" for n in JUMP_SPANS), "CASE WHEN Volume % 23 = 5 THEN 1e30 ELSE ClosePrice END"),
     "ind_daily": f"WITH RECURSIVE {DAILY}, {STEP}, {EWM}, {ROLLED} SELECT i.Symbol, i.PriceTimestamp, {r6(['SMA_20', 'SMA_200', 'RSI_14', 'WILLIAMS_R_14'])}, round(w.e20, 6) AS EMA_20, round(w.a14, 6) AS ATR_14 FROM ind i JOIN ewm w USING (Symbol, rn)",
     "ind_long_registry": f"WITH RECURSIVE {WIDE}, {LONG} SELECT {KEYS}, '1m' AS Timeframe, id AS IndicatorId, name AS IndicatorName, param AS IndicatorParams, round(v, 6) AS IndicatorValue, field AS FieldName FROM long",
     "ind_pivot_merge": f"WITH RECURSIVE {WIDE}, merged AS ({MERGED}) SELECT * REPLACE ({r6(INDICATOR_FIELDS)}) FROM merged",

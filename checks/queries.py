@@ -34,6 +34,7 @@ MEMBER_ROWS = [
 ASOF = datetime(2024, 1, 16)
 RUN_TS = datetime(2024, 1, 31)
 SPEC = labels.LabelSpec(300, "DIRECTION_300M")
+JUMP_SPANS = [2, 3, 5, 20, 5000]
 BLOCK = 512  # small blocks, so that the sample data spans several
 
 
@@ -54,7 +55,7 @@ def feature_sets(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
 def wide(spark, d) -> DataFrame:
     """Bars with every active indicator; they are already side by side, so no pivot is needed."""
     bars = event_bars(spark, d)
-    return indicators(bars, ACTIVE, keep=BAR_COLUMNS, cut=True)
+    return indicators(bars, ACTIVE, keep=BAR_COLUMNS, cut=True, gaps=False)
 
 
 def with_flags(df: DataFrame) -> DataFrame:
@@ -141,11 +142,25 @@ def log_lines(spark, d) -> DataFrame:
 
 def _indicator(*wanted: tuple[str, int], unit: str = "hour", digits: int = 6, **options):
     def query(spark, d):
-        return rounded(indicators(event_bars(spark, d, unit), wanted, **options), digits)
+        return rounded(indicators(event_bars(spark, d, unit), wanted, gaps=False, **options), digits)
 
     return query
 
 
+def ind_ema_gaps(spark, d):
+    """Weighted means over closes some of which are missing: they repeat there, and weights fall over the gap."""
+    close = F.when(F.col("Volume") % 7 != 3, F.col("ClosePrice"))
+    bars = event_bars(spark, d, "minute").withColumn("ClosePrice", close)
+    return rounded(indicators(bars, [("EMA", 2), ("EMA", 9), ("EMA", 200), ("MACD", 0), ("ATR", 14)], block_rows=BLOCK))
+
+
+def ind_ema_jump(spark, d):
+    """Means of any span after values that outweigh all others, as logarithms."""
+    close = F.when(F.col("Volume") % 23 == 5, F.lit(1e30)).otherwise(F.col("ClosePrice"))
+    wide_ = indicators(event_bars(spark, d, "minute").withColumn("ClosePrice", close), [("EMA", n) for n in JUMP_SPANS], block_rows=BLOCK)
+    return wide_.select(KEY, TS, *[F.round(F.log(f"EMA_{n}"), 6).alias(f"LN_EMA_{n}") for n in JUMP_SPANS])
+
+
 def bars_hourly(spark, d):
     return event_bars(spark, d)
 
@@ -168,17 +183,17 @@ def flagship(spark, d):
 def ind_daily(spark, d):
     """Several indicators over the daily bars, the larger data set."""
     wanted = [("SMA", 20), ("SMA", 200), ("EMA", 20), ("RSI", 14), ("ATR", 14), ("WILLIAMS_R", 14)]
-    return rounded(indicators(shipping_bars(spark, d), wanted, cut=True))
+    return rounded(indicators(shipping_bars(spark, d), wanted, cut=True, gaps=False))
 
 
 def ind_long_registry(spark, d):
-    return rounded(indicator_long(event_bars(spark, d), definitions(spark), cut=True).drop("addDateTime"))
+    return rounded(indicator_long(event_bars(spark, d), definitions(spark), cut=True, gaps=False).drop("addDateTime"))
 
 
 def ind_pivot_merge(spark, d):
     """Long table and back: pivot, join to bars, calendar flags, counts."""
     bars = event_bars(spark, d)
-    long = indicator_long(bars, definitions(spark), added=RUN_TS, cut=True)
+    long = indicator_long(bars, definitions(spark), added=RUN_TS, cut=True, gaps=False)
     wide_again = merged.pivot_last(long, INDICATOR_FIELDS)
     return rounded(merged.merge_indicators(bars, wide_again, "MERGE_20240131_000000", RUN_TS))
 
@@ -194,7 +209,7 @@ def _features(group: str, columns: list[str]):
 def feat_all(spark, d):
     """The merged feature frame from long indicators, every engineered column."""
     bars = event_bars(spark, d)
-    long = indicator_long(bars, definitions(spark), added=RUN_TS, cut=True)
+    long = indicator_long(bars, definitions(spark), added=RUN_TS, cut=True, gaps=False)
     return rounded(feature_frame(bars, long, INDICATOR_FIELDS, "MERGE_20240131_000000", RUN_TS))
 
 
@@ -563,6 +578,8 @@ QUERIES = {
     "flagship": flagship,
     "ind_sma": _indicator(("SMA", 20), ("SMA", 200)),
     "ind_ema": _indicator(("EMA", 2), ("EMA", 9), ("EMA", 20), ("EMA", 50), ("EMA", 200), unit="minute", block_rows=BLOCK),
+    "ind_ema_gaps": ind_ema_gaps,
+    "ind_ema_jump": ind_ema_jump,
     "ind_rsi": _indicator(("RSI", 14), block_rows=BLOCK),
     "ind_atr": _indicator(("ATR", 14), unit="minute", block_rows=BLOCK),
     "ind_adx": _indicator(("ADX", 14), block_rows=BLOCK),

@@ -1,11 +1,12 @@
 """Indicators: blocks, first values, edge frames, and values against independent computations."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from helpers import bar_rows, collect, frame, recursive_mean, supertrend, true_range, walk
 
 from tickloom.operators.indicators import RECIPES, indicators
-from tickloom.schemas import BAR_COLUMNS
+from tickloom.schemas import BAR_COLUMNS, BARS
 
 EVERY = [
     ("SMA", 20), ("SMA", 200), ("EMA", 2), ("EMA", 9), ("EMA", 200), ("RSI", 14), ("ATR", 14), ("ADX", 14), ("MACD", 0),
@@ -138,3 +139,28 @@ def test_registry_is_complete():
 
 def test_empty_input(spark):
     assert indicators(frame(spark), EVERY).count() == 0
+
+
+@pytest.mark.parametrize("rows", [64, 512, 2048])
+def test_means_over_gaps_and_jumps(spark, rows):
+    """Against pandas: missing closes at the start, single and by the hundred, a value of 1e30, spans from 1 to 5000."""
+    data = walk("A", 3000, 1) + walk("B", 700, 2)
+    holed = [
+        (*r[:5], None if r[0] == "A" and (k < 4 or k % 7 == 3 or 900 < k < 1500) else 1e30 if k == 60 else r[5], *r[6:]) for k, r in enumerate(data)
+    ]
+    spans = (1, 2, 3, 9, 200, 5000)
+    got = collect(indicators(frame(spark, holed), [("EMA", n) for n in spans] + [("ATR", 2), ("ATR", 14)], block_rows=rows))
+    for symbol, bars in pd.DataFrame(holed, columns=BARS.fieldNames()).groupby("Symbol"):
+        own, bars = got[got.Symbol == symbol].reset_index(drop=True), bars.reset_index(drop=True)
+        for n in spans:
+            np.testing.assert_allclose(own[f"EMA_{n}"], bars.ClosePrice.ewm(span=n, adjust=False).mean(), rtol=1e-9)
+        for n in (2, 14):
+            np.testing.assert_allclose(own[f"ATR_{n}"], true_range(bars).ewm(alpha=1 / n, adjust=False).mean(), rtol=1e-9)
+
+
+@pytest.mark.parametrize("rows", [64, 2048])
+def test_means_of_series_known_to_have_no_gaps(spark, rows):
+    bars = frame(spark, walk("A", 1500, 3) + walk("B", 64, 4))
+    wanted = [("EMA", 1), ("EMA", 2), ("EMA", 50), ("ATR", 14), ("MACD", 0), ("OBV", 0)]
+    one, other = (collect(indicators(bars, wanted, block_rows=rows, gaps=g)) for g in (True, False))
+    pd.testing.assert_frame_equal(one, other, rtol=1e-10)

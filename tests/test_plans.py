@@ -75,3 +75,14 @@ def test_copies_are_reduced_before_the_shuffle(spark, data):
     assert "partial_max_by" in plan(stage_dedup(event_staging(spark, data)))
     text = plan(duplicate_rows(event_staging(spark, data)))
     assert "Window" not in text and "LeftSemi" in text
+
+
+@pytest.mark.parametrize("gaps", [True, False])
+def test_plan_of_a_mean_does_not_grow_with_its_span(spark, gaps):
+    """Slow means unroll nothing: as many windows and exchanges for any span."""
+    bars = frame(spark, walk("A", 50, 1))
+    shapes = set()
+    for span in (5, 50, 500, 5000):
+        text = plan(indicators(bars, [("EMA", span)], block_rows=512, gaps=gaps))
+        shapes.add((text.count("Window ["), text.count("Exchange "), text.count("Sort [")))
+    assert len(shapes) == 1

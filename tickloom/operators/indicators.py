@@ -253,12 +253,14 @@ def indicators(
     keep: Iterable[str] = (),
     block_rows: int | None = None,
     cut: bool = False,
+    gaps: bool = True,
 ) -> DataFrame:
     """Wide frame: Symbol, PriceTimestamp, `keep` columns and one NAME_param column per pair.
 
     Every bar gives one row; values are NULL until a window has filled. Carried state and
     SuperTrend read their input twice: `cut` writes it to the checkpoint folder first, which
-    pays on large tables and when `bars` is itself costly to compute.
+    pays on large tables and when `bars` is itself costly to compute. Prices may be NULL; where they
+    cannot be, as in bars that the staging merge let in, `gaps=False` saves two passes for means.
     """
     b, values = Workbench(), {}
     for name, param in wanted:
@@ -271,33 +273,38 @@ def indicators(
     keep = [c for c in keep if c not in (KEY, TS)]
     needed = sorted(b.prices | set(keep))
     rows = block_rows or block_rows_for(b.before())
-    carried = {k: v for k, v in b.means.items() if ewm.needs_carry(v[1], rows)}
-    short = {k: v for k, v in b.means.items() if k not in carried}
-    before = max([b.before(), *[b.lag_rows + ewm.memory_rows(a) for _, a in short.values()]])
+    means = {k: v for k, v in b.means.items() if not ewm.is_fill(v[1])}
+    fills = {k: x for k, (x, _) in b.means.items() if k not in means}
 
     numbered = with_row_index(bars.select(KEY, TS, *needed))
-    if cut and (carried or b.totals or b.trends):
+    if cut and (b.means or b.totals or b.trends):
         numbered = cut_lineage(numbered)
-    blocked = with_blocks(numbered, before=before, rows=rows)
+    blocked = with_blocks(numbered, before=b.before(), rows=rows)
     w = block_window()
     staged = blocked.withColumns(b.lags).withColumns(b.terms)
     long = {k: f for k, f in b.frames.items() if is_long(f[0], f[2])}
     framed = staged.withColumns({
         **{k: roll(AGGREGATES[agg], F.col(x), n, w) for k, (agg, x, n) in b.frames.items() if k not in long},
         **{k: part for agg, x, n in long.values() for k, part in long_parts(agg, x, n, w).items()},
-        **{k: ewm.frame_mean(F.col(x), alpha) for k, (x, alpha) in short.items()},
-        **{k: ewm.local_mean(F.col(x), alpha, rows) for k, (x, alpha) in carried.items()},
-        **{k: ewm.local_total(F.col(x)) for k, x in b.totals.items()},
+        **{k: place for x in sorted({x for x, _ in means.values()}) if gaps for k, place in ewm.places(x).items()},
+        **{k: ewm.local_fill(x) for k, x in fills.items()},
+        **{k: ewm.local_total(x) for k, x in b.totals.items()},
     })
     framed = framed.withColumns({k: long_roll(agg, x, n, w) for k, (agg, x, n) in long.items()})
+    stages = [ewm.corrections] if gaps else []
+    stages += [lambda *m: ewm.exponent(*m, rows, gaps), lambda *m: ewm.sums(*m, rows, gaps), lambda k, x, alpha: {k: ewm.local_mean(k, alpha, rows)}]
+    for stage in stages if means else ():
+        framed = framed.withColumns({n: c for k, (x, alpha) in means.items() for n, c in stage(k, x, alpha).items()})
+    resumed = framed if gaps else staged
     if b.derived:
         framed = framed.withColumns(b.derived)
         framed = framed.withColumns({k: roll(AGGREGATES[agg], F.col(x), n, w) for k, (agg, x, n) in b.derived_frames.items()})
     out = core_rows(framed)
-    if carried or b.totals:
-        carry = ewm.carry_table(staged, carried, b.totals, rows)
+    if b.means or b.totals:
+        carry = ewm.carry_table(resumed, means, fills, b.totals, rows, gaps)
         out = out.join(carry, [KEY, "blk"], "left").withColumns({
-            **{k: ewm.resume_mean(F.col(k), F.col(f"{k}_in"), alpha, rows) for k, (_, alpha) in carried.items()},
+            **{k: ewm.resume_mean(k, x, gaps) for k, (x, _) in means.items()},
+            **{k: ewm.resume_fill(k) for k in fills},
             **{k: F.col(k) + F.col(f"{k}_in") for k in b.totals},
         })
     plain = {k: v.cast("double") for k, v in values.items() if k not in b.trends}

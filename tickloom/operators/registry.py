@@ -47,6 +47,7 @@ def indicator_long(
     timeframe: str = "1m",
     added: datetime | None = None,
     cut: bool = False,
+    gaps: bool = True,
 ) -> DataFrame:
     """One row per bar and active definition that has a value there.
 
@@ -54,7 +55,7 @@ def indicator_long(
     shuffled once, not once per definition. An unknown name raises.
     """
     wanted = definition_list(definitions)
-    wide = indicators(bars, dict.fromkeys((name, parameter(name, param)) for _, name, param in wanted), cut=cut)
+    wide = indicators(bars, dict.fromkeys((name, parameter(name, param)) for _, name, param in wanted), cut=cut, gaps=gaps)
     entries = [
         F.struct(
             F.lit(id_).cast("int").alias("IndicatorId"),

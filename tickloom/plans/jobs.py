@@ -124,7 +124,7 @@ def indicator_job(
     grows only by bars later than those it holds, instead of by a second value for every bar.
     """
     bars = store.raw_bars().select(BAR_COLUMNS)
-    long = indicator_long(bars, definitions, timeframe, now, cut)
+    long = indicator_long(bars, definitions, timeframe, now, cut, gaps=False)  # the merge lets no NULL in
     stored = store.read("indicators", INDICATORS)
     if only_new and stored is not None:
         long = newer_rows(long, stored)
