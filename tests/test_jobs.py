@@ -5,12 +5,12 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom.operators import incremental
 from tickloom.operators.labels import LabelSpec
 from tickloom.operators.staging import MarketHoursError
 from tickloom.operators.training import TrainSettings, load_model, predict
 from tickloom.plans import jobs
 from tickloom.schemas import DEFINITIONS, FEATURE_SET_MEMBERS, FEATURE_SETS, INDICATOR_FIELDS, SIGNAL_COLUMNS, SIGNAL_FEATURES
-from tickloom.sources.sinks import read_snapshot
 from tickloom.streaming.ingest import merge_stream
 from helpers import walk
 
@@ -77,7 +77,7 @@ def test_indicator_table(store):
 
 
 def test_merged_snapshot(store):
-    merged = read_snapshot(store.spark, store.path("merged_features"))
+    merged = store.read("merged_features")
     assert merged.count() == 580
     row = merged.where("Symbol = 'AAA'").orderBy(F.desc("PriceTimestamp")).first()
     assert row.SourceIndicatorCount == 19 and row.MissingIndicatorCount == 0 and row.Volume_percentile is not None
@@ -86,7 +86,7 @@ def test_merged_snapshot(store):
 
 def test_feature_job_twice_keeps_one_row_per_bar(store):
     jobs.feature_job(store, definitions(store.spark), NOW + timedelta(hours=1))
-    merged = read_snapshot(store.spark, store.path("merged_features"))
+    merged = store.read("merged_features")
     assert merged.count() == 580
     assert merged.select("MergeRunId").distinct().count() == 1
 
@@ -135,9 +135,9 @@ def test_new_rows_only_next_day(spark, store, tmp_path):
     vendor_file(spark, tmp_path / "day2", walk("AAA", 30, 5, start=next_day), walk("NEW", 25, 6, start=next_day))
     jobs.ingest_job(store, str(tmp_path / "day2"), NOW + timedelta(days=1), source_zone=None)
     assert jobs.merge_job(store).inserted.count() == 55
-    new = jobs.indicator_job(store, definitions(spark), NOW + timedelta(days=1), only_new=True, write=False)
+    new = jobs.indicator_job(store, definitions(spark), NOW + timedelta(days=1), write=False)
     assert new.where("IndicatorName = 'EMA'").count() == 4 * 55 and new.where("FieldName = 'SMA_200'").count() == 30
-    jobs.indicator_job(store, definitions(spark), NOW + timedelta(days=1))  # second values for old bars: the later ones win
+    jobs.indicator_job(store, definitions(spark), NOW + timedelta(days=1), only_new=False)  # second values for old bars: the later ones win
     jobs.feature_job(store, definitions(spark), NOW + timedelta(days=1))
     fresh = jobs.signal_job(store, NOW + timedelta(days=1))
     assert fresh.count() == 56 and fresh.where("to_date(FeatureTimestamp) = '2024-03-04'").select("Symbol", F.col("Target").isNull()).collect() == [("AAA", False)] and fresh.where("Symbol = 'AAA' AND Return_20 IS NULL").count() == 0
@@ -218,3 +218,68 @@ def test_stream_merges_files_once(spark, tmp_path):
         assert query.awaitTermination(240)
         assert query.exception() is None
         assert s.raw_bars().count() == 30
+
+
+def _through(store, definitions_, vendor, now, date_range=None):
+    jobs.ingest_job(store, vendor, now, source_zone=None, date_range=date_range)
+    jobs.merge_job(store, now=now)
+    jobs.indicator_job(store, definitions_, now)
+    jobs.feature_job(store, definitions_, now)
+    jobs.signal_job(store, now)
+    jobs.label_job(store, now)
+
+
+def test_chain_of_runs_equals_one_run(spark, tmp_path):
+    """Daily runs, a new symbol, and a range that is back-filled last give what one run over all bars gives."""
+    some = definitions(spark)
+    days = [datetime(2024, 3, 4 + k, 9) for k in range(3)]
+    parts = [walk("AAA", 60, 1, start=days[0]) + walk("OLD", 40, 7, start=days[0]), walk("AAA", 50, 3, start=days[2]) + walk("NEW", 45, 4, start=days[2]), walk("AAA", 40, 2, start=days[1])]
+    chain, whole = jobs.Store(spark, str(tmp_path / "chain")), jobs.Store(spark, str(tmp_path / "whole"))
+    for n, part in enumerate(parts):
+        vendor_file(spark, tmp_path / f"v{n}", part)
+        vendor_file(spark, tmp_path / "all", part)
+        _through(chain, some, str(tmp_path / f"v{n}"), NOW + timedelta(hours=n), (days[1], days[2]) if n == 2 else None)
+    _through(whole, some, str(tmp_path / "all"), NOW)
+    stamps = {"merged_features": ["RunTimestamp", "MergeRunId"], "signal_features": ["FeatureRunId", "RunDateTime"], "labelled_features": ["RunTimestamp", "MergeRunId", "LoadTimestamp", "SourceRunID", "RunId"]}
+    for table, columns in stamps.items():
+        one, other = (s.read(table).drop(*columns) for s in (chain, whole))
+        assert one.count() == other.count() == 235, table
+        numbers = [f.name for f in one.schema if f.dataType.typeName() == "double"]
+        one, other = (df.select(sorted(df.columns)).withColumns({c: F.round(c, 8) for c in numbers}) for df in (one, other))
+        assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty(), table
+    assert jobs.signal_job(chain, NOW, write=False).isEmpty() and jobs.label_job(chain, NOW, write=False).isEmpty()
+    again = jobs.signal_job(whole, NOW, rebuild=True, write=False)
+    assert again.count() == 235
+
+
+def test_jobs_read_only_the_days_they_need(spark, tmp_path):
+    """Plans of an incremental run name the partitions of staging, bars and merged features."""
+    some, s = definitions(spark), jobs.Store(spark, str(tmp_path / "pruned"))
+    for n, day in enumerate((4, 5, 6)):
+        now = NOW + timedelta(days=n)
+        vendor_file(spark, tmp_path / f"v{n}", walk("AAA", 300, n, start=datetime(2024, 3, day, 9)))
+        jobs.ingest_job(s, str(tmp_path / f"v{n}"), now, source_zone=None)
+        if n < 2:
+            jobs.merge_job(s, now=now)
+            jobs.indicator_job(s, some, now)
+    jobs.feature_job(s, some, now)
+    jobs.signal_job(s, now)
+
+    def filters(df, table):
+        """The partition filters of the scans of a table."""
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        scans = [x for x in df._jdf.queryExecution().explainString(mode).split("\n\n") if "Scan parquet" in x and f"/pruned/{table}" in x]
+        return [x.split("PartitionFilters: ")[1].split("\n")[0] if "PartitionFilters: " in x else "" for x in scans]
+
+    staged = filters(s.pending_staging(), "staging]")
+    assert staged and all("BATCH_20240307" in x and "BATCH_20240306" not in x for x in staged)
+    known = filters(jobs.merge_job(s, write=False).inserted, "raw_bars")
+    assert known and all("TradeDate" in x for x in known)
+    jobs.merge_job(s, now=now)
+    jobs.indicator_job(s, some, now)
+    bars = filters(jobs.feature_job(s, some, now, write=False), "raw_bars")
+    assert bars and all("2024-03-05" in x and "2024-03-06" in x and "2024-03-04" not in x for x in bars)
+    needed = incremental.days_needed(s.ledger(), incremental.starts(s.ledger(), s.open_runs("features", "indicators")), 22)
+    assert [str(d) for d in incremental.trade_dates(needed)] == ["2024-03-05", "2024-03-06"]
+    merged = filters(incremental.of_days(s.read("merged_features"), needed), "merged_features")
+    assert merged and all("2024-03-05" in x and "2024-03-04" not in x for x in merged)

@@ -1,12 +1,17 @@
-"""High-water marks: the newest stored time per symbol or overall, and rows beyond it."""
+"""What is new: high-water marks per symbol or overall, and a ledger of the days that merges touched.
 
-from datetime import datetime
+The ledger has a row for each symbol and day of a merge, thousands of times fewer than bars. From it
+follow where each symbol has to be computed again (its first new bar, be it today's or a back-filled one),
+which days hold the rows that are needed before, and so which partitions of the large tables are read.
+"""
+
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import naive
-from tickloom.schemas import KEY, TS
+from tickloom.schemas import KEY, TRADE_DATE, TS
 
 # Fixed value: a time before any bar.
 BEGINNING = datetime(1900, 1, 1)
@@ -64,3 +69,51 @@ def newer_with_context(marked: DataFrame, before: int, ts: str = TS) -> DataFram
         marked.join(first_day, KEY, "left")
         .where(F.col("_first").isNull() | (F.to_date(ts) >= F.col("_first"))).drop("_first")
     )
+
+
+def day_ledger(inserted: DataFrame, raw: DataFrame, run: str, loaded: datetime) -> DataFrame:
+    """Symbol, TradeDate, Rows, FirstTs, LastTs, Run, LoadTimestamp of the days that get `inserted` bars.
+
+    Rows counts the day's bars in `raw` (partitioned by trade date) and the new ones, so a merge that died
+    and runs again writes the same. Only the touched days of raw are read.
+    """
+    new = inserted.groupBy(KEY, F.to_date(TS).alias(TRADE_DATE)).agg(F.count(F.lit(1)).alias("_n"), F.min(TS).alias("FirstTs"), F.max(TS).alias("LastTs"))
+    known = on_dates(raw, trade_dates(new)).groupBy(KEY, TRADE_DATE).agg(F.count(F.lit(1)).alias("_known"))
+    return new.join(known, [KEY, TRADE_DATE], "left").select(
+        KEY, TRADE_DATE, (F.col("_n") + F.coalesce("_known", F.lit(0))).alias("Rows"), "FirstTs", "LastTs", F.lit(run).alias("Run"), naive(loaded).alias("LoadTimestamp"),
+    )
+
+
+def day_rows(ledger: DataFrame) -> DataFrame:
+    """Symbol, TradeDate, Rows as of the last merge that touched the day."""
+    return ledger.groupBy(KEY, TRADE_DATE).agg(F.max_by("Rows", F.struct("LoadTimestamp", "Rows")).alias("Rows"))
+
+
+def starts(ledger: DataFrame, runs: DataFrame, earlier_minutes: int = 0) -> DataFrame:
+    """Symbol, FromTs: the first bar that the given runs brought, or some minutes before it."""
+    first = F.min("FirstTs") - F.make_dt_interval(mins=F.lit(earlier_minutes))
+    return ledger.join(runs, "Run", "left_semi").groupBy(KEY).agg(first.alias("FromTs"))
+
+
+def days_needed(ledger: DataFrame, from_: DataFrame, before: int) -> DataFrame:
+    """Symbol, TradeDate, FromTs: the days from FromTs on, and earlier ones until they hold `before` rows."""
+    later = Window.partitionBy(KEY).orderBy(F.desc(TRADE_DATE)).rowsBetween(Window.unboundedPreceding, -1)
+    first = F.to_date("FromTs")
+    full = F.coalesce(F.sum(F.when(F.col(TRADE_DATE) < first, F.col("Rows"))).over(later), F.lit(0))
+    marked = day_rows(ledger).join(from_, KEY).withColumn("_rows", full)
+    return marked.where((F.col(TRADE_DATE) >= first) | (F.col("_rows") < before)).select(KEY, TRADE_DATE, "FromTs")
+
+
+def trade_dates(rows: DataFrame) -> list[date]:
+    """The distinct trade dates, on the driver: days of a calendar at most."""
+    return sorted(r[0] for r in rows.select(TRADE_DATE).where(F.col(TRADE_DATE).isNotNull()).distinct().collect())
+
+
+def on_dates(rows: DataFrame, dates: list[date]) -> DataFrame:
+    """Rows of a table partitioned by trade date, from these partitions only."""
+    return rows.where(F.col(TRADE_DATE).isin(dates))
+
+
+def of_days(rows: DataFrame, needed: DataFrame) -> DataFrame:
+    """Rows (partitioned by trade date) of the needed symbols and days, with FromTs."""
+    return on_dates(rows, trade_dates(needed)).join(needed, [KEY, TRADE_DATE])

@@ -77,6 +77,16 @@ def label_incremental(
     return label_frame(fresh.unionByName(again), bars, spec, run_id, run_ts)
 
 
+def labels_from(features: DataFrame, bars: DataFrame, spec: LabelSpec, run_id: str, run_ts: datetime) -> DataFrame:
+    """Labels of rows that new bars can change: FromTs lies the horizon before the first of them.
+
+    Rows before that bar come only with the future close they may have lacked.
+    """
+    rows = features.where(F.col(TS) >= F.col("FromTs")).withColumn("_new", F.col(TS) >= F.col("FromTs") + minutes(spec.horizon))
+    out = label_frame(rows.drop("FromTs"), bars, spec, run_id, run_ts)
+    return out.where(F.col("_new") | F.col("FutureClose_tN").isNotNull()).drop("_new")
+
+
 def reopened(existing: DataFrame, bars: DataFrame, spec: LabelSpec) -> DataFrame:
     """(Symbol, time) of stored rows that cannot be trained on although their future bar is there by now."""
     open_ = existing.where(spec.matches() & (F.col("IsTrainableRow") == 0) & F.col("FutureClose_tN").isNull()).select(KEY, TS)

@@ -71,3 +71,14 @@ def reopen_last_bars(
     frame = signal_frame(recent.drop("LastTs"), run_id, run_ts, version)
     last = symbol_cutoffs(existing, "FeatureTimestamp")
     return frame.join(last, KEY).where(F.col("FeatureTimestamp") == F.col("LastTs")).drop("LastTs")
+
+
+def signals_from(source: DataFrame, run_id: str, run_ts: datetime, version: int = 1) -> DataFrame:
+    """Signal rows from FromTs on, and each symbol's bar before it once that has a Target.
+
+    `source` has FromTs and the days before it that `days_needed` gives for LOOKBACK + 1 rows.
+    """
+    from_ = source.groupBy(KEY).agg(F.min("FromTs").alias("FromTs"), F.max(F.when(F.col(TS) < F.col("FromTs"), F.col(TS))).alias("_last"))
+    frame = signal_frame(source, run_id, run_ts, version).join(from_, KEY)
+    at = F.col("FeatureTimestamp")
+    return frame.where((at >= F.col("FromTs")) | ((at == F.col("_last")) & F.col("Target").isNotNull())).select(SIGNAL_COLUMNS)

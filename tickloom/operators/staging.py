@@ -160,6 +160,15 @@ def merge_summary(staging: DataFrame, raw: DataFrame, inserted: DataFrame, snaps
     )
 
 
+def ledger_summary(staging: DataFrame, days: DataFrame, inserted: DataFrame) -> DataFrame:
+    """merge_summary with the raw rows from `days` (Symbol, Rows per day, before the merge) instead of a scan of raw."""
+    tables = {"PendingRows": pending(staging), "RejectedRows": rejected(staging), "InsertedRows": inserted}
+    parts = [df.select(KEY, F.lit(name).alias("part"), F.lit(1).cast("long").alias("n")) for name, df in tables.items()]
+    parts.append(days.select(KEY, F.lit("RowsBefore"), F.col("Rows").cast("long")))
+    sums = reduce(DataFrame.union, parts).groupBy(KEY).agg(*[F.coalesce(F.sum(F.when(F.col("part") == name, F.col("n"))), F.lit(0)).alias(name) for name in (*tables, "RowsBefore")])
+    return sums.select(KEY, "PendingRows", "RejectedRows", "RowsBefore", "InsertedRows", (F.col("RowsBefore") + F.col("InsertedRows")).alias("RowsAfter"))
+
+
 def recently_loaded(raw: DataFrame, asof, window_minutes: int = 10) -> DataFrame:
     """Rows per symbol loaded within the last minutes before `asof`."""
     start = naive(asof) - F.make_dt_interval(mins=F.lit(window_minutes))

@@ -1,12 +1,16 @@
 """The jobs of the pipeline, from vendor files to a registered model.
 
-A `Store` names the tables under one root. Staging, raw bars, indicators, signals and labels
-grow by appending; merged features are upserted and kept as snapshots. Every job takes `write`;
-with write=False it computes and returns the same frames and leaves the store as it is.
+A `Store` names the tables under one root. Staging is partitioned by batch, indicators by name, raw bars,
+merged features, signals and labels by trade date. A merge writes down which days of which symbols it
+touched; every later job takes the runs it has not done yet, computes each of their symbols from its first
+new bar on (an old one, if a range was back-filled), reads the days needed for that and replaces rows on
+them. Every job takes `write`; with write=False it computes and returns the same frames and leaves the
+store as it is.
 """
 
 from dataclasses import dataclass
 from datetime import datetime
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,13 +19,17 @@ from pyspark.sql import types as T
 
 from tickloom.operators import labels, merged, signals, staging, training
 from tickloom.operators.engineered import add_engineered_features
-from tickloom.operators.incremental import newer_rows
+from tickloom.operators.incremental import day_ledger, day_rows, days_needed, of_days, starts, trade_dates
 from tickloom.operators.registry import field_names, indicator_long
-from tickloom.schemas import BAR_COLUMNS, INDICATORS, KEY, RAW_BARS, SIGNAL_FEATURES, STAGING, TRADE_DATE, TS
+from tickloom.schemas import BAR_COLUMNS, BAR_DAYS, INDICATORS, KEY, PROGRESS, RAW_BARS, SIGNAL_FEATURES, STAGING, STAGING_MARKS, TRADE_DATE, TS
 from tickloom.session import cut_lineage
 from tickloom.sources import sinks, tables, vendor
 
 
+#: Rows of a symbol that engineered features look back on, frames of frames included.
+FEATURE_LOOKBACK = 200
+
+
 @dataclass(frozen=True)
 class Store:
     spark: SparkSession
@@ -47,6 +55,10 @@ class Store:
     def raw_bars(self) -> DataFrame:
         return self.or_empty("raw_bars", RAW_BARS)
 
+    def raw_by_date(self) -> DataFrame:
+        """Raw bars with the trade date they are partitioned by."""
+        return self.or_empty("raw_bars", T.StructType([*RAW_BARS.fields, BAR_DAYS[TRADE_DATE]]))
+
     def staging(self) -> DataFrame:
         """Staged rows. A batch is exported once its id is in the list of exported batches, so
         marking a batch appends one row and rewrites nothing."""
@@ -55,16 +67,40 @@ class Store:
         marked = rows.drop("Exported").join(done.withColumn("_done", F.lit(1)), "BatchID", "left")
         return marked.withColumn("Exported", F.coalesce("_done", F.lit(0))).select(STAGING.fieldNames())
 
-    def snapshot(self, table: str) -> DataFrame | None:
-        return None if self.read(f"{table}/versions") is None else sinks.read_snapshot(self.spark, self.path(table))
+    def stage(self, bars: DataFrame, loaded: datetime, batch: str, write: bool = True) -> DataFrame:
+        """Append a batch to staging; its name is listed first, so that no staged batch is overlooked."""
+        if write:
+            self.spark.createDataFrame([(batch,)], T.StructType([STAGING["BatchID"]])).write.mode("append").parquet(self.path("staged_batches"))
+        return sinks.append_staging(bars, self.path("staging"), loaded, batch, write)
+
+    def pending_staging(self) -> DataFrame:
+        """Rows of batches that are not exported, from their partitions only."""
+        names = T.StructType([STAGING["BatchID"]])
+        open_ = self.or_empty("staged_batches", names).distinct().join(self.or_empty("exported_batches", names), "BatchID", "left_anti")
+        ids = [r.BatchID for r in open_.collect()]  # batches since the last merge
+        return self.or_empty("staging", STAGING).where(F.col("BatchID").isin(ids)).withColumn("Exported", F.lit(0))
+
+    def exported_rows(self) -> DataFrame:
+        """The newest exported time of each symbol, as the rows of staging that matter to an ingest."""
+        marks = self.or_empty("staging_marks", STAGING_MARKS)
+        return marks.groupBy(KEY).agg(F.max("LastTs").alias(TS)).withColumn("Exported", F.lit(1))
 
-    def commit(self, table: str, df: DataFrame, write: bool) -> DataFrame:
-        if not write:
-            return df
-        path = self.path(table)
-        known = self.read(f"{table}/versions") is not None
-        sinks.commit_snapshot(df, path, sinks.current_version(self.spark, path) + 1 if known else 1)
-        return sinks.read_snapshot(self.spark, path)
+    def ledger(self) -> DataFrame:
+        return self.or_empty("bar_days", BAR_DAYS)
+
+    def done(self, job: str) -> DataFrame:
+        return self.or_empty("progress", PROGRESS).where(F.col("Job") == job).select("Run")
+
+    def open_runs(self, job: str, after: str | None = None) -> DataFrame:
+        """Merge runs that the job has not done, and the job before it has."""
+        runs = self.ledger().select("Run").distinct()
+        if after:
+            runs = runs.join(self.done(after), "Run", "left_semi")
+        return cut_lineage(runs.join(self.done(job), "Run", "left_anti"))  # one row for each merge
+
+    def mark(self, job: str, runs: DataFrame, write: bool) -> None:
+        if write:
+            runs.select(F.lit(job).alias("Job"), "Run").write.mode("append").parquet(self.path("progress"))
 
 
 def ingest_job(
@@ -73,29 +109,32 @@ def ingest_job(
 ) -> DataFrame:
     """Vendor files to new staging rows, stamped with a batch of their own."""
     bars = vendor.read_vendor(store.spark, vendor_path, source_zone)
-    fresh = vendor.ingest(bars, store.staging(), symbols, date_range)
-    return sinks.append_staging(fresh, store.path("staging"), now, sinks.run_id("BATCH", now), write)
+    fresh = vendor.ingest(bars, store.exported_rows(), symbols, date_range)
+    return store.stage(fresh, now, sinks.run_id("BATCH", now), write)
 
 
-def merge_job(store: Store, write: bool = True) -> staging.MergeResult:
+def merge_job(store: Store, write: bool = True, now: datetime | None = None) -> staging.MergeResult:
     """Pending staging rows to raw bars; raises when one lies outside market hours.
 
-    Rows that cannot be read go to the table `rejected`. New bars are appended by trade date. A job that dies before the batches are marked is simply
-    run again: what it appended is known by then and not inserted twice.
+    Rows that cannot be read go to the table `rejected`. New bars are appended by trade date, and the ledger
+    gets a row for each symbol and day. The ledger is written first: a job that dies before the
+    batches are marked is simply run again, and what it appended is known by then and not inserted twice.
     """
-    staged, raw = store.staging(), store.raw_bars()
+    staged, raw = store.pending_staging(), store.raw_by_date()
     result = staging.merge_staging(staged, raw)
     if not write:
         return result
+    loaded = now or datetime.now()
     inserted = cut_lineage(result.inserted)
-    summary = cut_lineage(staging.merge_summary(staged, raw, inserted, raw.select(inserted.columns).unionByName(inserted)))
+    days = cut_lineage(day_ledger(inserted, raw, f"MERGE_{uuid4().hex}", loaded))
+    summary = cut_lineage(staging.ledger_summary(staged, day_rows(store.ledger()), inserted))
     aside = cut_lineage(staging.rejected(staged))
-    batches = cut_lineage(staging.pending(staged).select("BatchID").distinct())
-    (
-        inserted.withColumn(TRADE_DATE, F.to_date(TS)).repartition(TRADE_DATE, F.pmod(F.hash(KEY), F.lit(32)))
-        .write.mode("append").partitionBy(TRADE_DATE).parquet(store.path("raw_bars"))
-    )
+    batches = cut_lineage(staged.select("BatchID").distinct())
+    marks = cut_lineage(staged.where(F.col(KEY).isNotNull() & F.col(TS).isNotNull()).groupBy(KEY).agg(F.max(TS).alias("LastTs")))
+    days.write.mode("append").parquet(store.path("bar_days"))
+    sinks.write_dated(inserted.withColumn(TRADE_DATE, F.to_date(TS)), store.path("raw_bars"))
     aside.write.mode("append").parquet(store.path("rejected"))
+    marks.write.mode("append").parquet(store.path("staging_marks"))
     batches.write.mode("append").parquet(store.path("exported_batches"))
     return staging.MergeResult(inserted, store.raw_bars(), store.staging(), summary)
 
@@ -115,29 +154,53 @@ def repair_raw_job(store: Store, write: bool = True) -> DataFrame:
 
 
 def indicator_job(
-    store: Store, definitions: DataFrame, now: datetime, timeframe: str = "1m", only_new: bool = False,
+    store: Store, definitions: DataFrame, now: datetime, timeframe: str = "1m", only_new: bool = True,
     cut: bool = False, write: bool = True,
 ) -> DataFrame:
-    """All active indicators over all raw bars, appended to the long table.
+    """All active indicators of new bars, appended to the long table.
 
-    Means and totals need the whole history, so it is always read; with `only_new` the table
-    grows only by bars later than those it holds, instead of by a second value for every bar.
+    Means and totals need the whole history, so all bars of symbols with new ones are read; the table grows by
+    the bars from the first new one on. only_new=False gives every bar of every symbol a value, as
+    after a change of definitions; the latest value counts.
     """
-    bars = store.raw_bars().select(BAR_COLUMNS)
+    bars, runs = store.raw_bars().select(BAR_COLUMNS), store.open_runs("indicators")
+    if only_new:
+        from_ = starts(store.ledger(), runs)
+        bars = bars.join(from_, KEY, "left_semi")
     long = indicator_long(bars, definitions, timeframe, now, cut, gaps=False)  # the merge lets no NULL in
-    stored = store.read("indicators", INDICATORS)
-    if only_new and stored is not None:
-        long = newer_rows(long, stored)
-    return sinks.append_indicators(long, store.path("indicators"), write)
-
-
-def feature_job(store: Store, definitions: DataFrame, now: datetime, write: bool = True) -> DataFrame:
-    """Bars and pivoted indicators to merged features, upserted by (Symbol, time)."""
-    bars = store.raw_bars().select(BAR_COLUMNS)
+    if only_new:
+        long = long.join(from_, KEY).where(F.col(TS) >= F.col("FromTs")).drop("FromTs")
+    out = sinks.append_indicators(long, store.path("indicators"), write)
+    store.mark("indicators", runs, write)
+    return out
+
+
+def feature_job(store: Store, definitions: DataFrame, now: datetime, rebuild: bool = False, write: bool = True) -> DataFrame:
+    """Bars and pivoted indicators to merged features, by (Symbol, time): rows from the first new bar of a
+    symbol on, or all with `rebuild` and where the definitions give other columns than are stored."""
+    fields, run = field_names(definitions), sinks.run_id("MERGE", now)
+    path, stored = store.path("merged_features"), store.read("merged_features")
+    runs = store.open_runs("features", "indicators")
     long = tables.read_indicators(store.spark, store.path("indicators"))
-    frame = feature_frame(bars, long, field_names(definitions), sinks.run_id("MERGE", now), now)
-    target, source = store.snapshot("merged_features"), sinks.prepare_merged(frame)
-    return store.commit("merged_features", source if target is None else sinks.upsert(target, source), write)
+    if rebuild or stored is None or not set(fields) <= set(stored.columns):
+        frame = sinks.prepare_merged(feature_frame(store.raw_bars().select(BAR_COLUMNS), long, fields, run, now))
+        if write:
+            sinks.write_dated(frame.withColumn(TRADE_DATE, F.to_date(TS)), path, "overwrite")
+            store.mark("features", runs, write)
+        return frame
+    needed = cut_lineage(days_needed(store.ledger(), starts(store.ledger(), runs), FEATURE_LOOKBACK))
+    bars = of_days(store.raw_by_date(), needed)
+    dates = trade_dates(needed)
+    if dates:
+        long = long.where(F.col(TS) >= F.lit(dates[0])).join(needed.select(KEY).distinct(), KEY, "left_semi")
+    frame = feature_frame(bars.select(BAR_COLUMNS), long, fields, run, now)
+    from_ = needed.groupBy(KEY).agg(F.min("FromTs").alias("FromTs"))
+    fresh = sinks.prepare_merged(frame.join(from_, KEY).where(F.col(TS) >= F.col("FromTs")).drop("FromTs"))
+    if write:
+        fresh = cut_lineage(fresh)
+        sinks.replace_rows(fresh, path, [KEY, TS], TS)
+        store.mark("features", runs, write)
+    return fresh
 
 
 def feature_frame(bars: DataFrame, long: DataFrame, fields: list[str], run_id: str, run_ts: datetime) -> DataFrame:
@@ -146,40 +209,46 @@ def feature_frame(bars: DataFrame, long: DataFrame, fields: list[str], run_id: s
 
 
 def signal_job(store: Store, now: datetime, rebuild: bool = False, version: int = 1, write: bool = True) -> DataFrame:
-    """Signal features: everything with `rebuild`, else rows newer than the stored ones, and each symbol's
-    last stored bar again once its next bar gives it a Target. Only trade dates with such rows are rewritten."""
-    source = store.snapshot("merged_features")
-    run = sinks.run_id("SIGNAL", now)
-    path = store.path("signal_features")
-    stored = store.read("signal_features", SIGNAL_FEATURES)
-    if rebuild or stored is None:
-        return sinks.append_signals(signals.signal_frame(source, run, now, version), path, rebuild=True, write=write)
-    stored = stored.select(SIGNAL_FEATURES.fieldNames())
-    fresh = signals.signal_incremental(source, stored, run, now, version)
-    again = signals.reopen_last_bars(source, stored, run, now, version).where("Target IS NOT NULL")
-    fresh = sinks.coerce(fresh.unionByName(again), SIGNAL_FEATURES)
-    if write:
-        fresh = cut_lineage(fresh)
-        sinks.replace_rows(fresh, stored, path, [KEY, "FeatureTimestamp", "SignalVersion"], "FeatureTimestamp")
+    """Signal features: everything with `rebuild`, else rows from the first new bar of a symbol on, and the
+    bar before it, which now has a Target. Only trade dates with such rows are rewritten."""
+    source, run, path = store.read("merged_features"), sinks.run_id("SIGNAL", now), store.path("signal_features")
+    runs = store.open_runs(f"signals {version}", "features")
+    if rebuild or store.read("signal_features", SIGNAL_FEATURES) is None:
+        fresh = sinks.append_signals(signals.signal_frame(source.drop(TRADE_DATE), run, now, version), path, rebuild=True, write=write)
+    else:
+        needed = cut_lineage(days_needed(store.ledger(), starts(store.ledger(), runs), signals.LOOKBACK + 1))
+        fresh = sinks.coerce(signals.signals_from(of_days(source, needed), run, now, version), SIGNAL_FEATURES)
+        if write:
+            fresh = cut_lineage(fresh)
+            sinks.replace_rows(fresh, path, [KEY, "FeatureTimestamp", "SignalVersion"], "FeatureTimestamp")
+    store.mark(f"signals {version}", runs, write)
     return fresh
 
 
 def label_job(
     store: Store, now: datetime, spec: labels.LabelSpec = labels.LabelSpec(), rebuild: bool = False, write: bool = True
 ) -> DataFrame:
-    """Horizon labels: everything with `rebuild`, else rows newer than the stored ones, and stored rows
-    again that lacked their future bar. Only trade dates with such rows are rewritten."""
-    features = tables.require_columns(store.snapshot("merged_features"), labels.REQUIRED)
-    bars = store.raw_bars()
-    run = sinks.run_id("LABEL", now)
-    path = store.path("labelled_features")
-    stored = tables.labelled(store.spark, path) if store.read("labelled_features") is not None else None
-    if rebuild or stored is None:
-        return sinks.append_labels(labels.label_frame(features, bars, spec, run, now), path, rebuild=True, write=write)
-    fresh = sinks.sanitise(labels.label_incremental(features, bars, stored, spec, run, now))
-    if write:
-        fresh = cut_lineage(fresh)
-        sinks.replace_rows(fresh, stored, path, [KEY, TS, "HorizonMinutes", "LabelType", "LabelVersion", "FeatureVersion"], TS)
+    """Horizon labels: everything with `rebuild`, else rows from the first new bar of a symbol on, and those
+    before it that its horizon reaches. Only trade dates with such rows are rewritten."""
+    features = tables.require_columns(store.read("merged_features"), labels.REQUIRED)
+    run, path = sinks.run_id("LABEL", now), store.path("labelled_features")
+    job = f"labels {spec.horizon} {spec.label_type} {spec.label_version} {spec.feature_version}"
+    runs = store.open_runs(job, "features")
+    first = store.read("labelled_features") is None
+    if rebuild or first or store.done(job).isEmpty():  # nothing of this kind is stored yet
+        fresh = labels.label_frame(features.drop(TRADE_DATE), store.raw_bars(), spec, run, now)
+        if rebuild or first:
+            fresh = sinks.append_labels(fresh, path, rebuild=True, write=write)
+    else:
+        needed = cut_lineage(days_needed(store.ledger(), starts(store.ledger(), runs, spec.horizon), 0))
+        bars = of_days(store.raw_by_date(), needed)
+        fresh = labels.labels_from(of_days(features, needed).drop(TRADE_DATE), bars, spec, run, now)
+    if not (rebuild or first):
+        fresh = sinks.sanitise(fresh)
+        if write:
+            fresh = cut_lineage(fresh)
+            sinks.replace_rows(fresh, path, [KEY, TS, "HorizonMinutes", "LabelType", "LabelVersion", "FeatureVersion"], TS)
+    store.mark(job, runs, write)
     return fresh
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import types as T
 
 KEY = "Symbol"
 TS = "PriceTimestamp"
-TRADE_DATE = "TradeDate"  # partition column of stored raw bars, signals and labels
+TRADE_DATE = "TradeDate"  # partition column of stored raw bars, merged features, signals and labels
 PRICES = ["OpenPrice", "HighPrice", "LowPrice", "ClosePrice"]
 BAR_COLUMNS = [KEY, TS, *PRICES, "Volume"]
 
@@ -20,6 +20,11 @@ BARS = _struct(Symbol=_S, PriceTimestamp=_NTZ, OpenPrice=_D, HighPrice=_D, LowPr
 RAW_BARS = T.StructType(BARS.fields + _struct(BatchID=_S, LoadTimestamp=_NTZ).fields)
 STAGING = T.StructType(RAW_BARS.fields + _struct(Exported=_I).fields)
 
+# What merges brought in, per symbol and day: bars the day then had, the first new one, the last one.
+BAR_DAYS = _struct(Symbol=_S, TradeDate=T.DateType(), Rows=_L, FirstTs=_NTZ, LastTs=_NTZ, Run=_S, LoadTimestamp=_NTZ)
+PROGRESS = _struct(Job=_S, Run=_S)
+STAGING_MARKS = _struct(Symbol=_S, LastTs=_NTZ)
+
 DEFINITIONS = _struct(IndicatorId=_I, IndicatorName=_S, DefaultParams=_S, IsActive=_I)
 INDICATORS = _struct(
     Symbol=_S, PriceTimestamp=_NTZ, Timeframe=_S, IndicatorId=_I, IndicatorName=_S,

@@ -1,13 +1,15 @@
 """Writes. Every sink takes `write`; with write=False it returns what it would have written."""
 
-from datetime import datetime
+from datetime import date, datetime
 from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions.scalars import clip, finite, float_columns, naive, numeric_columns, to_double, to_timestamp
+from tickloom.operators.incremental import trade_dates
 from tickloom.schemas import BAR_COLUMNS, INDICATORS, KEY, MODEL_REGISTRY, SIGNAL_FEATURES, TRADE_DATE, TS
 from tickloom.session import cut_lineage
 
@@ -29,13 +31,13 @@ def _append(df: DataFrame, path: str, write: bool, partition_by: list[str] | Non
 def append_staging(
     bars: DataFrame, path: str, loaded: datetime, batch_id: str | None = None, write: bool = True
 ) -> DataFrame:
-    """Stamp batch, load time and Exported = 0, then append."""
+    """Stamp batch, load time and Exported = 0, then append. Partitioned by batch: a merge reads pending ones only."""
     stamped = bars.select(BAR_COLUMNS).withColumns({
         "BatchID": F.lit(batch_id or str(uuid4())),
         "LoadTimestamp": naive(loaded),
         "Exported": F.lit(0),
     })
-    return _append(stamped, path, write)
+    return _append(stamped, path, write, ["BatchID"])
 
 
 def append_indicators(long: DataFrame, path: str, write: bool = True) -> DataFrame:
@@ -58,23 +60,45 @@ def coerce(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select([one(f) for f in schema.fields])
 
 
-def replace_rows(fresh: DataFrame, stored: DataFrame, path: str, keys: list[str], moment: str) -> None:
-    """Put fresh rows in place of stored rows of the same keys, rewriting only their trade dates.
+def write_dated(dated: DataFrame, path: str, mode: str = "append", **options: str) -> None:
+    """Write by trade date: rows of a date go to a few files, however many tasks computed them."""
+    dealt = dated.repartition(TRADE_DATE, F.pmod(F.hash(KEY), F.lit(32)))
+    dealt.write.mode(mode).options(**options).partitionBy(TRADE_DATE).parquet(path)
+
+
+def read_dates(spark: SparkSession, path: str, dates: list[date]) -> DataFrame | None:
+    """Rows of some trade dates; no other file is listed or opened. None if there are none."""
+    names = ",".join(f"{TRADE_DATE}={d:%Y-%m-%d}" for d in dates)
+    try:
+        return spark.read.option("basePath", path).option("mergeSchema", True).parquet(f"{path}/{{{names}}}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def replace_rows(fresh: DataFrame, path: str, keys: list[str], moment: str) -> None:
+    """Put fresh rows in place of stored rows of the same keys, reading and rewriting only their trade dates.
 
     A job that dies before the dates are swapped leaves them as they were; run again it does the same.
     """
     dated = fresh.withColumn(TRADE_DATE, F.to_date(moment))
-    stored = stored.drop(TRADE_DATE).withColumn(TRADE_DATE, F.to_date(moment)) if TRADE_DATE not in stored.columns else stored
-    dates = dated.select(TRADE_DATE).distinct()
-    kept = stored.join(dates, TRADE_DATE, "left_semi").join(dated.select(*keys), keys, "left_anti")
-    content = cut_lineage(kept.unionByName(dated, allowMissingColumns=True))  # read before the dates are replaced
-    content.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(TRADE_DATE).parquet(path)
+    dates = trade_dates(dated)
+    if not dates:
+        return
+    stored = read_dates(fresh.sparkSession, path, dates)
+    if stored is not None:
+        kept = stored.join(dated.select(*keys), keys, "left_anti")
+        dated = cut_lineage(kept.unionByName(dated, allowMissingColumns=True))  # read before the dates are replaced
+    write_dated(dated, path, "overwrite", partitionOverwriteMode="dynamic")
 
 
 def append_signals(frame: DataFrame, path: str, rebuild: bool = False, write: bool = True) -> DataFrame:
     """Append signal rows by trade date, or replace all of them with `rebuild`."""
     dated = coerce(frame, SIGNAL_FEATURES).withColumn(TRADE_DATE, F.to_date("FeatureTimestamp"))
-    return _append(dated, path, write, [TRADE_DATE], "overwrite" if rebuild else "append").drop(TRADE_DATE)
+    if write:
+        write_dated(dated, path, "overwrite" if rebuild else "append")
+    return dated.drop(TRADE_DATE)
 
 
 def sanitise(df: DataFrame, limit: float = FLOAT_LIMIT) -> DataFrame:
@@ -85,7 +109,9 @@ def sanitise(df: DataFrame, limit: float = FLOAT_LIMIT) -> DataFrame:
 def append_labels(frame: DataFrame, path: str, rebuild: bool = False, write: bool = True) -> DataFrame:
     """Append labelled rows by trade date, or replace all of them with `rebuild`."""
     dated = sanitise(frame).withColumn(TRADE_DATE, F.to_date(TS))
-    return _append(dated, path, write, [TRADE_DATE], "overwrite" if rebuild else "append").drop(TRADE_DATE)
+    if write:
+        write_dated(dated, path, "overwrite" if rebuild else "append")
+    return dated.drop(TRADE_DATE)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: tuple[str, ...] = (KEY, TS)) -> DataFrame:

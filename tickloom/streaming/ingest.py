@@ -13,9 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.operators.staging import pending
 from tickloom.plans.jobs import Store, merge_job
-from tickloom.sources.sinks import append_staging
 from tickloom.sources.vendor import vendor_bars
 
 # Headers of the vendor files, in order.
@@ -46,8 +44,8 @@ def merge_stream(
         loaded = datetime.now(timezone.utc).replace(tzinfo=None)
         name = f"STREAM_{source}_{batch_no}"
         if not batch.isEmpty() and store.staging().where(F.col("BatchID") == name).isEmpty():
-            append_staging(vendor_bars(batch, source_zone), store.path("staging"), loaded, name)
-        if not pending(store.staging()).isEmpty():
+            store.stage(vendor_bars(batch, source_zone), loaded, name)
+        if not store.pending_staging().isEmpty():
             merge_job(store)
 
     return (
