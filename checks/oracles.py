@@ -1,7 +1,7 @@
 """The same queries as DuckDB SQL, written from the definitions and not from the Spark code."""
 
 from checks.queries import (
-    ASOF, COMPRESSION, DEFINITION_ROWS, JUMP_SPANS, MEMBER_ROWS, MOMENTUM, NORMALISED, REGIME, RUN_TS, SPEC, TREND, VOLUME,
+    ASOF, COMPRESSION, DEFINITION_ROWS, JUMP_SPANS, MEMBER_ROWS, MOMENTUM, NORMALISED, REGIME, RUN_TS, SHOWN_TABLES, SPEC, TREND, VOLUME,
 )
 from tickloom.schemas import BAR_COLUMNS, INDICATOR_FIELDS, SIGNAL_METRICS
 
@@ -242,7 +242,6 @@ metric AS (
 
 
 COUNTED = ["OpenPrice", "HighPrice", "LowPrice", "ClosePrice", "Volume", *INDICATOR_FIELDS, *SIGNAL_METRICS, "Target"]
-PLAIN_COUNTED = ["OpenPrice", "HighPrice", "LowPrice", "ClosePrice", "Volume", *SIGNAL_METRICS, "Target"]
 
 LABELLED = f"""labelled AS (
   SELECT b.Symbol, b.PriceTimestamp, b.OpenPrice, b.HighPrice, b.LowPrice, b.ClosePrice AS Close_t, b.Volume,
@@ -327,7 +326,6 @@ def table_row(name: str, source: str, ts: str = "PriceTimestamp") -> str:
     return f"SELECT '{name}' AS TableName, count(*) AS TotalRows, {before} AS RowsBeforeToday, count(*) - {before} AS Increment FROM {source}"
 
 
-SMA20 = f"sma AS (SELECT {KEYS} FROM (SELECT *, {roll('avg', 'ClosePrice', 20)} AS v FROM bars) WHERE v IS NOT NULL)"
 
 
 def check(name: str, ok: str, details: str, source: str) -> str:
@@ -344,7 +342,7 @@ per AS (
          count(*) FILTER (Prediction = c) AS guess
   FROM scored, (VALUES (-1), (0), (1)) AS t(c) GROUP BY c),
 score AS (
-  SELECT label, coalesce(hit / nullif(guess, 0), 0) AS precision, coalesce(hit / nullif(support, 0), 0) AS recall, support,
+  SELECT label, hit, coalesce(hit / nullif(guess, 0), 0) AS precision, coalesce(hit / nullif(support, 0), 0) AS recall, support,
          coalesce(2 * hit / nullif(guess + support, 0), 0) AS f1
   FROM per WHERE support > 0 OR guess > 0)"""
 
@@ -397,11 +395,11 @@ ORACLES = {
   CAST(isodow(PriceTimestamp) AS INTEGER) AS DayOfWeek, CASE WHEN {SESSION} THEN 1 ELSE 0 END AS IsRegularSession, CASE WHEN {SESSION} THEN 0 ELSE 1 END AS IsAfterHours,
   {r6(SIGNAL_METRICS)}, round(Target, 6) AS Target, 1 AS SignalVersion, 'SIGNAL_20240131_000000' AS FeatureRunId, {RUN_AT} AS RunDateTime,
   {_present(COUNTED, 'NULL')} AS MissingFeatureCount, {_present(INDICATOR_FIELDS, 'NOT NULL')} AS SourceIndicatorCount FROM metric""",
-    "sig_incremental": f"""WITH {bars()}, {metrics('bars')}, cutoff AS (SELECT Symbol, max(PriceTimestamp) AS LastTs FROM bars WHERE PriceTimestamp < {AT} GROUP BY Symbol)
-SELECT Symbol, PriceTimestamp AS FeatureTimestamp, {r6(SIGNAL_METRICS)}, round(Target, 6) AS Target, {_present(PLAIN_COUNTED, 'NULL')} + 19 AS MissingFeatureCount
+    "sig_incremental": f"""WITH RECURSIVE {WIDE}, {metrics('wide')}, cutoff AS (SELECT Symbol, max(PriceTimestamp) AS LastTs FROM bars WHERE PriceTimestamp < {AT} GROUP BY Symbol)
+SELECT Symbol, PriceTimestamp AS FeatureTimestamp, {r6(SIGNAL_METRICS)}, round(Target, 6) AS Target, {_present(COUNTED, 'NULL')} AS MissingFeatureCount
 FROM metric LEFT JOIN cutoff USING (Symbol) WHERE LastTs IS NULL OR PriceTimestamp > LastTs""",
     "sig_incremental_global": f"WITH {bars()} SELECT * FROM bars WHERE PriceTimestamp > (SELECT coalesce(max(PriceTimestamp), TIMESTAMP '1900-01-01') FROM bars WHERE PriceTimestamp < {AT})",
-    "sig_reopened": f"""WITH {bars()}, {metrics('bars')}, cutoff AS (SELECT Symbol, max(PriceTimestamp) AS LastTs FROM bars WHERE PriceTimestamp < {AT} GROUP BY Symbol)
+    "sig_reopened": f"""WITH RECURSIVE {WIDE}, {metrics('wide')}, cutoff AS (SELECT Symbol, max(PriceTimestamp) AS LastTs FROM bars WHERE PriceTimestamp < {AT} GROUP BY Symbol)
 SELECT Symbol, PriceTimestamp AS FeatureTimestamp, {r6(['Return_20', 'Volatility_20', 'Target'])} FROM metric JOIN cutoff USING (Symbol) WHERE PriceTimestamp = LastTs""",
     "label_horizon": f"""WITH {bars()}, {LABELLED} SELECT {KEYS}, OpenPrice, HighPrice, LowPrice, Close_t, Volume, FutureClose_tN, round(Return_t_to_tN, 6) AS Return_t_to_tN,
   {LABEL} AS Label, {SPEC.horizon} AS HorizonMinutes, '{SPEC.label_type}' AS LabelType, 'v1' AS LabelVersion, 'v1' AS FeatureVersion, {TRAINABLE} AS IsTrainableRow, 0 AS IsOutlier,
@@ -461,9 +459,9 @@ SELECT NULL, count(*), CAST(sum(DaysProcessed) AS BIGINT), CAST(sum(RowsInserted
     "dq_nulls": "SELECT t.c AS ColumnName, CASE WHEN t.c = 'ClosePrice' THEN count(*) FILTER (value < 1) ELSE 0 END AS NullCount FROM events, (VALUES "
                 + ", ".join(f"('{c}')" for c in BAR_COLUMNS) + ") AS t(c) GROUP BY t.c",
     "dq_rowcount": f"WITH {bars()} SELECT count(*) AS Cnt, count(*) >= 1000 AS Ok FROM bars",
-    "dq_orphans": f"WITH {bars()}, {STEP}, {ROLLED} SELECT count(SMA_20) + count(SMA_200) AS Orphans FROM ind WHERE extract(hour FROM PriceTimestamp) % 2 <> 0",
-    "dq_table_counts": f"WITH {bars()}, {STAGING}, {RAW}, {SMA20} " + " UNION ALL ".join([
-        table_row("staging", "staging"), table_row("raw_bars", "raw"), table_row("indicators", "sma"),
+    "dq_orphans": f"WITH RECURSIVE {WIDE}, {LONG} SELECT count(*) AS Orphans FROM long WHERE extract(hour FROM PriceTimestamp) % 2 <> 0",
+    "dq_table_counts": f"WITH RECURSIVE {WIDE}, {LONG}, {STAGING}, {RAW} " + " UNION ALL ".join([
+        table_row("staging", "staging"), table_row("raw_bars", "raw"), table_row("indicators", "long"),
         table_row("merged_features", "bars"), table_row("signal_features", f"(SELECT * FROM bars WHERE PriceTimestamp < {AT})"),
     ]),
     "dq_report": f"WITH {bars()} " + " UNION ALL ".join([
@@ -496,6 +494,10 @@ SELECT event_id, CAST(date_trunc('minute', ts) AS TIMESTAMP) AS minute_start, ts
   CAST(isodow(ts) AS INTEGER) AS day_of_week, h AS hour_of_day, CAST(extract(minute FROM ts) AS INTEGER) AS minute_of_hour,
   CASE WHEN h < 9 OR h >= 16 THEN 0 WHEN h = 9 THEN 1 WHEN h = 15 THEN 3 ELSE 2 END AS session_type,
   CAST(ts AS DATE) AS trade_date, event_type || '_' || CAST(user_id AS VARCHAR) AS field_name FROM t""",
+    "schema_columns": f"""SELECT table_name AS TableName, column_name AS ColumnName, CAST(ordinal_position AS INTEGER) AS OrdinalPosition,
+  CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS DataType,
+  CAST(NULL AS INTEGER) AS MaximumLength, is_nullable = 'YES' AS IsNullable
+FROM information_schema.columns WHERE table_name IN ({", ".join(f"'{t}'" for t in SHOWN_TABLES)})""",
     "preview_top_n": f"WITH {bars()} SELECT * FROM bars WHERE Symbol = 'click' ORDER BY PriceTimestamp LIMIT 2000",
     "fs_active": f"WITH RECURSIVE {WIDE}, {NORM}, {RANKED}, {ENGINEERED} " + " UNION ALL ".join(
         f"SELECT '{name}' AS FeatureName, {ordinal} AS Ordinal, count({name}) AS NonNullRows FROM engineered"
@@ -506,6 +508,7 @@ SELECT event_id, CAST(date_trunc('minute', ts) AS TIMESTAMP) AS minute_start, ts
     "eval_accuracy": f"WITH {bars()}, {SCORED}, placed AS (SELECT *, row_number() OVER ({TS_ORDER}) - 1 AS position, count(*) OVER () AS total FROM scored) SELECT position < floor(total * 0.8::DOUBLE) AS is_train, round(avg(CASE WHEN Label = Prediction THEN 1.0::DOUBLE ELSE 0 END), 6) AS accuracy, count(*) AS n FROM placed GROUP BY 1",
     "eval_confusion": f"WITH {bars()}, {SCORED} SELECT Label, " + ", ".join(f"count(*) FILTER (Prediction = {v}) AS \"pred_{v}\"" for v in (-1, 0, 1)) + " FROM scored GROUP BY Label",
     "eval_report": f"""WITH {bars()}, {REPORT} SELECT CAST(label AS VARCHAR) AS class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM score UNION ALL
+SELECT 'accuracy', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), round(sum(hit) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM score UNION ALL
 SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), CAST(sum(support) AS BIGINT) FROM score UNION ALL
 SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM score""",
     "runlog_stages": rf"""WITH {LINES} SELECT run, {at(WHOLE, 'Total rows inserted:', '0')} AS ingest_rows, CAST(0 AS BIGINT) AS ingest_symbols, CAST(NULL AS DOUBLE) AS ingest_runtime,

@@ -1,6 +1,7 @@
 """One query per operator group, each over whole tables."""
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ MEMBER_ROWS = [
 ASOF = datetime(2024, 1, 16)
 RUN_TS = datetime(2024, 1, 31)
 SPEC = labels.LabelSpec(300, "DIRECTION_300M")
+SHOWN_TABLES = ["customer", "events", "lineitem", "orders"]
 JUMP_SPANS = [2, 3, 5, 20, 5000]
 BLOCK = 512  # small blocks, so that the sample data spans several
 
@@ -223,18 +225,11 @@ def _signals_before_asof(spark, d) -> DataFrame:
 
 
 def sig_incremental(spark, d):
-    bars = event_bars(spark, d)
-    source = _plain_merged(bars)
+    source = with_flags(wide(spark, d))
     frame = signals.signal_incremental(source, _signals_before_asof(spark, d), "SIGNAL_20240131_000000", RUN_TS)
     return rounded(frame.select(KEY, "FeatureTimestamp", *signals.SIGNAL_METRICS, "Target", "MissingFeatureCount"))
 
 
-def _plain_merged(bars: DataFrame) -> DataFrame:
-    """Merged rows of a store without any indicator yet."""
-    empty = bars.withColumns({c: F.lit(None).cast("double") for c in INDICATOR_FIELDS})
-    return merged.with_calendar(empty).withColumns({"SourceIndicatorCount": F.lit(0), "MissingIndicatorCount": F.lit(19)})
-
-
 def sig_incremental_global(spark, d):
     """Bars later than the newest stored signal of any symbol."""
     return incremental.newer_rows(event_bars(spark, d), _signals_before_asof(spark, d), TS, "FeatureTimestamp", False)
@@ -242,7 +237,7 @@ def sig_incremental_global(spark, d):
 
 def sig_reopened(spark, d):
     """The newest stored bar per symbol, now with its Target."""
-    frame = signals.reopen_last_bars(_plain_merged(event_bars(spark, d)), _signals_before_asof(spark, d), "SIGNAL_20240131_000000", RUN_TS)
+    frame = signals.reopen_last_bars(with_flags(wide(spark, d)), _signals_before_asof(spark, d), "SIGNAL_20240131_000000", RUN_TS)
     return rounded(frame.select(KEY, "FeatureTimestamp", "Return_20", "Volatility_20", "Target"))
 
 
@@ -375,11 +370,9 @@ def dq_dupe_keys(spark, d):
 
 
 def dq_dupe_indicators(spark, d):
-    """Indicator keys of a table that got one definition twice."""
-    bars = event_bars(spark, d)
-    one = definitions(spark).where("IndicatorId IN (1, 7)")
-    again = one.where("IndicatorId = 7")
-    long = indicator_long(bars, one).unionByName(indicator_long(bars, again))
+    """Indicator keys of a table of all active definitions that got one of them twice."""
+    bars, one = event_bars(spark, d), definitions(spark)
+    long = indicator_long(bars, one, gaps=False).unionByName(indicator_long(bars, one.where("IndicatorId = 7"), gaps=False))
     return quality.duplicate_keys(long, [KEY, TS, "IndicatorId"], "indicators")
 
 
@@ -442,12 +435,12 @@ def _even_hours(bars: DataFrame) -> DataFrame:
 
 def dq_orphans(spark, d):
     bars = event_bars(spark, d)
-    return quality.orphan_count(indicator_long(bars, definitions(spark).where("IndicatorId <= 2")), _even_hours(bars))
+    return quality.orphan_count(indicator_long(bars, definitions(spark), gaps=False), _even_hours(bars))
 
 
 def dq_table_counts(spark, d):
     bars = event_bars(spark, d)
-    long = indicator_long(bars, definitions(spark).where("IndicatorId = 1"))
+    long = indicator_long(bars, definitions(spark), gaps=False)
     return quality.table_counts({
         "staging": (event_staging(spark, d), TS), "raw_bars": (raw_minutes(spark, d), TS), "indicators": (long, TS),
         "merged_features": (bars, TS), "signal_features": (_signals_before_asof(spark, d), "FeatureTimestamp"),
@@ -461,7 +454,7 @@ def dq_report_missing(spark, d):
 
 def dq_report(spark, d):
     bars = event_bars(spark, d)
-    long = indicator_long(bars, definitions(spark).where("IndicatorId = 1"))
+    long = indicator_long(bars, definitions(spark), gaps=False)
     return quality.quality_report(bars, long)
 
 
@@ -492,6 +485,11 @@ def calendar_fields(spark, d):
     )
 
 
+def schema_columns(spark, d):
+    """Columns of stored tables: name, position, type, length and nullability."""
+    return reduce(DataFrame.unionByName, [tables.column_report(table(spark, d, name), name) for name in SHOWN_TABLES])
+
+
 def preview_top_n(spark, d):
     return tables.first_rows(event_bars(spark, d), "click", 2000)
 
@@ -649,6 +647,7 @@ QUERIES = {
     "dq_report_missing": dq_report_missing,
     "sanitise_numeric": sanitise_numeric,
     "calendar_fields": calendar_fields,
+    "schema_columns": schema_columns,
     "preview_top_n": preview_top_n,
     "fs_active": fs_active,
     "train_split": train_split,

@@ -163,6 +163,7 @@ def test_classes_that_are_only_predicted(spark):
     """They count in the report (with recall 0) and have a row in the matrix."""
     scored = spark.createDataFrame([(-1, -1), (-1, 0), (1, 1), (1, 1)], "Label int, Prediction int")
     report = {r["class"]: r for r in training.classification_report(scored).collect()}
+    assert report["accuracy"].precision is None and report["accuracy"].f1 == pytest.approx(scored.agg(training.accuracy()).first()[0])
     assert report["0"].support == 0 and report["macro avg"].recall == pytest.approx(0.5)
     matrix = {r.Label: (r["pred_-1"], r.pred_0, r.pred_1) for r in training.confusion_matrix(scored).collect()}
     assert matrix == {-1: (1, 1, 0), 0: (0, 0, 0), 1: (0, 0, 2)}
@@ -187,7 +188,7 @@ def test_report_and_json(spark):
     assert weights == {1: pytest.approx(6 / 9), -1: pytest.approx(2.0), 0: pytest.approx(1.0)}
     payload = json.loads(training.metrics_json(scored, scored).first().MetricsJson)
     assert payload["training_accuracy"] == payload["test_accuracy"] == pytest.approx(4 / 6)
-    assert len(payload["confusion_matrix"]) == 3 and len(payload["classification_report"]) == 5
+    assert len(payload["confusion_matrix"]) == 3 and len(payload["classification_report"]) == 6
 
 
 def test_permuted_is_a_permutation_and_repeatable(spark):
@@ -218,3 +219,8 @@ def test_naive_times_ignore_the_session_zone(spark):
         assert one(spark, S.naive(moment)) == moment
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_quality_report_without_tables(spark):
+    rows = quality.quality_report(None, None).collect()
+    assert len(rows) == 8 and not any(r.ok for r in rows)

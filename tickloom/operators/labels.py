@@ -34,9 +34,13 @@ def future_close(bars: DataFrame, horizon: int) -> DataFrame:
 
     An equi-join on (Symbol, time), so a busy symbol spreads over all tasks.
     """
-    later = bars.select(KEY, (F.col(TS) - minutes(horizon)).alias(TS), F.col("ClosePrice").alias("FutureClose_tN"))
     now = bars.select(KEY, TS, F.col("ClosePrice").alias("Close_t"))
-    return now.join(later, [KEY, TS], "left").select(KEY, TS, "Close_t", "FutureClose_tN")
+    return now.join(shifted_closes(bars, horizon), [KEY, TS], "left").select(KEY, TS, "Close_t", "FutureClose_tN")
+
+
+def shifted_closes(bars: DataFrame, horizon: int) -> DataFrame:
+    """Every close under the time `horizon` minutes before it."""
+    return bars.select(KEY, (F.col(TS) - minutes(horizon)).alias(TS), F.col("ClosePrice").alias("FutureClose_tN"))
 
 
 def label_frame(features: DataFrame, bars: DataFrame, spec: LabelSpec, run_id: str, run_ts: datetime) -> DataFrame:
@@ -44,10 +48,9 @@ def label_frame(features: DataFrame, bars: DataFrame, spec: LabelSpec, run_id: s
     missing = [c for c in REQUIRED if c not in features.columns]
     if missing:
         raise ValueError(f"feature table lacks required columns: {', '.join(missing)}")
-    future = future_close(bars, spec.horizon).drop("Close_t")
     change = F.when(F.col("Close_t") != 0, F.col("FutureClose_tN") / F.col("Close_t") - 1)
     return (
-        features.withColumnRenamed("ClosePrice", "Close_t").join(future, [KEY, TS], "left")
+        features.withColumnRenamed("ClosePrice", "Close_t").join(shifted_closes(bars, spec.horizon), [KEY, TS], "left")
         .withColumn("Return_t_to_tN", change)
         .withColumns({
             "Label": F.coalesce(F.signum("Return_t_to_tN"), F.lit(0)).cast("int"),

@@ -184,7 +184,7 @@ def confusion_matrix(scored: DataFrame, labels: Sequence[int] = LABELS) -> DataF
 
 
 def classification_report(scored: DataFrame, labels: Sequence[int] = LABELS) -> DataFrame:
-    """Precision, recall, f1 and support per class, then macro and weighted averages.
+    """Precision, recall, f1 and support per class, then accuracy (as f1) and macro and weighted averages.
 
     Three counts per class from one pass over the predictions; the rest works on that one row.
     """
@@ -206,7 +206,7 @@ def classification_report(scored: DataFrame, labels: Sequence[int] = LABELS) ->
             share(F.col(f"hit{i}"), F.col(f"guess{i}")).alias("precision"),
             share(F.col(f"hit{i}"), F.col(f"support{i}")).alias("recall"),
             share(2 * F.col(f"hit{i}"), F.col(f"guess{i}") + F.col(f"support{i}")).alias("f1"),
-            F.col(f"support{i}").alias("support"), F.col(f"guess{i}").alias("guess"),
+            F.col(f"support{i}").alias("support"), F.col(f"guess{i}").alias("guess"), F.col(f"hit{i}").alias("hit"),
         )
         for i, v in enumerate(labels)
     ]))).where("support > 0 OR guess > 0").drop("guess")
@@ -214,12 +214,12 @@ def classification_report(scored: DataFrame, labels: Sequence[int] = LABELS) ->
     averages = per_class.agg(
         *[F.avg(c).alias(f"macro_{c}") for c in scores],
         *[share(F.sum(F.col(c) * F.col("support")), F.sum("support")).alias(f"weighted_{c}") for c in scores],
-        F.sum("support").alias("support"),
-    ).select(F.inline(F.array(*[
+        F.sum("support").alias("support"), share(F.sum("hit"), F.sum("support")).alias("accuracy"),
+    ).select(F.inline(F.array(F.struct(F.lit("accuracy").alias("class"), *[F.lit(None).cast("double").alias(c) for c in scores[:2]], F.col("accuracy").alias("f1"), F.col("support")), *[
         F.struct(F.lit(f"{kind} avg").alias("class"), *[F.col(f"{kind}_{c}").alias(c) for c in scores], F.col("support"))
         for kind in ("macro", "weighted")
     ])))
-    return per_class.unionByName(averages)
+    return per_class.drop("hit").unionByName(averages)
 
 
 def metrics_json(train_scored: DataFrame, test_scored: DataFrame, labels: Sequence[int] = LABELS) -> DataFrame:
