@@ -22,7 +22,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Bytes of distinct words that a worker remembers (and words of 16 bytes on average); beyond it starts
 #: anew. Only speed depends on it.
-REMEMBERED = 6 << 20
+REMEMBERED = 12 << 20
 
 
 _LOWER = np.arange(256, dtype=np.uint8)
