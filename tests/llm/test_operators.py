@@ -152,6 +152,47 @@ def test_long_text_in_pieces(spark, monkeypatch):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute.repeats(texts)
 
 
+def _spans_of(spark, texts, **options):
+    got = suffixes.digest(spark.createDataFrame(texts, "doc_id long, text string"), **options).collect()
+    return {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got}
+
+
+@pytest.mark.parametrize("hot", [1, 2, 5])
+def test_crowded_anchors(spark, monkeypatch, hot):
+    """Anchors with more different contexts than a bucket takes: strings meet one by one, with the same result."""
+    monkeypatch.setattr(suffixes, "HOT", hot)
+    rnd = random.Random(hot)
+    noise = lambda n: "".join(rnd.choice("abé ") for _ in range(n))
+    passage = noise(120)
+    texts = [(i, noise(rnd.randint(0, 60)) + (passage[rnd.randint(0, 30) :] if i % 3 else "") + noise(rnd.randint(0, 60)) + "a" * (i % 40)) for i in range(80)]
+    texts += [(100 + i, texts[i][1]) for i in range(5)]
+    assert _spans_of(spark, texts, length=16, anchor=5) == brute.repeats(texts, 16)
+
+
+def test_passage_in_a_third_of_all_texts(spark):
+    """More texts than a bucket takes share a passage: inside of it one context an anchor is left, edges are compared by strings."""
+    rnd = random.Random(4)
+    noise = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage = noise(300)
+    texts = [(i, noise(60) + (passage if i % 3 == 0 else noise(90)) + noise(60)) for i in range(3 * (suffixes.HOT + 100))]
+    assert _spans_of(spark, texts) == brute.repeats(texts)
+
+
+def test_long_run_of_one_byte(spark):
+    """Ten million equal bytes between other text: equal contexts collapse to a few marks."""
+    texts = [(1, "start of it " + "a" * 10_000_000 + " end"), (2, "b" + "a" * 300 + "b")]
+    assert _spans_of(spark, texts) == brute.repeats(texts)
+
+
+def test_rows_of_one_doc_id(spark):
+    """Other texts of equal doc_id are not earlier than one another; later rows have all of them as earlier ones."""
+    rnd = random.Random(6)
+    part = "".join(rnd.choice("abcdefgh ") for _ in range(250))
+    texts = [(1, "x" + part), (1, "y" + part + "y"), (1, "x" + part), (2, part), (None, "z" + part[:120])]
+    got = suffixes.digest(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.n_bytes, r.n_removed) for r in got) == [(0, 121, 0), (1, 251, 120), (1, 251, 120), (1, 252, 120), (2, 250, 250)]
+
+
 def test_intervals():
     assert sorted(suffixes.intervals([2, 3, 3, 1, 4], 1)) == [(1, 0, 5), (2, 0, 3), (3, 1, 3), (4, 4, 5)]
 

@@ -4,8 +4,11 @@ A byte goes if a string of `length` bytes that covers it also starts earlier (in
 doc_id, or earlier in the same text). Equal strings of that length have the same minimizer (the least
 hash of their `anchor`-byte windows) at the same place, so every such string belongs to one anchor:
 
-1. Anchors of all texts meet by hash; those that occur once are done with.
-2. Each repeated anchor takes the bytes of all strings that belong to it as context.
+1. Anchors of all texts meet by hash, each with a hash of its context (the bytes of all strings that
+   belong to it). Anchors that occur once are done with. Of equal contexts only the earliest goes on: all
+   others are marked whole, so that a passage which many texts share costs one context an anchor.
+2. The others take the bytes of their contexts. Where more than HOT different ones share an anchor (at the
+   edges of such a passage), single strings meet by hash instead, and no task holds them together.
 3. Contexts of an anchor form a bucket of the suffix array: sorted by what follows the anchor, with the
    longest common prefixes of neighbours. A stack scan gives the intervals of the prefix tree; inside an
    interval members are sorted by what stands before the anchor, and a second scan splits them where
@@ -15,7 +18,7 @@ hash of their `anchor`-byte windows) at the same place, so every such string bel
 Copies of a whole text are found by hash and are marked whole, so groups of copies cost one text. Two
 rows of equal doc_id are never earlier than one another. Texts under `length` bytes, null and empty
 ones keep everything. Null doc_ids come first. An empty table gives no rows. Texts are told apart by
-xxhash64. Other columns are ignored by `digest` and kept by `without_repeats`.
+xxhash64, contexts by 64 bits beside the 64 of their anchor. Other columns are ignored by `digest` and kept by `without_repeats`.
 """
 
 from __future__ import annotations
@@ -36,19 +39,35 @@ ARROW = pa.schema([(n, pa.int64()) for n in ("doc_id", "n_bytes", "n_removed", "
 _VALUES = np.random.default_rng(99).integers(1, 2**63, 256, dtype=np.uint64)
 _PLACE = np.uint64((1 << 24) - 1)
 PIECE = 1 << 21
+#: Different contexts of one anchor that a task takes as a bucket; beyond it single strings are compared.
+HOT = 4096
+#: Bits of a spot: the occurrence is marked whole (`hash` holds its end); the anchor has more than HOT contexts.
+WHOLE, CROWDED = 1 << 15, 1 << 7
 #: Stands for a null doc_id: before all others.
 FIRST = -(2**63)
 
 
+def _sums(buf: np.ndarray) -> np.ndarray:
+    """Prefix sums from which the hash of any run of bytes is taken."""
+    sums = np.zeros(len(buf) + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        np.cumsum(_VALUES[buf] * hashing._power("up", len(buf)), out=sums[1:])
+    return sums
+
+
+def _hash_of(sums: np.ndarray, start: np.ndarray, size: np.ndarray | int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return hashing.mix((sums[start + size] - sums[start]) * hashing._power("down", len(sums))[start])
+
+
 def anchors(buf: np.ndarray, at: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, ...]:
-    """Hash, position, text, and first and last start of the strings of each anchor of each text."""
+    """Hash, position, text, first and last start of the strings, and hash of the context of each anchor of each text."""
     n, width = len(buf), length - anchor + 1
+    nothing = tuple(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.int64, np.int64, np.uint64))
     if n < length:
-        return tuple(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.int64, np.int64))
-    with np.errstate(over="ignore"):
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_VALUES[buf] * hashing._power("up", n), out=sums[1:])
-        hashes = hashing.mix((sums[anchor:] - sums[:-anchor]) * hashing._power("down", n + 1 - anchor))
+        return nothing
+    sums = _sums(buf)
+    hashes = _hash_of(sums, np.arange(n + 1 - anchor), anchor)
     # the place stands in the lower bits: the least is the leftmost of equal ones
     least = (hashes & ~_PLACE) | (np.arange(len(hashes), dtype=np.uint64) & _PLACE)
     size = 1
@@ -59,65 +78,128 @@ def anchors(buf: np.ndarray, at: np.ndarray, length: int, anchor: int) -> tuple[
         least = np.minimum(least[: len(least) - (width - size)], least[width - size :])
     start = spread(at[:-1], np.maximum(0, np.diff(at) - length + 1))  # strings inside a text
     if not len(start):
-        return tuple(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.int64, np.int64))
+        return nothing
     place = start + ((least[start] - start.astype(np.uint64)) & _PLACE).astype(np.int64)
     new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1)]))
     last = start[np.concatenate([new[1:], [len(start)]]) - 1]
     first = start[new]
-    return hashes[place[new]], place[new], np.searchsorted(at, first, "right") - 1, first, last
+    shape = hashing.mix(((place[new] - first) << 8 | (last - first)).astype(np.uint64))
+    context = hashing.mix(_hash_of(sums, first, last - first + length) ^ shape)
+    return hashes[place[new]], place[new], np.searchsorted(at, first, "right") - 1, first, last, context
+
 
+ROWS = pa.schema([(c, pa.int64()) for c in ("hash", "context", "first_id", "tid", "spot")])
 
-def _anchor_rows(docs: DataFrame, length: int, anchor: int) -> DataFrame:
-    """(hash, tid, spot) of all anchors; spot packs position, bytes before it and number of strings."""
+
+def _anchor_rows(texts: DataFrame, length: int, anchor: int) -> DataFrame:
+    """(hash, context, first_id, tid, spot) of all anchors; spot packs position, bytes before it and number of strings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, at in sliced(batches):
-            tids = np.array(rows.column("tid"))
+            tids, firsts = np.array(rows.column("tid")), np.array(rows.column("first_id"))
             for begin in range(0, max(1, len(buf)), PIECE) if len(at) == 2 else (0,):  # a long text in overlapping pieces
                 cut = (buf[begin : begin + PIECE + length - 1], np.clip(at - begin, 0, PIECE + length - 1)) if len(at) == 2 else (buf, at)
-                h, place, owner, first, last = anchors(*cut, length, anchor)
+                h, place, owner, first, last, context = anchors(*cut, length, anchor)
                 spot = (place + begin - at[owner]) << 16 | (place - first) << 8 | (last - first)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(tids[owner]), pa.array(spot)], ["hash", "tid", "spot"])
+                yield batch_of(ROWS, h.view(np.int64), context.view(np.int64), firsts[owner], tids[owner], spot)
+
+    return texts.select("tid", "first_id", "text").mapInArrow(run, "hash long, context long, first_id long, tid long, spot long")
 
-    return docs.select("tid", "text").mapInArrow(run, "hash long, tid long, spot long")
 
+class Leads:
+    """Goes through occurrences sorted by group, first_id, tid and spot, and tells which of them are earliest.
 
-def _repeated(rows: DataFrame) -> DataFrame:
-    """Rows whose hash occurs again in another place; equal rows (copies of a text) count once."""
+    An occurrence comes after its group's first one if it stands in a row of greater doc_id, or later in the same
+    text. Rows of one doc_id but other texts are not later than one another: each is earliest. Equal rows count once.
+    """
+
+    def __init__(self) -> None:
+        self.last: np.ndarray | None = None
+        self.first_id = 0
+
+    def split(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Masks of the earliest and of the later occurrences; the last three rows of `rows` are first_id, tid, spot."""
+        before = rows[:, :1] - 1 if self.last is None else self.last
+        differs = rows != np.concatenate([before, rows[:, :-1]], axis=1)
+        group = differs[:-3].any(0)
+        lead = np.maximum.accumulate(np.where(group, np.arange(rows.shape[1]), -1))
+        lead_id = np.where(lead >= 0, rows[-3][lead], self.first_id)
+        earliest = (rows[-3] == lead_id) & (group | differs[-3] | differs[-2])
+        self.last, self.first_id = rows[:, -1:].copy(), int(lead_id[-1])
+        return earliest, differs.any(0) & ~earliest
+
+
+def _repeated(rows: DataFrame, length: int) -> DataFrame:
+    """(hash, tid, spot) of what is left to compare, and of what is marked whole already.
+
+    Contexts that an earlier place has as well are marked whole: runs of overlapping ones as one row, with the start
+    in `spot` and the end in `hash`. Of the others those go on whose anchor has at least two.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, matched = None, False
+        leads, crowded = Leads(), None
+        held = np.zeros((3, 0), np.int64)  # at most HOT contexts of the anchor that the last batch ended with
         for batch in batches:
-            rows = np.stack([np.array(batch.column(i)) for i in range(3)])
-            if held is not None:
-                rows = np.concatenate([held, rows], axis=1)
-            rows = rows[:, np.concatenate([[True], (rows[:, 1:] != rows[:, :-1]).any(0)])]
-            again = rows[0, 1:] == rows[0, :-1]
-            keep = np.concatenate([[matched], again]) | np.concatenate([again, [False]])
-            held, matched = rows[:, -1:], bool(keep[-1])
-            out = rows[:, :-1][:, keep[:-1]]
+            if not batch.num_rows:
+                continue
+            rows = np.stack([np.array(batch.column(i)) for i in range(5)])
+            earliest, later = leads.split(rows)
+            group, tid, spot = np.cumsum((rows[:2, 1:] != rows[:2, :-1]).any(0)), rows[3, later], rows[4, later]
+            group = np.concatenate([[0], group])[later]
+            start = (spot >> 16) - (spot >> 8 & 127)
+            end = start + length + (spot & 127)
+            new = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]) | (tid[1:] != tid[:-1]) | (start[1:] > end[:-1])])[: len(tid)])
+            stop = np.concatenate([new[1:], [len(tid)]])[: len(new)] - 1
+            found = [np.stack([end[stop], tid[new], start[new] << 16 | WHOLE])]
+            held = np.concatenate([held, rows[[0, 3, 4]][:, earliest]], axis=1)
+            edges = np.concatenate([[0], np.flatnonzero(held[0, 1:] != held[0, :-1]) + 1, [held.shape[1]]])
+            sizes = np.diff(edges)
+            flag = np.repeat((sizes > HOT) | (held[0, edges[:-1]] == crowded if crowded is not None and held.shape[1] else False), sizes)
+            open_ = np.arange(held.shape[1]) >= (edges[-2] if len(edges) > 1 else 0)
+            ready = flag | ~open_ & (np.repeat(sizes, sizes) > 1)
+            if held.shape[1]:
+                crowded = held[0, -1] if flag[-1] else None
+            out = held[:, ready]
+            out[2] |= np.where(flag[ready], CROWDED, 0)
+            held = held[:, open_ & ~flag]
+            out = np.concatenate([*found, out], axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["hash", "tid", "spot"])
-        if held is not None and matched:
+        if held.shape[1] > 1:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], ["hash", "tid", "spot"])
 
-    return rows.repartition("hash").sortWithinPartitions("hash", "tid", "spot").mapInArrow(run, "hash long, tid long, spot long")
+    return rows.repartition("hash").sortWithinPartitions(*ROWS.names).mapInArrow(run, "hash long, tid long, spot long")
 
 
 def _contexts(joined: DataFrame, length: int) -> DataFrame:
-    """(hash, first_id, tid, spot, context) of repeated anchors, from their texts."""
+    """(hash, first_id, tid, spot, context) of repeated anchors, from their texts.
+
+    Of crowded anchors the single strings, without context: `hash` is that of string and anchor, `spot` their start.
+    """
     out = pa.schema([("hash", pa.int64()), ("first_id", pa.int64()), ("tid", pa.int64()), ("spot", pa.int64()), ("context", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, at in sliced(batches):
             spots = rows.column("spots")
             flat, owner = spots.flatten(), np.repeat(np.arange(rows.num_rows), np.diff(np.array(spots.offsets)))
-            spot = np.array(flat.field("spot"))
-            begin = at[owner] + (spot >> 16) - (spot >> 8 & 255)
-            size = length + (spot & 255)
-            data = buf[spread(begin, size)]
-            context = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.py_buffer(data)])
-            take = pa.array(owner)
-            yield pa.RecordBatch.from_arrays([flat.field("hash"), rows.column("first_id").take(take), rows.column("tid").take(take), flat.field("spot"), context], schema=out)
+            all_spots = np.array(flat.field("spot"))
+            for crowded in (0, CROWDED):
+                chosen = np.flatnonzero(all_spots & (WHOLE | CROWDED) == crowded)
+                if not len(chosen):
+                    continue
+                own, spot, h = owner[chosen], all_spots[chosen], np.array(flat.field("hash"))[chosen]
+                begin = at[own] + (spot >> 16) - (spot >> 8 & 127)
+                many = (spot & 127) + 1
+                if crowded:
+                    start, own, h = spread(begin, many), np.repeat(own, many), np.repeat(h, many)
+                    h = hashing.mix(_hash_of(_sums(buf), start, length) ^ h.view(np.uint64)).view(np.int64)
+                    spot, size = (start - at[own]) << 16 | CROWDED, np.zeros(len(start), np.int64)
+                    data = np.zeros(0, np.uint8)
+                else:
+                    size = length - 1 + many
+                    data = buf[spread(begin, size)]
+                context = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.py_buffer(data)])
+                take = pa.array(own)
+                yield pa.RecordBatch.from_arrays([pa.array(h), rows.column("first_id").take(take), rows.column("tid").take(take), pa.array(spot), context], schema=out)
 
     return joined.mapInArrow(run, "hash long, first_id long, tid long, spot long, context binary")
 
@@ -227,9 +309,23 @@ def _marks(contexts: DataFrame, length: int, anchor: int) -> DataFrame:
         hit = most_after >= 0
         return pa.RecordBatch.from_arrays([pa.array(x[hit], pa.int64()) for x in (tid, place - most_before, place + most_after)], schema=out)
 
+    def single(batch: pa.RecordBatch, leads: Leads) -> pa.RecordBatch:
+        """Strings of crowded anchors, one after the other."""
+        rows = np.stack([np.array(batch.column(c)) for c in ("hash", "first_id", "tid", "spot")])
+        _, later = leads.split(rows)
+        start = rows[3, later] >> 16
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (rows[2, later], start, start + length)], schema=out)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        leads = Leads()
         for batch in batches:
+            crowded = np.array(batch.column("spot")) & CROWDED != 0
+            if crowded.any():
+                yield single(batch.filter(pa.array(crowded)), leads)
+                batch = batch.filter(pa.array(~crowded))
+            if not batch.num_rows:
+                continue
             h = np.array(batch.column("hash"))
             change = np.flatnonzero(np.diff(h) != 0)
             if held and h[0] != held[-1].column("hash")[-1].as_py():
@@ -243,22 +339,29 @@ def _marks(contexts: DataFrame, length: int, anchor: int) -> DataFrame:
         if held:
             yield mark(pa.Table.from_batches(held))
 
-    return contexts.repartition("hash").sortWithinPartitions("hash").mapInArrow(run, "tid long, start long, end long")
+    return contexts.repartition("hash").sortWithinPartitions("hash", "first_id", "tid", "spot").mapInArrow(run, "tid long, start long, end long")
 
 
 def spans(docs: DataFrame, length: int = 100, anchor: int = 32) -> DataFrame:
-    """All columns of docs, with `first_id` (least doc_id of an equal text) and `marks` (null without any)."""
+    """All columns of docs, with `first_id` (least doc_id of an equal text) and `marks` (start and end of bytes that go)."""
     if not 0 < length - anchor < 128 or length > 200:
         raise ValueError("length - anchor must be 1..127 and length at most 200")
     own = F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST).cast("long"))
     keyed = docs.withColumn("tid", F.xxhash64(F.col("text").cast("string")))
     firsts = keyed.where("text is not null").groupBy("tid").agg(F.min(own).alias("first_id"))
-    lists = _repeated(_anchor_rows(keyed, length, anchor)).groupBy("tid").agg(F.collect_list(F.struct("hash", "spot")).alias("spots"))
-    # all joins are by tid alone, so that the texts are shuffled once for both uses
+    # all joins are by tid alone, so that the texts are shuffled once for all uses
+    texts = firsts.join(keyed, "tid").where(own <= F.col("first_id"))
+    lists = _repeated(_anchor_rows(texts, length, anchor), length).groupBy("tid").agg(F.collect_list(F.struct("hash", "spot")).alias("spots"))
     of_texts = lists.join(firsts, "tid").join(keyed, "tid").where(own <= F.col("first_id"))
     marks = _marks(_contexts(of_texts.select("tid", "first_id", "spots", "text"), length), length, anchor)
     marked = marks.groupBy("tid").agg(F.collect_list(F.struct("start", "end")).alias("marks"))
-    return keyed.join(firsts, "tid", "left").join(marked, "tid", "left").drop("tid")
+    whole = F.transform(
+        F.filter("spots", lambda s: s["spot"].bitwiseAND(F.lit(WHOLE).cast("long")) != 0),
+        lambda s: F.struct(F.shiftright(s["spot"], 16).alias("start"), s["hash"].alias("end")),
+    )
+    none = F.array().cast("array<struct<start:long,end:long>>")
+    all_marks = F.concat(F.coalesce("marks", none), F.coalesce(whole, none))
+    return keyed.join(firsts, "tid", "left").join(marked, "tid", "left").join(lists, "tid", "left").withColumn("marks", all_marks).drop("tid", "spots")
 
 
 def removed(marks: pa.Array, rows: int, at: np.ndarray, copies: np.ndarray, length: int) -> np.ndarray:
@@ -279,18 +382,12 @@ def _copies(rows: pa.RecordBatch) -> np.ndarray:
     return (own > first) & np.array(rows.column("text").is_valid())
 
 
-def _lists(rows: pa.RecordBatch) -> pa.Array:
-    """Marks with empty lists for null."""
-    marks = rows.column("marks")
-    return pa.array([x or [] for x in marks.to_pylist()], marks.type)
-
-
 def digest(docs: DataFrame, *, length: int = 100, anchor: int = 32) -> DataFrame:
     """Size, removed bytes, spans and hash of the rest of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, at in sliced(batches):
-            gone = removed(_lists(rows), rows.num_rows, at, _copies(rows), length)
+            gone = removed(rows.column("marks"), rows.num_rows, at, _copies(rows), length)
             cells = []
             for i in range(rows.num_rows):
                 own, text = gone[at[i] : at[i + 1]], buf[at[i] : at[i + 1]]
@@ -307,7 +404,7 @@ def without_repeats(docs: DataFrame, *, length: int = 100, anchor: int = 32) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, at in sliced(batches):
-            gone = removed(_lists(rows), rows.num_rows, at, _copies(rows), length)
+            gone = removed(rows.column("marks"), rows.num_rows, at, _copies(rows), length)
             lead = (buf & 0xC0) != 0x80
             char = np.cumsum(lead) - 1  # a character goes if all its bytes do
             whole = np.bincount(char, gone, minlength=1) == np.bincount(char, minlength=1) if len(buf) else np.zeros(1, bool)
