@@ -91,8 +91,20 @@ def anchors(buf: np.ndarray, at: np.ndarray, length: int, anchor: int) -> tuple[
 ROWS = pa.schema([(c, pa.int64()) for c in ("hash", "context", "first_id", "tid", "spot")])
 
 
+def _runs(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last index of each run of overlapping spans of one owner; spans come by start and end."""
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (start[1:] > end[:-1])
+    first = np.flatnonzero(new)
+    return first, np.concatenate([first[1:], [len(owner)]])[: len(first)] - 1
+
+
 def _anchor_rows(texts: DataFrame, length: int, anchor: int) -> DataFrame:
-    """(hash, context, first_id, tid, spot) of all anchors; spot packs position, bytes before it and number of strings."""
+    """(hash, context, first_id, tid, spot) of all anchors; spot packs position, bytes before it and number of strings.
+
+    Contexts that stood earlier in their text are marked whole here, so that a text of one phrase over and over
+    gives a few rows: start in `spot`, end in `context`, and any `hash`.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, at in sliced(batches):
@@ -101,7 +113,15 @@ def _anchor_rows(texts: DataFrame, length: int, anchor: int) -> DataFrame:
                 cut = (buf[begin : begin + PIECE + length - 1], np.clip(at - begin, 0, PIECE + length - 1)) if len(at) == 2 else (buf, at)
                 h, place, owner, first, last, context = anchors(*cut, length, anchor)
                 spot = (place + begin - at[owner]) << 16 | (place - first) << 8 | (last - first)
-                yield batch_of(ROWS, h.view(np.int64), context.view(np.int64), firsts[owner], tids[owner], spot)
+                order = np.lexsort((context, h, owner))  # stable: equal ones stay in order of place
+                again = np.zeros(len(h), bool)
+                again[order[1:]] = (owner[order[1:]] == owner[order[:-1]]) & (h[order[1:]] == h[order[:-1]]) & (context[order[1:]] == context[order[:-1]])
+                yield batch_of(ROWS, *(x[~again] for x in (h.view(np.int64), context.view(np.int64), firsts[owner], tids[owner], spot)))
+                if again.any():
+                    mine, start, end = owner[again], (first + begin - at[owner])[again], (last + length + begin - at[owner])[again]
+                    a, z = _runs(mine, start, end)
+                    tid, start = tids[mine[a]], start[a]
+                    yield batch_of(ROWS, hashing.mix(tid.view(np.uint64) + start.astype(np.uint64)).view(np.int64), end[z], firsts[mine[a]], tid, start << 16 | WHOLE)
 
     return texts.select("tid", "first_id", "text").mapInArrow(run, "hash long, context long, first_id long, tid long, spot long")
 
@@ -143,14 +163,19 @@ def _repeated(rows: DataFrame, length: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             rows = np.stack([np.array(batch.column(i)) for i in range(5)])
+            marked = rows[4] & WHOLE != 0
+            if marked.any():
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows[[1, 3, 4]][:, marked]], ["hash", "tid", "spot"])
+                rows = rows[:, ~marked]
+                if not rows.shape[1]:
+                    continue
             earliest, later = leads.split(rows)
             group, tid, spot = np.cumsum((rows[:2, 1:] != rows[:2, :-1]).any(0)), rows[3, later], rows[4, later]
             group = np.concatenate([[0], group])[later]
             start = (spot >> 16) - (spot >> 8 & 127)
             end = start + length + (spot & 127)
-            new = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]) | (tid[1:] != tid[:-1]) | (start[1:] > end[:-1])])[: len(tid)])
-            stop = np.concatenate([new[1:], [len(tid)]])[: len(new)] - 1
-            found = [np.stack([end[stop], tid[new], start[new] << 16 | WHOLE])]
+            a, z = _runs(np.cumsum(np.concatenate([[0], (group[1:] != group[:-1]) | (tid[1:] != tid[:-1])]))[: len(tid)], start, end)
+            found = np.stack([end[z], tid[a], start[a] << 16 | WHOLE])
             held = np.concatenate([held, rows[[0, 3, 4]][:, earliest]], axis=1)
             edges = np.concatenate([[0], np.flatnonzero(held[0, 1:] != held[0, :-1]) + 1, [held.shape[1]]])
             sizes = np.diff(edges)
@@ -162,7 +187,7 @@ def _repeated(rows: DataFrame, length: int) -> DataFrame:
             out = held[:, ready]
             out[2] |= np.where(flag[ready], CROWDED, 0)
             held = held[:, open_ & ~flag]
-            out = np.concatenate([*found, out], axis=1)
+            out = np.concatenate([found, out], axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["hash", "tid", "spot"])
         if held.shape[1] > 1:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], ["hash", "tid", "spot"])
