@@ -382,6 +382,7 @@ ORACLES = {
     ),
     "ind_ema_jump": gapped(JUMP_MEANS, ", ".join(f"round(ln(e{n}), 6) AS LN_EMA_{n}" for n in JUMP_SPANS), "CASE WHEN Volume % 23 = 5 THEN 1e30 ELSE ClosePrice END"),
     "ind_daily": f"WITH RECURSIVE {DAILY}, {STEP}, {EWM}, {ROLLED} SELECT i.Symbol, i.PriceTimestamp, {r6(['SMA_20', 'SMA_200', 'RSI_14', 'WILLIAMS_R_14'])}, round(w.e20, 6) AS EMA_20, round(w.a14, 6) AS ATR_14 FROM ind i JOIN ewm w USING (Symbol, rn)",
+    "ind_resumed": f"WITH RECURSIVE {WIDE} SELECT {KEYS}, {r6(INDICATOR_FIELDS)} FROM wide",
     "ind_long_registry": f"WITH RECURSIVE {WIDE}, {LONG} SELECT {KEYS}, '1m' AS Timeframe, id AS IndicatorId, name AS IndicatorName, param AS IndicatorParams, round(v, 6) AS IndicatorValue, field AS FieldName FROM long",
     "ind_pivot_merge": f"WITH RECURSIVE {WIDE}, merged AS ({MERGED}) SELECT * REPLACE ({r6(INDICATOR_FIELDS)}) FROM merged",
     "feat_normalised": features(NORMALISED),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tickloom.functions import scalars as S
 from tickloom.operators import incremental, labels, merged, quality, runlog, signals, staging, training
 from tickloom.operators.engineered import add_engineered_features
-from tickloom.operators.indicators import indicators
+from tickloom.operators.indicators import indicators, resume_indicators
 from tickloom.operators.registry import indicator_long
 from tickloom.plans.jobs import feature_frame
 from tickloom.schemas import BAR_COLUMNS, DEFINITIONS, FEATURE_SET_MEMBERS, FEATURE_SETS, INDICATOR_FIELDS, KEY, TS
@@ -188,6 +188,14 @@ def ind_daily(spark, d):
     return rounded(indicators(shipping_bars(spark, d), wanted, cut=True, gaps=False))
 
 
+def ind_resumed(spark, d):
+    """All active indicators: bars before a time in one run, the later ones in a second that starts from its state."""
+    bars, late = event_bars(spark, d), F.col(TS) >= S.naive(ASOF)
+    before, state = resume_indicators(bars.where(~late), ACTIVE, block_rows=BLOCK // 2, gaps=False)
+    after, _ = resume_indicators(bars, ACTIVE, state, block_rows=BLOCK // 2, gaps=False)
+    return rounded(before.unionByName(after.where(late)))
+
+
 def ind_long_registry(spark, d):
     return rounded(indicator_long(event_bars(spark, d), definitions(spark), cut=True, gaps=False).drop("addDateTime"))
 
@@ -592,6 +600,7 @@ QUERIES = {
     "ind_williams": _indicator(("WILLIAMS_R", 14), block_rows=BLOCK),
     "ind_supertrend": _indicator(("SUPERTREND", 10), unit="minute", block_rows=BLOCK),
     "ind_daily": ind_daily,
+    "ind_resumed": ind_resumed,
     "ind_long_registry": ind_long_registry,
     "ind_pivot_merge": ind_pivot_merge,
     "feat_normalised": _features("normalised", NORMALISED),

@@ -1,11 +1,14 @@
 """Indicators: blocks, first values, edge frames, and values against independent computations."""
 
+from datetime import timedelta
+
 import numpy as np
 import pandas as pd
 import pytest
-from helpers import bar_rows, collect, frame, recursive_mean, supertrend, true_range, walk
+from helpers import START, bar_rows, collect, frame, recursive_mean, supertrend, true_range, walk
+from pyspark.sql import functions as F
 
-from tickloom.operators.indicators import RECIPES, indicators
+from tickloom.operators.indicators import RECIPES, indicators, resume_indicators
 from tickloom.schemas import BAR_COLUMNS, BARS
 
 EVERY = [
@@ -164,3 +167,38 @@ def test_means_of_series_known_to_have_no_gaps(spark, rows):
     wanted = [("EMA", 1), ("EMA", 2), ("EMA", 50), ("ATR", 14), ("MACD", 0), ("OBV", 0)]
     one, other = (collect(indicators(bars, wanted, block_rows=rows, gaps=g)) for g in (True, False))
     pd.testing.assert_frame_equal(one, other, rtol=1e-10)
+
+
+@pytest.mark.parametrize("gaps", [True, False])
+def test_resumed_runs_equal_a_full_one(spark, gaps):
+    """Three runs; the second adds a symbol, and each reads no bar before the block it resumes with."""
+    rows = walk("BIG", 1500, 1) + walk("MID", 330, 2, step=7) + walk("LATE", 40, 4, start=START + timedelta(minutes=900))
+    if gaps:
+        rows = [(*r[:5], None if i % 11 == 3 else r[5], r[6]) for i, r in enumerate(rows)]
+    all_bars, choice = frame(spark, rows).cache(), [*EVERY, ("ATR", 1), ("EMA", 1)]
+    choice = [c for c in choice if not gaps or c[0] != "SUPERTREND"]  # bands need a close in every bar
+    full = collect(indicators(all_bars, choice, block_rows=256, gaps=gaps))
+    state, seen = None, START
+    for end in (START + timedelta(minutes=700), START + timedelta(minutes=1100), START + timedelta(days=3)):
+        bars = all_bars.where(F.col("PriceTimestamp") < end)
+        if state is not None:
+            since = state.select("Symbol", "FromTs")
+            bars = bars.join(since, "Symbol", "left").where("FromTs IS NULL OR PriceTimestamp >= FromTs").drop("FromTs")
+            assert bars.where("Symbol = 'BIG'").count() <= 256 + 256 + 400
+        values, state = resume_indicators(bars, choice, state, block_rows=256, gaps=gaps)
+        got = collect(values.where(F.col("PriceTimestamp") >= seen))
+        want = full[(full.PriceTimestamp >= seen) & (full.PriceTimestamp < end)].reset_index(drop=True)
+        assert got.Symbol.tolist() == want.Symbol.tolist() and got.PriceTimestamp.tolist() == want.PriceTimestamp.tolist()
+        for name, param in choice:
+            np.testing.assert_allclose(got[f"{name}_{param}"], want[f"{name}_{param}"], rtol=1e-9, atol=1e-9, err_msg=f"{name} {end}")
+        seen = end
+    assert {r.Symbol: r.Block for r in state.collect()} == {"BIG": 5, "MID": 1, "LATE": 0}
+
+
+def test_states_of_other_recipes_are_not_used(spark):
+    bars = frame(spark, walk("AAA", 600, 1))
+    _, state = resume_indicators(bars, [("EMA", 9)], block_rows=64)
+    wide = collect(resume_indicators(bars, [("EMA", 20)], state, block_rows=64)[0])
+    assert len(wide) == 600
+    empty, none = resume_indicators(bars.limit(0), [("EMA", 9), ("SUPERTREND", 10)], state.limit(0), block_rows=64)
+    assert empty.count() == 0 and none.count() == 0

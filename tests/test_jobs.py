@@ -283,3 +283,35 @@ def test_jobs_read_only_the_days_they_need(spark, tmp_path):
     assert [str(d) for d in incremental.trade_dates(needed)] == ["2024-03-05", "2024-03-06"]
     merged = filters(incremental.of_days(s.read("merged_features"), needed), "merged_features")
     assert merged and all("2024-03-05" in x and "2024-03-04" not in x for x in merged)
+
+
+def test_indicators_resume_from_the_stored_block(spark, tmp_path):
+    """A second run reads the last block on and gives the values of a run over everything; back-filled bars start anew."""
+    s, some = jobs.Store(spark, str(tmp_path / "resumed")), definitions(spark)
+    days = [datetime(2024, 3, day, 9) for day in (4, 5, 6, 8)]
+    for n, (day, rows) in enumerate(zip(days, (300, 300, 300, 20))):
+        vendor_file(spark, tmp_path / f"v{n}", walk("AAA", rows, n, start=day))
+    for n in (0, 1, 3):
+        jobs.ingest_job(s, str(tmp_path / f"v{n}"), NOW + timedelta(days=n), source_zone=None)
+        jobs.merge_job(s, now=NOW + timedelta(days=n))
+        if n < 3:
+            jobs.indicator_job(s, some, NOW + timedelta(days=n), block_rows=256)
+    state = s.indicator_state().collect()
+    assert [(r.Symbol, r.Block) for r in state] == [("AAA", 2)]
+    known, from_ = s.indicator_state(), incremental.starts(s.ledger(), s.open_runs("indicators"))
+    assert [str(d) for d in incremental.trade_dates(incremental.days_since(s.ledger(), from_, known))] == ["2024-03-04", "2024-03-05", "2024-03-08"][1 if state[0].FromTs >= days[1] else 0:]
+
+    def equal(one, other):
+        keys = ["Symbol", "PriceTimestamp", "FieldName"]
+        one, other = (x.select(*keys, F.round("IndicatorValue", 8).alias("v")) for x in (one, other))
+        return one.count() == other.count() and one.exceptAll(other).isEmpty()
+
+    new = jobs.indicator_job(s, some, NOW + timedelta(days=3), block_rows=256)
+    whole = jobs.indicator_job(s, some, NOW, only_new=False, write=False)
+    assert new.count() == 19 * 20 and equal(new, whole.where(F.col("PriceTimestamp") >= days[3]))
+    jobs.ingest_job(s, str(tmp_path / "v2"), NOW + timedelta(days=4), source_zone=None, date_range=(days[2], days[3]))
+    jobs.merge_job(s, now=NOW + timedelta(days=4))
+    again = jobs.indicator_job(s, some, NOW + timedelta(days=4), block_rows=256)
+    whole = jobs.indicator_job(s, some, NOW, only_new=False, write=False)
+    assert again.count() == 19 * 320 and equal(again, whole.where(F.col("PriceTimestamp") >= days[2]))
+    assert s.indicator_state().count() == 1 and jobs.indicator_job(s, some, NOW, block_rows=256, write=False).isEmpty()

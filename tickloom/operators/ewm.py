@@ -15,6 +15,8 @@ of them is one pair: an exponent e (what is kept of the state before it is exp(-
 
 Nothing is cut off but weights below exp(-2 ERA), which no double tells from zero.
 
+A run that resumes brings the mean before its first block as one more block, whose only value that mean is.
+
 Where series are known to have no gaps (`gaps=False`, as with bars that the staging merge let in), places and
 exponents follow from row numbers, and a block's pair is a plain aggregate.
 """
@@ -159,12 +161,36 @@ def _full_block_ends(staged: DataFrame, means: dict[str, tuple[str, float]], fil
     return ends.withColumns({**places_, **{_of(k, "e"): F.lit(decay(alpha) * end) for k, (_, alpha) in means.items()}})
 
 
+def last_row(x: str) -> str:
+    """Column of the carry table: row of the last value of `x` before the block."""
+    return _of(x, "last_in")
+
+
+def stored_ends(state: DataFrame, means: dict[str, tuple[str, float]], fills: dict[str, str], totals: dict[str, str]) -> DataFrame:
+    """What a state hands over, as the end of the block before the one to resume with."""
+    sources = sorted({x for x, _ in means.values()})
+    return state.where("Block > 0").select(
+        KEY, (F.col("Block") - 1).alias("blk"),
+        *[F.col("Carried")[last_row(x)].cast("long").alias(_of(x, c)) for x in sources for c in ("first", "last")],
+        *[F.lit(0.0).alias(_of(x, "value")) for x in sources], *[F.lit(0.0).alias(_of(k, "e")) for k in means],
+        *[F.col("Carried")[k].alias(k) for k in (*means, *fills, *totals)],
+    )
+
+
+def carried(means: dict[str, tuple[str, float]], fills: dict[str, str], totals: dict[str, str]) -> dict[str, str]:
+    """Names in a state and the columns of the carry table they come from."""
+    return {**{last_row(x): last_row(x) for x, _ in means.values()}, **{k: f"{k}_in" for k in (*means, *fills, *totals)}}
+
+
 def carry_table(
-    rows_: DataFrame, means: dict[str, tuple[str, float]], fills: dict[str, str], totals: dict[str, str], rows: int, gaps: bool
+    rows_: DataFrame, means: dict[str, tuple[str, float]], fills: dict[str, str], totals: dict[str, str], rows: int, gaps: bool,
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """One row per (Symbol, blk): what all earlier blocks hand over. Pre-aggregated per block."""
     sources = sorted({x for x, _ in means.values()})
     ends = _block_ends(rows_, means, fills, totals) if gaps else _full_block_ends(rows_, means, fills, totals, rows)
+    if state is not None:
+        ends = ends.unionByName(stored_ends(state, means, fills, totals))
     blocks = Window.partitionBy(KEY).orderBy("blk")
     now, earlier = blocks.rowsBetween(_BEGIN, 0), blocks.rowsBetween(_BEGIN, -1)
     gap = {x: F.col(_of(x, "gap")) for x in sources}
@@ -196,6 +222,7 @@ def carry_table(
         first[f"{k}_first"] = F.when(gap[x].isNull(), F.col(_of(x, "value"))).otherwise((1 - share) * F.col(f"{k}_in") + share * F.col(_of(x, "value")))
     return ends.withColumns(first).select(
         KEY, "blk", *[f"{k}_{c}" for k in means for c in ("in", "first")],
+        *[F.max(_of(x, "last")).over(earlier).alias(last_row(x)) for x in sources],
         *[F.last(k, ignorenulls=True).over(earlier).alias(f"{k}_in") for k in fills],
         *[F.coalesce(F.sum(name).over(earlier), F.lit(0.0)).alias(f"{name}_in") for name in totals],
     )

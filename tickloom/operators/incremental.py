@@ -104,6 +104,13 @@ def days_needed(ledger: DataFrame, from_: DataFrame, before: int) -> DataFrame:
     return marked.where((F.col(TRADE_DATE) >= first) | (F.col("_rows") < before)).select(KEY, TRADE_DATE, "FromTs")
 
 
+def days_since(ledger: DataFrame, from_: DataFrame, state: DataFrame) -> DataFrame:
+    """Symbol, TradeDate of the symbols in `from_`: the days from a stored state's FromTs on, all days without one."""
+    since = from_.select(KEY).join(state.select(KEY, F.to_date("FromTs").alias("_first")), KEY, "left")
+    days = ledger.select(KEY, TRADE_DATE).distinct().join(since, KEY)
+    return days.where(F.col("_first").isNull() | (F.col(TRADE_DATE) >= F.col("_first"))).drop("_first")
+
+
 def trade_dates(rows: DataFrame) -> list[date]:
     """The distinct trade dates, on the driver: days of a calendar at most."""
     return sorted(r[0] for r in rows.select(TRADE_DATE).where(F.col(TRADE_DATE).isNotNull()).distinct().collect())
@@ -115,5 +122,5 @@ def on_dates(rows: DataFrame, dates: list[date]) -> DataFrame:
 
 
 def of_days(rows: DataFrame, needed: DataFrame) -> DataFrame:
-    """Rows (partitioned by trade date) of the needed symbols and days, with FromTs."""
+    """Rows (partitioned by trade date) of the needed symbols and days, with the columns of `needed`."""
     return on_dates(rows, trade_dates(needed)).join(needed, [KEY, TRADE_DATE])

@@ -10,13 +10,14 @@ windows over one ordering, and one join with the small table of block carries.
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.rolling import is_long, long_parts, long_roll, roll
 from tickloom.functions.scalars import nz
 from tickloom.operators import ewm
 from tickloom.operators.series import block_rows_for, block_window, core_rows, with_blocks, with_row_index
+from tickloom.operators.supertrend import carried as supertrend_carried
 from tickloom.operators.supertrend import supertrend_lines
 from tickloom.schemas import KEY, TS
 from tickloom.session import cut_lineage
@@ -262,6 +263,67 @@ def indicators(
     pays on large tables and when `bars` is itself costly to compute. Prices may be NULL; where they
     cannot be, as in bars that the staging merge let in, `gaps=False` saves two passes for means.
     """
+    return _evaluate(bars, wanted, keep, block_rows, cut, gaps)[0]
+
+
+def recipe_name(wanted: Iterable[tuple[str, int]], block_rows: int | None = None, gaps: bool = True) -> str:
+    """What a stored state was made by; another choice of indicators or blocks starts from the first bar."""
+    names = sorted({f"{name}_{int(param)}" for name, param in wanted})
+    return " ".join([*names, f"blocks {block_rows or 'auto'}", "gaps" if gaps else "no gaps"])
+
+
+def resume_indicators(
+    bars: DataFrame,
+    wanted: Iterable[tuple[str, int]],
+    state: DataFrame | None = None,
+    keep: Iterable[str] = (),
+    block_rows: int | None = None,
+    gaps: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """As `indicators`, but each symbol in `state` starts with its stored block; returns values and the next state.
+
+    A state has one row per symbol (INDICATOR_STATE): the last block, its first time, the first bar to read (the
+    block's look-back included) and the means, totals and bands before the block. `bars` may leave out what
+    lies before FromTs; rows from BlockTs on get values, the same as from all bars. It holds as long as no
+    bar before BlockTs changes. Symbols without a state start from their first bar. Rows of other recipes
+    in `state` are not looked at.
+    """
+    wanted = list(wanted)
+    known = None
+    if state is not None:
+        known = state.where(F.col("Recipe") == recipe_name(wanted, block_rows, gaps))
+        since = known.select(KEY, F.col("FromTs").alias("_from_ts"), F.col("FromRow").alias("_from_row"), F.col("Block").alias("_from_blk"))
+        bars = bars.join(since, KEY, "left").where(F.col("_from_ts").isNull() | (F.col(TS) >= F.col("_from_ts")))
+    values, after = _evaluate(bars, wanted, keep, block_rows, True, gaps, known, hand_over=True)
+    return values, after
+
+
+def _next_state(numbered: DataFrame, tables: list[tuple[DataFrame, dict[str, str]]], before: int, rows: int, recipe_: str) -> DataFrame:
+    """Each symbol's last block, and what the tables (Symbol, blk, …) hand over to it."""
+    blocks = numbered.groupBy(KEY, F.expr(f"rn div {rows}").alias("blk")).agg(
+        F.min(TS).alias("BlockTs"), F.min(F.when(F.col("rn") % rows >= rows - before, F.col(TS))).alias("_tail"),
+    )
+    in_order = Window.partitionBy(KEY).orderBy("blk")
+    last = (
+        blocks.withColumn("FromTs", F.coalesce(F.lag("_tail").over(in_order), F.col("BlockTs")))
+        .groupBy(KEY).agg(F.max_by(F.struct("blk", "BlockTs", "FromTs"), "blk").alias("last")).select(KEY, "last.*")
+    )
+    entries = []
+    for table, names in tables:
+        last = last.join(table.select(KEY, "blk", *[F.col(c).alias(f"_{len(entries) + i}") for i, c in enumerate(names.values())]), [KEY, "blk"], "left")
+        entries += [(F.lit(name), F.col(f"_{len(entries) + i}").cast("double")) for i, name in enumerate(names)]
+    carried = F.create_map(*[x for pair in entries for x in pair]) if entries else F.create_map()
+    return last.select(
+        KEY, F.lit(recipe_).alias("Recipe"), F.col("blk").alias("Block"), "BlockTs", "FromTs",
+        F.greatest(F.col("blk") * rows - before, F.lit(0)).cast("long").alias("FromRow"), carried.cast("map<string,double>").alias("Carried"),
+    )
+
+
+def _evaluate(
+    bars: DataFrame, wanted: Iterable[tuple[str, int]], keep: Iterable[str], block_rows: int | None, cut: bool, gaps: bool,
+    state: DataFrame | None = None, hand_over: bool = False,
+) -> tuple[DataFrame, DataFrame | None]:
+    wanted = list(wanted)
     b, values = Workbench(), {}
     for name, param in wanted:
         value = recipe(name)(b, int(param))
@@ -276,10 +338,15 @@ def indicators(
     means = {k: v for k, v in b.means.items() if not ewm.is_fill(v[1])}
     fills = {k: x for k, (x, _) in b.means.items() if k not in means}
 
-    numbered = with_row_index(bars.select(KEY, TS, *needed))
-    if cut and (b.means or b.totals or b.trends):
+    resumes = ["_from_row", "_from_blk"] if state is not None else []
+    numbered = with_row_index(bars.select(KEY, TS, *needed, *resumes))
+    if resumes:
+        numbered = numbered.withColumn("rn", F.col("rn") + F.coalesce("_from_row", F.lit(0)))
+    if cut and (hand_over or b.means or b.totals or b.trends):
         numbered = cut_lineage(numbered)
     blocked = with_blocks(numbered, before=b.before(), rows=rows)
+    if resumes:  # rows before the first block are look-back only
+        blocked = blocked.where(F.col("blk") >= F.coalesce("_from_blk", F.lit(0))).drop(*resumes)
     w = block_window()
     staged = blocked.withColumns(b.lags).withColumns(b.terms)
     long = {k: f for k, f in b.frames.items() if is_long(f[0], f[2])}
@@ -300,8 +367,12 @@ def indicators(
         framed = framed.withColumns(b.derived)
         framed = framed.withColumns({k: roll(AGGREGATES[agg], F.col(x), n, w) for k, (agg, x, n) in b.derived_frames.items()})
     out = core_rows(framed)
+    tables = []
     if b.means or b.totals:
-        carry = ewm.carry_table(resumed, means, fills, b.totals, rows, gaps)
+        carry = ewm.carry_table(resumed, means, fills, b.totals, rows, gaps, state)
+        if hand_over:
+            carry = cut_lineage(carry)
+        tables.append((carry, ewm.carried(means, fills, b.totals)))
         out = out.join(carry, [KEY, "blk"], "left").withColumns({
             **{k: ewm.resume_mean(k, x, gaps) for k, (x, _) in means.items()},
             **{k: ewm.resume_fill(k) for k in fills},
@@ -314,6 +385,9 @@ def indicators(
         if cut:
             out = cut_lineage(out)
         for name, (atr_column, multiplier) in b.trends.items():
-            out = supertrend_lines(out, name, atr_column, multiplier)
-        return out.select(KEY, TS, *keep, *values)
-    return out.select(KEY, TS, *keep, *[v.alias(k) for k, v in plain.items()])
+            out, entering = supertrend_lines(out, name, atr_column, multiplier, state, hand_over)
+            tables.append((entering, supertrend_carried(name)))
+        out = out.select(KEY, TS, *keep, *values)
+    else:
+        out = out.select(KEY, TS, *keep, *[v.alias(k) for k, v in plain.items()])
+    return out, _next_state(numbered, tables, b.before(), rows, recipe_name(wanted, block_rows, gaps)) if hand_over else None

@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.operators.indicators import indicators
+from tickloom.operators.indicators import indicators, recipe_name, resume_indicators
 from tickloom.schemas import KEY, TS
 
 
@@ -54,8 +54,35 @@ def indicator_long(
     All definitions are computed side by side and unfolded afterwards, so the bars are
     shuffled once, not once per definition. An unknown name raises.
     """
-    wanted = definition_list(definitions)
-    wide = indicators(bars, dict.fromkeys((name, parameter(name, param)) for _, name, param in wanted), cut=cut, gaps=gaps)
+    listed = definition_list(definitions)
+    return _unfold(indicators(bars, _wanted(listed), cut=cut, gaps=gaps), listed, timeframe, added)
+
+
+def resume_long(
+    bars: DataFrame,
+    definitions: DataFrame,
+    state: DataFrame | None = None,
+    timeframe: str = "1m",
+    added: datetime | None = None,
+    block_rows: int | None = None,
+    gaps: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """The same rows from each symbol's stored block on, and the state for the next run."""
+    listed = definition_list(definitions)
+    wide, after = resume_indicators(bars, _wanted(listed), state, block_rows=block_rows, gaps=gaps)
+    return _unfold(wide, listed, timeframe, added), after
+
+
+def state_name(definitions: DataFrame, block_rows: int | None = None, gaps: bool = True) -> str:
+    """Recipe of the states that the active definitions can resume with."""
+    return recipe_name(_wanted(definition_list(definitions)), block_rows, gaps)
+
+
+def _wanted(listed: list[tuple[int, str, str]]) -> list[tuple[str, int]]:
+    return list(dict.fromkeys((name, parameter(name, param)) for _, name, param in listed))
+
+
+def _unfold(wide: DataFrame, listed: list[tuple[int, str, str]], timeframe: str, added: datetime | None) -> DataFrame:
     entries = [
         F.struct(
             F.lit(id_).cast("int").alias("IndicatorId"),
@@ -64,7 +91,7 @@ def indicator_long(
             F.col(_field(name, param)).alias("IndicatorValue"),
             F.lit(_field(name, param)).alias("FieldName"),
         )
-        for id_, name, param in wanted
+        for id_, name, param in listed
     ]
     stamp = F.current_timestamp() if added is None else F.lit(added).cast("timestamp")
     return (

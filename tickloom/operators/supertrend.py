@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from tickloom.operators.series import block_window
 from tickloom.schemas import KEY
+from tickloom.session import cut_lineage
 
 _EXIT_COLUMNS = ["below", "above", "level", "crossed_below", "crossed_above"]
 
@@ -137,14 +138,17 @@ def _block_schema(batch: pa.RecordBatch) -> pa.Schema:
 def _enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of each symbol in order to the state entering them. Holds the running state only.
 
-    Before the first row both bands are wide open. The first bar never turns the trend.
+    Before the first row both bands are wide open, unless a stored state says where they were (*_0). The
+    first bar never turns the trend.
     """
     state, trend = {}, 1
     for batch in batches:
         out = []
         for block in batch.to_pylist():
             if block["at"] == 1:
-                state, trend = {"up": np.inf, "down": np.inf}, 1
+                resumed = block["trend_0"] is not None
+                state = {"up": block["up_0"], "down": block["down_0"]} if resumed else {"up": np.inf, "down": np.inf}
+                trend = int(block["trend_0"]) if resumed else 1
             out.append((state["up"], state["down"], trend))
             crossed = {}
             for side, sign in (("up", 1), ("down", -1)):
@@ -184,11 +188,19 @@ def _trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.append_column("line", pa.array(line))
 
 
-def supertrend_lines(blocked: DataFrame, name: str, atr: str, multiplier: float) -> DataFrame:
+def carried(name: str) -> dict[str, str]:
+    """Names in a state and the columns of the state table they come from."""
+    return {f"{name} {c}": f"{c}_in" for c in ("up", "down", "trend")}
+
+
+def supertrend_lines(
+    blocked: DataFrame, name: str, atr: str, multiplier: float, state: DataFrame | None = None, keep: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Add column `name` to core rows carrying rn, blk, prices, the lagged close and `atr`.
 
     `at`, a row number over the block window, brings the rows of a block together and in order
-    before they stream through Python, and marks where a block (or a symbol) begins.
+    before they stream through Python, and marks where a block (or a symbol) begins. Also returns the state that
+    enters each block; `keep` writes that table to the checkpoint folder.
     """
     middle = (F.col("HighPrice") + F.col("LowPrice")) / 2
     bands = blocked.withColumns({
@@ -200,11 +212,18 @@ def supertrend_lines(blocked: DataFrame, name: str, atr: str, multiplier: float)
         block_key + [T.StructField("rows", T.LongType()), T.StructField("close", T.DoubleType())]
         + [T.StructField(f"{side}_{c}", T.ArrayType(T.DoubleType())) for side in ("up", "down") for c in _EXIT_COLUMNS]
     )
-    state = [T.StructField("up_in", T.DoubleType()), T.StructField("down_in", T.DoubleType()), T.StructField("trend_in", T.LongType())]
+    entering = [T.StructField("up_in", T.DoubleType()), T.StructField("down_in", T.DoubleType()), T.StructField("trend_in", T.LongType())]
     at = F.row_number().over(block_window())
     blocks = bands.select(KEY, "blk", "rn", "close", "last", "upper", "lower").withColumn("at", at).mapInArrow(_describe, described)
+    if state is None:
+        blocks = blocks.withColumns({f"{c}_0": F.lit(None).cast("double") for c in ("up", "down", "trend")})
+    else:
+        stored = state.where("Block > 0").select(KEY, *[F.col("Carried")[f"{name} {c}"].alias(f"{c}_0") for c in ("up", "down", "trend")])
+        blocks = blocks.join(stored, KEY, "left")
     in_symbol = F.row_number().over(Window.partitionBy(KEY).orderBy("blk"))
-    states = blocks.withColumn("at", in_symbol).mapInArrow(_enter, T.StructType(block_key + state))
+    states = blocks.withColumn("at", in_symbol).mapInArrow(_enter, T.StructType(block_key + entering))
+    if keep:
+        states = cut_lineage(states)
     entered = bands.join(states, [KEY, "blk"]).withColumn("at", at)
     lines = entered.mapInArrow(_trace, T.StructType(entered.schema.fields + [T.StructField("line", T.DoubleType())]))
-    return lines.select(*blocked.columns, F.col("line").alias(name))
+    return lines.select(*blocked.columns, F.col("line").alias(name)), states

@@ -19,9 +19,9 @@ from pyspark.sql import types as T
 
 from tickloom.operators import labels, merged, signals, staging, training
 from tickloom.operators.engineered import add_engineered_features
-from tickloom.operators.incremental import day_ledger, day_rows, days_needed, of_days, starts, trade_dates
-from tickloom.operators.registry import field_names, indicator_long
-from tickloom.schemas import BAR_COLUMNS, BAR_DAYS, INDICATORS, KEY, PROGRESS, RAW_BARS, SIGNAL_FEATURES, STAGING, STAGING_MARKS, TRADE_DATE, TS
+from tickloom.operators.incremental import day_ledger, day_rows, days_needed, days_since, of_days, starts, trade_dates
+from tickloom.operators.registry import field_names, resume_long, state_name
+from tickloom.schemas import BAR_COLUMNS, BAR_DAYS, INDICATOR_STATE, KEY, PROGRESS, RAW_BARS, SIGNAL_FEATURES, STAGING, STAGING_MARKS, TRADE_DATE, TS
 from tickloom.session import cut_lineage
 from tickloom.sources import sinks, tables, vendor
 
@@ -85,6 +85,17 @@ class Store:
         marks = self.or_empty("staging_marks", STAGING_MARKS)
         return marks.groupBy(KEY).agg(F.max("LastTs").alias(TS)).withColumn("Exported", F.lit(1))
 
+    def indicator_state(self) -> DataFrame:
+        """Where indicators can resume: one row for each symbol and recipe."""
+        if self.read("indicator_state/versions", T.StructType([T.StructField("version", T.IntegerType())])) is None:
+            return self.spark.createDataFrame([], INDICATOR_STATE)
+        return sinks.read_snapshot(self.spark, self.path("indicator_state"))
+
+    def keep_states(self, states: DataFrame) -> None:
+        path = self.path("indicator_state")
+        stored = self.read("indicator_state/versions", T.StructType([T.StructField("version", T.IntegerType())])) is not None
+        sinks.commit_snapshot(states, path, sinks.current_version(self.spark, path) + 1 if stored else 1)
+
     def ledger(self) -> DataFrame:
         return self.or_empty("bar_days", BAR_DAYS)
 
@@ -146,6 +157,8 @@ def repair_raw_job(store: Store, write: bool = True) -> DataFrame:
     repaired = staging.raw_dedup(raw.join(dates, TRADE_DATE, "left_semi")).withColumn(TRADE_DATE, F.to_date(TS))
     if write:
         repaired = cut_lineage(repaired)  # read everything before the first partition is replaced
+        # rows of these symbols move up, so they start from their first bar next time
+        store.keep_states(store.indicator_state().join(repaired.select(KEY), KEY, "left_anti"))
         (
             repaired.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(TRADE_DATE).parquet(store.path("raw_bars"))
@@ -155,22 +168,32 @@ def repair_raw_job(store: Store, write: bool = True) -> DataFrame:
 
 def indicator_job(
     store: Store, definitions: DataFrame, now: datetime, timeframe: str = "1m", only_new: bool = True,
-    cut: bool = False, write: bool = True,
+    block_rows: int | None = None, write: bool = True,
 ) -> DataFrame:
     """All active indicators of new bars, appended to the long table.
 
-    Means and totals need the whole history, so all bars of symbols with new ones are read; the table grows by
-    the bars from the first new one on. only_new=False gives every bar of every symbol a value, as
-    after a change of definitions; the latest value counts.
+    Each symbol resumes with the block it ended in, from the means, totals and bands stored for it, and only days
+    from that block's look-back on are read. Where the first new bar lies before that block (a back-filled
+    range), or nothing is stored for these definitions, the symbol is computed from its first bar.
+    only_new=False gives every bar of every symbol a value, as after a change of definitions; the
+    latest value counts. The state is stored before the runs are marked as done: a job that dies
+    between is run again, and its runs count as new against that state.
     """
-    bars, runs = store.raw_bars().select(BAR_COLUMNS), store.open_runs("indicators")
+    runs = store.open_runs("indicators")
+    known, recipe = store.indicator_state(), state_name(definitions, block_rows, gaps=False)
     if only_new:
-        from_ = starts(store.ledger(), runs)
-        bars = bars.join(from_, KEY, "left_semi")
-    long = indicator_long(bars, definitions, timeframe, now, cut, gaps=False)  # the merge lets no NULL in
+        from_ = cut_lineage(starts(store.ledger(), runs))
+        usable = known.where(F.col("Recipe") == recipe).join(from_.withColumnRenamed("FromTs", "_new"), KEY).where(F.col("_new") >= F.col("BlockTs")).drop("_new")
+        needed = cut_lineage(days_since(store.ledger(), from_, usable))
+        bars, state = of_days(store.raw_by_date(), needed).select(BAR_COLUMNS), usable
+    else:
+        bars, state = store.raw_bars().select(BAR_COLUMNS), None
+    long, after = resume_long(bars, definitions, state, timeframe, now, block_rows, gaps=False)  # the merge lets no NULL in
     if only_new:
         long = long.join(from_, KEY).where(F.col(TS) >= F.col("FromTs")).drop("FromTs")
     out = sinks.append_indicators(long, store.path("indicators"), write)
+    if write:
+        store.keep_states(sinks.upsert(known, cut_lineage(after), (KEY, "Recipe")))
     store.mark("indicators", runs, write)
     return out
 

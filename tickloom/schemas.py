@@ -25,6 +25,11 @@ BAR_DAYS = _struct(Symbol=_S, TradeDate=T.DateType(), Rows=_L, FirstTs=_NTZ, Las
 PROGRESS = _struct(Job=_S, Run=_S)
 STAGING_MARKS = _struct(Symbol=_S, LastTs=_NTZ)
 
+# Where indicators of a symbol can resume: its last block, the first bar to read for it, and what earlier blocks hand over.
+INDICATOR_STATE = _struct(
+    Symbol=_S, Recipe=_S, Block=_L, BlockTs=_NTZ, FromTs=_NTZ, FromRow=_L, Carried=T.MapType(_S, _D),
+)
+
 DEFINITIONS = _struct(IndicatorId=_I, IndicatorName=_S, DefaultParams=_S, IsActive=_I)
 INDICATORS = _struct(
     Symbol=_S, PriceTimestamp=_NTZ, Timeframe=_S, IndicatorId=_I, IndicatorName=_S,
