@@ -175,8 +175,9 @@ def test_resumed_runs_equal_a_full_one(spark, gaps):
     rows = walk("BIG", 1500, 1) + walk("MID", 330, 2, step=7) + walk("LATE", 40, 4, start=START + timedelta(minutes=900))
     if gaps:
         rows = [(*r[:5], None if i % 11 == 3 else r[5], r[6]) for i, r in enumerate(rows)]
-    all_bars, choice = frame(spark, rows).cache(), [*EVERY, ("ATR", 1), ("EMA", 1)]
-    choice = [c for c in choice if not gaps or c[0] != "SUPERTREND"]  # bands need a close in every bar
+    all_bars = frame(spark, rows).cache()
+    choice = [("SMA", 200), ("RSI", 14), ("EMA", 1), ("EMA", 2), ("EMA", 200), ("ATR", 14), ("OBV", 0), ("VWAP", 0)]
+    choice += [] if gaps else [("SUPERTREND", 10), ("CCI", 20)]  # bands need a close in every bar
     full = collect(indicators(all_bars, choice, block_rows=256, gaps=gaps))
     state, seen = None, START
     for end in (START + timedelta(minutes=700), START + timedelta(minutes=1100), START + timedelta(days=3)):
